@@ -18,6 +18,9 @@ from telemetry_lake.schemas import DEFAULT_PATTERNS, STRICT_PATTERNS
 from telemetry_lake.session import pin_utc, scratch_path
 from telemetry_lake.sources.bronze_store import partition_counts, read_bronze, write_bronze
 from telemetry_lake.sources.fixtures import read_messages
+from telemetry_lake.sources.landing import read_landing, write_landing
+from telemetry_lake.sources.paged import fetch_pages, read_pages
+from telemetry_lake.streaming.incremental import run_stream_to_bronze
 
 # Fixed run stamps shared by queries and oracle.
 FETCHED_AT = "2024-02-01T00:00:00"
@@ -26,6 +29,7 @@ BATCH_ID = "bronze_20240201_000001"
 SILVER_AT = "20240201_000002"
 GOLD_AT = "20240201_000003"
 REPORT_TZ = "Asia/Jerusalem"
+PAGE_SIZE = 1000  # messages per API response in the landing zone
 
 
 # --- Spark side -----------------------------------------------------------------
@@ -67,6 +71,35 @@ def q_row_count(spark, sf_dir):
     return bronze.agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def _landing(spark: SparkSession, sf_dir: str) -> str:
+    """The events' messages stored once as API responses (one file each)."""
+    pin_utc(spark)
+    return write_landing(read_messages(spark, sf_dir, PAGE_SIZE), scratch_path(spark, "landing"), "page")
+
+
+def q_landing_bronze(spark, sf_dir):
+    raw = read_landing(spark, _landing(spark, sf_dir), multi_line=True, fetched_at=FETCHED_AT)
+    return op.to_bronze(raw, batch_id=BATCH_ID, ingested_at=INGESTED_AT)
+
+
+def q_paged_bronze(spark, sf_dir):
+    landing = _landing(spark, sf_dir)
+    total = read_messages(spark, sf_dir).count()
+    pages = fetch_pages(spark, "file://" + landing + "/page={page}", total, PAGE_SIZE,
+                        scratch_path(spark, "pages"))
+    return op.to_bronze(read_pages(spark, pages), batch_id=BATCH_ID,
+                        fetched_at=FETCHED_AT, ingested_at=INGESTED_AT)
+
+
+def q_stream_bronze(spark, sf_dir):
+    landing = _landing(spark, sf_dir)
+    out = scratch_path(spark, "stream_bronze")
+    run_stream_to_bronze(spark, landing, out, scratch_path(spark, "stream_ckpt"),
+                         max_files_per_trigger=32, batch_id=BATCH_ID, fetched_at=FETCHED_AT,
+                         ingested_at=INGESTED_AT, timeout_s=1800)
+    return read_bronze(spark, out)
+
+
 def q_silver_clean(spark, sf_dir):
     return _silver(spark, sf_dir)
 
@@ -138,6 +171,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_round_trip": q_bronze_round_trip,
     "bronze_partition_counts": q_bronze_partition_counts,
     "row_count": q_row_count,
+    "landing_bronze": q_landing_bronze,
+    "paged_bronze": q_paged_bronze,
+    "stream_bronze": q_stream_bronze,
     "silver_clean": q_silver_clean,
     "silver_gear_counts": q_silver_gear_counts,
     "vin_last_state": q_vin_last_state,
@@ -303,6 +339,9 @@ _ORACLE: dict[str, str] = {
 SELECT partition_date, partition_hour, COUNT(*) AS message_count
 FROM bronze GROUP BY partition_date, partition_hour""",
     "row_count": _B + "\nSELECT COUNT(*) AS row_count FROM bronze",
+    "landing_bronze": _B + "\nSELECT * FROM bronze",
+    "paged_bronze": _B + "\nSELECT * FROM bronze",
+    "stream_bronze": _B + "\nSELECT * FROM bronze",
     "silver_clean": _S + "\nSELECT * FROM silver ORDER BY message_datetime DESC NULLS LAST",
     "silver_gear_counts": _S + """
 SELECT gear_position_numeric, COUNT(*) AS message_count FROM silver GROUP BY gear_position_numeric""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -15,14 +16,36 @@ def _check(columns: Sequence[str], patterns: Sequence[str]) -> None:
         raise ValueError("pattern check needs at least one pattern")
 
 
+# A back-reference (\1, \k<name>) refers to a group number or name, which
+# combining patterns would renumber or clash.
+_BACKREF = re.compile(r"\\(?:[1-9]|k<)")
+
+
+def combined_pattern(patterns: Sequence[str]) -> str | None:
+    """One regex found iff any of ``patterns`` is found, or None when the
+    patterns cannot be combined safely (they use back-references).
+
+    Each pattern sits in its own non-capturing group, so inline flags and
+    alternations stay scoped to it.
+    """
+    if any(_BACKREF.search(p) for p in patterns):
+        return None
+    return "|".join(f"(?:{p})" for p in patterns)
+
+
 def matches_any(c: str | Column, patterns: Sequence[str]) -> Column:
     """True when any pattern is found anywhere in the text of ``c``.
 
-    Each pattern is its own ``rlike`` (Java regex, found anywhere, case
-    sensitive); the OR stops at the first hit.  Non-text columns are compared
-    by their Spark string form.
+    Java regular expressions, found anywhere, case sensitive.  The patterns
+    are combined into one alternation: one scan of the text instead of one
+    per pattern, and an input expression feeding ``c`` is evaluated once per
+    column rather than once per pattern.  Non-text columns are compared by
+    their Spark string form.
     """
     text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    combined = combined_pattern(patterns)
+    if combined is not None:
+        return text.rlike(combined)
     expr = None
     for p in patterns:
         hit = text.rlike(p)

@@ -27,6 +27,13 @@ LAKE_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Local mode only: one JVM holds driver and executors, and tiny test tables
+# should still spread over the cores (AQE would merge them into one task).
+LOCAL_CONF = {
+    "spark.driver.memory": os.environ.get("LAKE_DRIVER_MEMORY", "16g"),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+}
+
 
 def lake_session(
     master: str | None = None,
@@ -43,6 +50,8 @@ def lake_session(
         master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(LAKE_CONF)
+    if master.startswith("local"):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -15,11 +15,23 @@ from telemetry_lake.functions.time import ntz_millis
 from telemetry_lake.schemas import RAW
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
+    """Scan one test table.
+
+    The test tables are single files with one row group, i.e. one scan task.
+    With ``spread_key``, a scan that yields fewer partitions than the
+    cluster's parallelism is hash-spread on that key so the per-row work
+    after it uses every core; a large input (many splits) is left alone.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread_key is not None:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores, spread_key)
+    return df
 
 
-def messages_from_events(events: DataFrame) -> DataFrame:
+def messages_from_events(events: DataFrame, page_size: int | None = None) -> DataFrame:
     """``events`` -> raw API messages (schema ``RAW``), one per event.
 
     Fixed rules (event_id ``e``, user_id ``u``, ``k`` = the integer in props):
@@ -64,9 +76,14 @@ def messages_from_events(events: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "signup", F.lit("neutral")),
         "driverSeatbeltState": F.when(k % 2 == 0, F.lit("FASTENED")).otherwise(F.lit("UNFASTENED")),
     }
-    return events.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW.fields])
+    out = [cols[f.name].cast(f.dataType).alias(f.name) for f in RAW.fields]
+    if page_size:
+        # API response number: consecutive events, ``page_size`` per response.
+        out.append(F.floor(e / F.lit(page_size)).cast("int").alias("page"))
+    return events.select(*out)
 
 
-def read_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages of one test scale (column-pruned scan of ``events``)."""
-    return messages_from_events(read_table(spark, sf_dir, "events"))
+def read_messages(spark: SparkSession, sf_dir: str, page_size: int | None = None) -> DataFrame:
+    """Messages of one test scale (column-pruned scan of ``events``); with
+    ``page_size`` also the ``page`` (API response) each message belongs to."""
+    return messages_from_events(read_table(spark, sf_dir, "events", spread_key="event_id"), page_size)

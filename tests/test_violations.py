@@ -38,3 +38,26 @@ def test_empty_lists_raise(spark):
 
 def test_null_text_not_flagged(spark):
     assert _viol(spark, [{"vin": "A", "model": None, "manufacturer": None}]) == {}
+
+
+def test_combined_pattern_equals_separate_patterns(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from telemetry_lake.functions.patterns import combined_pattern, matches_any
+    from telemetry_lake.schemas import DEFAULT_PATTERNS
+
+    pats = DEFAULT_PATTERNS + [r"(?i)drop", r"a|b", r"^x"]
+    rnd = random.Random(3)
+    alphabet = ["a", "b", "x", ";", "-", "/", "*", "\\", "DROP", "drop", "SEL", "ECT", " "]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(6))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    separate = F.lit(False)
+    for p in pats:
+        separate = separate | F.col("t").rlike(p)
+    rows = df.select(matches_any("t", pats).alias("a"), separate.alias("b")).collect()
+    assert all(r.a == r.b for r in rows)
+    assert combined_pattern([r"(a)\1"]) is None  # back-reference: kept separate
+    one = df.select(matches_any("t", [r"(a)\1", r"x"]).alias("m")).collect()
+    assert [r.m for r in one] == [("aa" in t) or ("x" in t) for t in texts]
