@@ -47,21 +47,25 @@ def read_bronze(
     with_keys: bool = True,
     date_from: date | str | None = None,
     date_to: date | str | None = None,
+    with_file_name: bool = False,
 ) -> DataFrame:
     """Read the bronze dataset with the declared schema.
 
     The declared schema keeps ``partition_hour`` a two-digit string and
     ``partition_date`` a DATE.  ``date_from`` / ``date_to`` (inclusive) prune
     directories.  ``with_keys=False`` drops the key columns (the row-count
-    scan of the reference).
+    scan of the reference).  ``with_file_name=True`` adds ``filename``, the
+    data file of each row (from the ``_metadata`` column).
     """
     df = spark.read.schema(BRONZE).parquet(path)
+    if with_file_name:
+        df = df.withColumn("filename", F.col("_metadata.file_path"))
     if date_from is not None:
         df = df.where(F.col("partition_date") >= F.lit(str(date_from)).cast("date"))
     if date_to is not None:
         df = df.where(F.col("partition_date") <= F.lit(str(date_to)).cast("date"))
     if not with_keys:
-        df = df.select(*BRONZE_DATA.fieldNames())
+        df = df.select(*BRONZE_DATA.fieldNames(), *(["filename"] if with_file_name else []))
     return df
 
 

@@ -87,3 +87,20 @@ def read_messages(spark: SparkSession, sf_dir: str, page_size: int | None = None
     """Messages of one test scale (column-pruned scan of ``events``); with
     ``page_size`` also the ``page`` (API response) each message belongs to."""
     return messages_from_events(read_table(spark, sf_dir, "events", spread_key="event_id"), page_size)
+
+
+def replicate_events(events: DataFrame, copies: int) -> DataFrame:
+    """``events`` grown ``copies`` times for scaling runs: copy ``r`` gets
+    event ids shifted by ``r * 10**12``; users and times are kept, so every
+    vehicle and every hour holds ``copies`` times the messages (per-key volume
+    grows with the data).  Rows come from ``explode``, not a join."""
+    if copies <= 1:
+        return events
+    r = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy")
+    grown = events.select("*", r)
+    return grown.select(
+        (F.col("event_id") + F.col("_copy").cast("long") * F.lit(10**12)).alias("event_id"),
+        "ts",
+        "user_id",
+        "event_type", "value", "props",
+    )

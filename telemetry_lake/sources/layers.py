@@ -73,3 +73,26 @@ def gold_stats(reports: DataFrame) -> DataFrame:
     return reports.groupBy("report").agg(
         F.count(F.lit(1)).alias("files"), F.max("path").alias("latest_file")
     ).orderBy("report")
+
+
+def register_views(spark: SparkSession, bronze_path: str, silver_root: str | None = None,
+                   gold_root: str | None = None) -> list[str]:
+    """Temp views for SQL users: ``bronze``, ``silver`` (latest run) and one
+    per existing gold report.  Returns the registered names."""
+    from telemetry_lake.sources.bronze_store import read_bronze
+
+    names = []
+    read_bronze(spark, bronze_path).createOrReplaceTempView("bronze")
+    names.append("bronze")
+    if silver_root:
+        latest = latest_silver_path(spark, silver_root)
+        if latest:
+            spark.read.parquet(latest).createOrReplaceTempView("silver")
+            names.append("silver")
+    if gold_root:
+        present = set(_child_dirs(spark, gold_root))
+        for report in GOLD_REPORTS:
+            if report in present:
+                spark.read.parquet(gold_path(gold_root, report)).createOrReplaceTempView(report)
+                names.append(report)
+    return names

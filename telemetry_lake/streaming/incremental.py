@@ -57,9 +57,9 @@ def stream_to_bronze(
 ) -> StreamingQuery:
     """Start the landing -> bronze stream (``availableNow``); returns the query.
 
-    Without ``ingested_at`` / ``batch_id`` every micro-batch is stamped with
-    its own trigger time (``stream_<yyyyMMdd_HHmmss>``); with them, the given
-    literals are used (tests).
+    Without ``fetched_at`` / ``ingested_at`` / ``batch_id`` every micro-batch
+    is stamped with its own trigger time (batch id ``stream_<yyyyMMdd_HHmmss>``);
+    with them, the given literals are used (tests).
     """
     raw = parse_landing(
         landing_stream(spark, landing_path, max_files_per_trigger, multi_line),
@@ -74,6 +74,10 @@ def stream_to_bronze(
         )
     else:
         bronze = bronze.withColumn("ingestion_timestamp", F.lit(iso_stamp(ingested_at)))
+    if fetched_at is None:
+        bronze = bronze.withColumn(
+            "fetch_timestamp", _batch_stamp("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        )
     if batch_id is None:
         bronze = bronze.withColumn(
             "batch_id", F.concat(F.lit("stream_"), _batch_stamp("yyyyMMdd_HHmmss"))

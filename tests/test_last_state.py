@@ -92,3 +92,13 @@ def test_plan_is_one_exchange_on_vin(spark):
     assert plan.count("hashpartitioning") == 1
     assert "partial_max" in plan
     _ = F  # keep import for readers of the test
+
+
+def test_latest_message_window_limits_before_exchange(spark):
+    from telemetry_lake.operators import latest_message_per_vin
+
+    rows = [{"vin": "A", "timestamp": 1}, {"vin": "A", "timestamp": 2}]
+    df = latest_message_per_vin(_silver(spark, rows))
+    assert [(r.vin, r.last_reported_timestamp) for r in df.collect()] == [("A", 2)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2

@@ -65,3 +65,28 @@ def test_paged_source_rejects_non_list(spark, scratch):
     _write(f"{scratch}/api/page=0/body.json", '{"vin": "A"}')
     with pytest.raises(Exception):
         fetch_pages(spark, f"file://{scratch}/api/page={{page}}", 1, 1, scratch + "/pages")
+
+
+def test_bronze_file_name_and_views(spark, scratch):
+    from conftest import bronze_rows
+    from telemetry_lake.sources.bronze_store import read_bronze, write_bronze
+    from telemetry_lake.sources.layers import register_views, write_gold
+
+    path = write_bronze(bronze_rows(spark, [{"vin": "A", "timestamp": 1}]), scratch + "/bronze")
+    df = read_bronze(spark, path, with_file_name=True)
+    assert df.first().filename.endswith(".parquet")
+    assert read_bronze(spark, path, with_keys=False, with_file_name=True).columns[-1] == "filename"
+    write_gold(df.select("vin"), scratch + "/gold", "vin_last_state")
+    names = register_views(spark, path, scratch + "/silver", scratch + "/gold")
+    assert names == ["bronze", "vin_last_state"]
+    assert spark.sql("SELECT count(*) FROM bronze").first()[0] == 1
+
+
+def test_replicate_events(spark, sf_dir):
+    from telemetry_lake.sources.fixtures import read_table, replicate_events
+
+    ev = read_table(spark, sf_dir, "events")
+    grown = replicate_events(ev, 3)
+    assert grown.count() == 3 * ev.count()
+    assert grown.select("event_id").distinct().count() == 3 * ev.count()
+    assert grown.columns == ev.columns
