@@ -27,11 +27,14 @@ LAKE_CONF = {
     "spark.ui.enabled": "false",
 }
 
-# Local mode only: one JVM holds driver and executors, and tiny test tables
-# should still spread over the cores (AQE would merge them into one task).
+# Local mode only: one JVM holds driver and executors; tiny test tables should
+# still spread over the cores (AQE would merge them into one task); and listing
+# a local disk from the driver beats a distributed listing job (which pays off
+# on HDFS / object stores, where the default threshold stays).
 LOCAL_CONF = {
     "spark.driver.memory": os.environ.get("LAKE_DRIVER_MEMORY", "16g"),
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "4096",
 }
 
 

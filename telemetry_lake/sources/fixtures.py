@@ -79,7 +79,7 @@ def messages_from_events(events: DataFrame, page_size: int | None = None) -> Dat
     out = [cols[f.name].cast(f.dataType).alias(f.name) for f in RAW.fields]
     if page_size:
         # API response number: consecutive events, ``page_size`` per response.
-        out.append(F.floor(e / F.lit(page_size)).cast("int").alias("page"))
+        out.append(F.floor(e / F.lit(page_size)).cast("long").alias("page"))
     return events.select(*out)
 
 
@@ -91,15 +91,17 @@ def read_messages(spark: SparkSession, sf_dir: str, page_size: int | None = None
 
 def replicate_events(events: DataFrame, copies: int) -> DataFrame:
     """``events`` grown ``copies`` times for scaling runs: copy ``r`` gets
-    event ids shifted by ``r * 10**12``; users and times are kept, so every
+    event ids shifted by ``r * (max(event_id) + 1)``, so dense ids stay dense
+    (API pages stay numbered 0..n-1); users and times are kept, so every
     vehicle and every hour holds ``copies`` times the messages (per-key volume
     grows with the data).  Rows come from ``explode``, not a join."""
     if copies <= 1:
         return events
+    span = (events.agg(F.max("event_id")).first()[0] or 0) + 1  # one number to the driver
     r = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy")
     grown = events.select("*", r)
     return grown.select(
-        (F.col("event_id") + F.col("_copy").cast("long") * F.lit(10**12)).alias("event_id"),
+        (F.col("event_id") + F.col("_copy").cast("long") * F.lit(span)).alias("event_id"),
         "ts",
         "user_id",
         "event_type", "value", "props",
