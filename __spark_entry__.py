@@ -9,6 +9,7 @@ independently.  Run stamps are fixed literals on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +22,8 @@ from telemetry_lake.sources.fixtures import read_messages
 from telemetry_lake.sources.landing import read_landing, write_landing
 from telemetry_lake.sources.paged import fetch_pages, read_pages
 from telemetry_lake.streaming.incremental import run_stream_to_bronze
+from telemetry_lake.plans.jobs import LakeConfig, run_all
+from telemetry_lake.sources.layers import gold_stats, list_reports
 
 # Fixed run stamps shared by queries and oracle.
 FETCHED_AT = "2024-02-01T00:00:00"
@@ -100,6 +103,36 @@ def q_stream_bronze(spark, sf_dir):
     return read_bronze(spark, out)
 
 
+PIPELINE_AT = datetime(2024, 2, 1, 0, 0, 3)  # stamps GOLD_AT on the reports
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> dict:
+    """Full run on a scratch lake: landing -> bronze -> silver -> gold."""
+    root = scratch_path(spark, "lake")
+    cfg = LakeConfig(landing_path=_landing(spark, sf_dir), bronze_path=f"{root}/bronze",
+                     silver_path=f"{root}/silver", gold_path=f"{root}/gold")
+    return run_all(spark, cfg, now=PIPELINE_AT)
+
+
+def q_pipeline_last_state(spark, sf_dir):
+    reports = _pipeline(spark, sf_dir)["stages"]["gold"]["reports_generated"]
+    return spark.read.parquet(reports["vin_last_state"])
+
+
+def q_pipeline_report_counts(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    gold = _pipeline(spark, sf_dir)["stages"]["gold"]["reports_generated"]["vin_last_state"]
+    gold_root = gold.rsplit("/", 1)[0]
+    listed = [r.report for r in gold_stats(list_reports(spark, gold_root)).collect()]
+    counts = None
+    for report in listed:  # three small aggregates, one per report folder
+        one = spark.read.parquet(f"{gold_root}/{report}").agg(F.count(F.lit(1)).alias("row_count"))
+        one = one.select(F.lit(report).alias("report"), "row_count")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
 def q_silver_clean(spark, sf_dir):
     return _silver(spark, sf_dir)
 
@@ -174,6 +207,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_bronze": q_landing_bronze,
     "paged_bronze": q_paged_bronze,
     "stream_bronze": q_stream_bronze,
+    "pipeline_last_state": q_pipeline_last_state,
+    "pipeline_report_counts": q_pipeline_report_counts,
     "silver_clean": q_silver_clean,
     "silver_gear_counts": q_silver_gear_counts,
     "vin_last_state": q_vin_last_state,
@@ -299,9 +334,9 @@ last_state AS (
 )"""
 
 
-def _fastest_sql(local_ts: str) -> str:
-    return _S + f"""
-, ranked AS (
+def _fastest_cte(local_ts: str) -> str:
+    return f"""
+ranked AS (
   SELECT CAST({local_ts} AS DATE) AS date_part,
          EXTRACT('hour' FROM {local_ts}) AS hour_part,
          velocity,
@@ -309,14 +344,20 @@ def _fastest_sql(local_ts: str) -> str:
            PARTITION BY CAST({local_ts} AS DATE), EXTRACT('hour' FROM {local_ts})
            ORDER BY velocity DESC) AS rn
   FROM silver WHERE velocity IS NOT NULL
-)
-SELECT date_part, hour_part, velocity, '{GOLD_AT}' AS report_generated_timestamp
-FROM ranked WHERE rn <= 10
-ORDER BY date_part, hour_part, velocity DESC
+),
+fastest AS (
+  SELECT date_part, hour_part, velocity, '{GOLD_AT}' AS report_generated_timestamp
+  FROM ranked WHERE rn <= 10
+)"""
+
+
+def _fastest_sql(local_ts: str) -> str:
+    return _S + "," + _fastest_cte(local_ts) + """
+SELECT * FROM fastest ORDER BY date_part, hour_part, velocity DESC
 """
 
 
-def _violations_sql(patterns: list[str]) -> str:
+def _violations_cte(patterns: list[str]) -> str:
     cols = ["vin", "manufacturer", "model"]
 
     def lit(p: str) -> str:
@@ -326,10 +367,15 @@ def _violations_sql(patterns: list[str]) -> str:
         f"WHEN regexp_matches(CAST({c} AS VARCHAR), {lit(p)}) THEN '{c}'" for c in cols for p in patterns
     )
     where = " OR ".join(f"regexp_matches(CAST({c} AS VARCHAR), {lit(p)})" for c in cols for p in patterns)
-    return _B + f"""
-SELECT *, CASE {branches} END AS violating_column
-FROM bronze WHERE {where}
-"""
+    return f"""
+violations AS (
+  SELECT *, CASE {branches} END AS violating_column
+  FROM bronze WHERE {where}
+)"""
+
+
+def _violations_sql(patterns: list[str]) -> str:
+    return _B + "," + _violations_cte(patterns) + "\nSELECT * FROM violations"
 
 
 _ORACLE: dict[str, str] = {
@@ -359,6 +405,12 @@ FROM latest_messages WHERE rn = 1""",
     ),
     "pattern_violations": _violations_sql(DEFAULT_PATTERNS),
     "pattern_violations_strict": _violations_sql(STRICT_PATTERNS),
+    "pipeline_last_state": _S + "," + LAST_STATE_SQL + "\nSELECT * FROM last_state",
+    "pipeline_report_counts": _S + "," + LAST_STATE_SQL + "," + _fastest_cte("message_datetime")
+    + "," + _violations_cte(DEFAULT_PATTERNS) + """
+SELECT 'sql_violating_messages_report' AS report, COUNT(*) AS row_count FROM violations
+UNION ALL SELECT 'velocity_analysis', COUNT(*) FROM fastest
+UNION ALL SELECT 'vin_last_state', COUNT(*) FROM last_state""",
     "bronze_stats": _B + """
 SELECT COUNT(*) AS total_records, COUNT(DISTINCT vin) AS unique_vehicles,
        MIN(message_datetime) AS earliest_message, MAX(message_datetime) AS latest_message
