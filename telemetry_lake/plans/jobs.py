@@ -13,7 +13,6 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Observation, SparkSession
-from pyspark.sql import functions as F
 
 from telemetry_lake.operators.bronze import to_bronze
 from telemetry_lake.operators.fastest import fastest_per_hour
@@ -55,10 +54,8 @@ def bronze_stage(spark: SparkSession, cfg: LakeConfig, batch_id: str | None = No
     if raw.isEmpty():
         raise ValueError("No data provided to write")
     obs = Observation("bronze")
-    bronze = to_bronze(raw, batch_id=batch_id, ingested_at=now).observe(
-        obs, F.count(F.lit(1)).alias("records")
-    )
-    path = write_bronze(bronze, cfg.bronze_path, mode=cfg.bronze_mode)
+    bronze = to_bronze(raw, batch_id=batch_id, ingested_at=now)
+    path = write_bronze(bronze, cfg.bronze_path, mode=cfg.bronze_mode, observation=obs)
     return {"status": "success", "batch_id": batch_id,
             "records_fetched": obs.get["records"], "file_path": path}
 

@@ -77,20 +77,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     a machine-local temporary folder is used only in local mode, where the
     setting is unset in tests.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: configuration only
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or _LOCAL_ROOTS.get(sc.applicationId)
     if not root:
-        root = _LOCAL_ROOTS.get(sc.applicationId)
-    if not root:
-        if not sc.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder"
             )
         root = tempfile.mkdtemp(prefix="telemetry-lake-")
         _LOCAL_ROOTS[sc.applicationId] = root
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.schemas import BRONZE, BRONZE_DATA, PARTITION_KEYS
@@ -17,6 +17,7 @@ def write_bronze(
     path: str,
     mode: str = "overwrite",
     max_records_per_file: int = 5_000_000,
+    observation: Observation | None = None,
 ) -> str:
     """Write bronze rows under ``path/partition_date=.../partition_hour=...``.
 
@@ -27,13 +28,18 @@ def write_bronze(
     writing it from one task.  NULL keys land in
     ``__HIVE_DEFAULT_PARTITION__`` and read back as NULL.
     Never overwrite a path the same plan reads from.
+
+    ``observation`` receives ``records`` = rows written.  It is attached after
+    the rebalance, i.e. in the write (result) stage, where Spark applies each
+    partition's metric once even when tasks or lost map outputs are re-run.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
+    out = df.select(*BRONZE.fieldNames()).hint("rebalance", *PARTITION_KEYS)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("records"))
     (
-        df.select(*BRONZE.fieldNames())
-        .hint("rebalance", *PARTITION_KEYS)
-        .write.mode(mode)
+        out.write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*PARTITION_KEYS)
         .parquet(path)
