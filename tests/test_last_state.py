@@ -1,7 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
-
 from conftest import bronze_rows
 from telemetry_lake.operators import (
     latest_row, last_non_null, to_silver, vin_last_state, vin_last_state_windows,
@@ -91,7 +89,6 @@ def test_plan_is_one_exchange_on_vin(spark):
     # one hash exchange for the aggregate (+ one range exchange for the final sort)
     assert plan.count("hashpartitioning") == 1
     assert "partial_max" in plan
-    _ = F  # keep import for readers of the test
 
 
 def test_latest_message_window_limits_before_exchange(spark):
