@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from telemetry_lake.functions.time import instant_from_millis, partition_date, partition_hour
 from telemetry_lake.schemas import BRONZE, RAW, RENAMES
@@ -28,7 +29,9 @@ def to_bronze(
     * ``message_datetime``: the epoch-millisecond ``timestamp`` as an instant.
     * ``partition_date`` / ``partition_hour``: its UTC date and two-digit hour,
       NULL for a NULL timestamp.
-    Fields other than the 12 API fields are dropped; missing ones are NULL.
+    Fields other than the 12 API fields are dropped; missing ones are NULL,
+    and a NaN in a DOUBLE field (JSON ``NaN``) is stored as NULL, as the
+    reference's frame-to-table path does.
     """
     ingested = ingested_at if ingested_at is not None else utc_now()
     if not batch_id:
@@ -45,8 +48,10 @@ def to_bronze(
     present = set(raw.columns)
     fields = {}
     for f in RAW.fields:
-        src = F.col(f.name) if f.name in present else F.lit(None)
-        fields[RENAMES.get(f.name, f.name)] = src.cast(f.dataType)
+        src = (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType)
+        if isinstance(f.dataType, T.DoubleType):
+            src = F.nanvl(src, F.lit(None).cast("double"))
+        fields[RENAMES.get(f.name, f.name)] = src
     instant = instant_from_millis(fields["timestamp"])
     fields["message_datetime"] = instant
     fields["fetch_timestamp"] = fetch_col

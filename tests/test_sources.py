@@ -90,3 +90,13 @@ def test_replicate_events(spark, sf_dir):
     assert grown.count() == 3 * ev.count()
     assert grown.select("event_id").distinct().count() == 3 * ev.count()
     assert grown.columns == ev.columns
+
+
+def test_nan_becomes_null_in_bronze(spark, scratch):
+    from telemetry_lake.operators import to_bronze
+
+    _write(scratch + "/nan/a.json", '[{"vin": "A", "velocity": NaN, "latitude": 1.5}]')
+    raw = read_landing(spark, scratch + "/nan", fetched_at="t")
+    assert str(raw.first().velocity) == "nan"
+    r = to_bronze(raw, batch_id="b", ingested_at="i").first()
+    assert r.velocity is None and r.latitude == 1.5
