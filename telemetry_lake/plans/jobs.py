@@ -28,6 +28,13 @@ from telemetry_lake.stamps import default_batch_id, utc_now
 log = logging.getLogger("telemetry_lake")
 
 
+def has_rows(df) -> bool:
+    """At least one row?  ``limit(1)`` scans partitions incrementally and stops
+    at the first row (``DataFrame.isEmpty`` was measured to evaluate every
+    input partition of the landing read)."""
+    return len(df.limit(1).collect()) > 0
+
+
 @dataclass
 class LakeConfig:
     """Paths and options of one lake (any Hadoop-compatible URI)."""
@@ -51,7 +58,7 @@ def bronze_stage(spark: SparkSession, cfg: LakeConfig, batch_id: str | None = No
     now = now or utc_now()
     batch_id = batch_id or default_batch_id(now, "bronze")
     raw = read_landing(spark, cfg.landing_path, cfg.multi_line, fetched_at or now)
-    if raw.isEmpty():
+    if not has_rows(raw):
         raise ValueError("No data provided to write")
     obs = Observation("bronze")
     bronze = to_bronze(raw, batch_id=batch_id, ingested_at=now)
@@ -64,7 +71,7 @@ def silver_stage(spark: SparkSession, cfg: LakeConfig, now: datetime | None = No
     """Bronze -> new silver run folder.  Raises on failure."""
     now = now or utc_now()
     bronze = read_bronze(spark, cfg.bronze_path)
-    if bronze.isEmpty():
+    if not has_rows(bronze):
         raise ValueError("No data found in Bronze layer")
     silver = to_silver(bronze, now, sort=cfg.silver_sort)
     return {"status": "success", "file_path": write_silver(silver, cfg.silver_path, now)}

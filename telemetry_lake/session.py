@@ -35,7 +35,7 @@ LAKE_CONF = {
 LOCAL_CONF = {
     "spark.driver.memory": os.environ.get("LAKE_DRIVER_MEMORY", "16g"),
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-    "spark.sql.sources.parallelPartitionDiscovery.threshold": "4096",
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1000000",
 }
 
 

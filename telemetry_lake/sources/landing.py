@@ -3,7 +3,7 @@
 The reference fetches one JSON array per request and refuses anything that is
 not a list.  Here each response is a landing file (or a line of one), read in
 parallel with one pass: text -> list guard -> ``from_json`` (declared schema,
-FAILFAST) -> explode.
+FAILFAST) -> inline.
 """
 
 from __future__ import annotations
@@ -20,14 +20,18 @@ from telemetry_lake.stamps import iso_stamp, utc_now
 RAW_ARRAY = T.ArrayType(RAW)
 
 
-def _list_guard(text: Column, where: Column) -> Column:
-    """Raise unless the text starts with '[' after leading JSON whitespace.
+JSON_WHITESPACE = " \t\r\n"
+
+
+def _list_guard(lead: Column, where: Column) -> Column:
+    """Raise unless the record, after leading JSON whitespace, starts with '['.
 
     ``from_json`` alone would read a top-level object as a one-element list;
-    the reference raises for it.
+    the reference raises for it.  ``lead`` is the left-trimmed text, so only
+    its first character is inspected (a regex would scan the whole response).
     """
     return F.when(
-        ~text.rlike(r"^[ \t\r\n]*\["),
+        ~lead.startswith("["),
         F.raise_error(F.concat(F.lit("landing record is not a JSON list: "), where)),
     )
 
@@ -46,14 +50,17 @@ def parse_landing(
     """
     stamp = iso_stamp(fetched_at if fetched_at is not None else utc_now())
     src = source if source is not None else F.lit("?")
-    nonblank = text_df.select("value", src.alias("_src")).where(F.trim(F.col("value")) != "")
+    # Kept as an expression (not a column) so the response text is never copied.
+    lead = F.ltrim(F.col("value"), F.lit(JSON_WHITESPACE))
+    nonblank = text_df.select("value", src.alias("_src")).where(lead != "")
     parsed = nonblank.select(
-        _list_guard(F.col("value"), F.col("_src")).alias("_guard"),
+        _list_guard(lead, F.col("_src")).alias("_guard"),
         F.from_json(F.col("value"), RAW_ARRAY, {"mode": "FAILFAST"}).alias("_msgs"),
     )
-    # The guard column must be evaluated: keep it in the filter.
-    messages = parsed.where(F.col("_guard").isNull()).select(F.explode("_msgs").alias("m"))
-    return messages.select(*[F.col(f"m.{f.name}").alias(f.name) for f in RAW.fields],
+    # The guard column must be evaluated: keep it in the filter.  ``inline``
+    # turns the array of structs straight into rows and columns.
+    messages = parsed.where(F.col("_guard").isNull()).select(F.inline("_msgs"))
+    return messages.select(*[F.col(f.name) for f in RAW.fields],
                            F.lit(stamp).alias("fetch_timestamp"))
 
 
