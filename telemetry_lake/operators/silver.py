@@ -25,10 +25,13 @@ def to_silver(
     -1, else NULL) plus ``gear_position_original``.
 
     ``sort=True`` orders by ``message_datetime`` descending, NULLs last, as the
-    reference's output file is.  That is one range shuffle; the row position is
-    a tie-breaker so that a single instant (or a block of copied messages)
-    holding a large share of the rows still spreads over many range
-    partitions instead of landing in one task.
+    reference's output file is.  That is one range shuffle.  Ties are broken
+    by a hash of the whole row, then by row position, so that a single instant
+    (or a block of copied messages) holding a large share of the rows still
+    spreads over many range partitions instead of landing in one task.  The
+    hash places distinct rows by content alone; the position only orders exact
+    copies, so a re-run map task (whose rows may arrive in another order)
+    sends the same multiset of rows to every range partition.
     """
     out = bronze.where(~is_blank("vin")).select(
         "vin",
@@ -54,8 +57,9 @@ def to_silver(
     )
     if sort:
         out = (
-            out.withColumn("_pos", F.monotonically_increasing_id())
-            .orderBy(F.desc_nulls_last("message_datetime"), F.asc("_pos"))
-            .drop("_pos")
+            out.withColumns({"_h": F.xxhash64(*SILVER_COLUMNS),
+                             "_pos": F.monotonically_increasing_id()})
+            .orderBy(F.desc_nulls_last("message_datetime"), F.asc("_h"), F.asc("_pos"))
+            .drop("_h", "_pos")
         )
     return out.select(*SILVER_COLUMNS)
