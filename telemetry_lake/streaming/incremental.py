@@ -54,8 +54,13 @@ def stream_to_bronze(
     batch_id: str | None = None,
     fetched_at: datetime | str | None = None,
     ingested_at: datetime | str | None = None,
+    trigger_interval: str | None = None,
 ) -> StreamingQuery:
-    """Start the landing -> bronze stream (``availableNow``); returns the query.
+    """Start the landing -> bronze stream; returns the query.
+
+    Default trigger ``availableNow``: drain what has landed, then stop (a
+    scheduled job).  ``trigger_interval`` (e.g. ``"1 minute"``) keeps the
+    query running with a processing-time trigger instead.
 
     Without ``fetched_at`` / ``ingested_at`` / ``batch_id`` every micro-batch
     is stamped with its own trigger time (batch id ``stream_<yyyyMMdd_HHmmss>``);
@@ -82,14 +87,17 @@ def stream_to_bronze(
         bronze = bronze.withColumn(
             "batch_id", F.concat(F.lit("stream_"), _batch_stamp("yyyyMMdd_HHmmss"))
         )
-    return (
+    writer = (
         bronze.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_path)
         .partitionBy(*PARTITION_KEYS)
         .outputMode("append")
-        .trigger(availableNow=True)
-        .start(bronze_path)
     )
+    if trigger_interval:
+        writer = writer.trigger(processingTime=trigger_interval)
+    else:
+        writer = writer.trigger(availableNow=True)
+    return writer.start(bronze_path)
 
 
 def run_stream_to_bronze(spark: SparkSession, *args, timeout_s: float | None = None, **kwargs) -> str:

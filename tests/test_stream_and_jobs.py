@@ -105,3 +105,16 @@ def test_stream_restart_takes_only_new_files(spark, scratch):
     run_stream_to_bronze(*args, **kw)  # nothing new: no duplicates
     vins = sorted(r.vin for r in read_bronze(spark, scratch + "/bronze").collect())
     assert vins == ["A1", "A2", "B1"]
+
+
+def test_stream_with_processing_time_trigger(spark, scratch, landing):
+    from telemetry_lake.streaming.incremental import stream_to_bronze
+
+    q = stream_to_bronze(spark, landing, scratch + "/bronze", scratch + "/ckpt",
+                         batch_id="b", fetched_at="f", ingested_at=NOW, trigger_interval="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert read_bronze(spark, scratch + "/bronze").count() == 1000
