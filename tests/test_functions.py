@@ -57,3 +57,26 @@ def test_keys_do_not_depend_on_session_zone(spark):
 def test_hour_is_zero_padded(spark):
     r = _instant(spark, 9 * 3600 * 1000).select(partition_hour("t").alias("h")).first()
     assert r.h == "09"
+
+
+def test_operators_independent_of_session_zone(spark, sf_dir):
+    from telemetry_lake.operators import fastest_per_hour, to_bronze, to_silver, vin_last_state
+    from telemetry_lake.sources.fixtures import read_messages
+
+    def run():
+        b = to_bronze(read_messages(spark, sf_dir), batch_id="b", fetched_at="f", ingested_at="i")
+        s = to_silver(b, "s", sort=False)
+        keys = sorted((str(r[0]), r[1], r[2]) for r in b.select(
+            "partition_date", "partition_hour", "timestamp").collect())
+        fast = sorted([(str(r.date_part), r.hour_part, r.velocity) for r in fastest_per_hour(
+            s, "g", report_tz="Asia/Jerusalem").collect()], key=repr)
+        last = sorted((r.vin, r.last_reported_timestamp, r.last_front_left_door_state)
+                      for r in vin_last_state(s, "g").collect())
+        return keys, fast, last
+
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        other = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert other == run()
