@@ -33,15 +33,6 @@ def combined_pattern(patterns: Sequence[str]) -> str | None:
     return "|".join(f"(?:{p})" for p in patterns)
 
 
-# Characters with a meaning in Java regular expressions; a pattern without
-# any of them matches exactly its own text (helper for callers).
-_META = set("\\^$.|?*+()[]{}")
-
-
-def is_literal(pattern: str) -> bool:
-    return bool(pattern) and not any(ch in _META for ch in pattern)
-
-
 def matches_any(c: str | Column, patterns: Sequence[str]) -> Column:
     """True when any pattern is found anywhere in the text of ``c``.
 

@@ -61,10 +61,3 @@ def test_combined_pattern_equals_separate_patterns(spark):
     assert combined_pattern([r"(a)\1"]) is None  # back-reference: kept separate
     one = df.select(matches_any("t", [r"(a)\1", r"x"]).alias("m")).collect()
     assert [r.m for r in one] == [("aa" in t) or ("x" in t) for t in texts]
-
-
-def test_literal_detection():
-    from telemetry_lake.functions.patterns import is_literal
-
-    assert is_literal("DROP") and is_literal(";") and is_literal("--") and is_literal("a/b")
-    assert not is_literal(r"/\\*") and not is_literal("a|b") and not is_literal("^x") and not is_literal("")
