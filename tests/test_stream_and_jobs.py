@@ -118,3 +118,28 @@ def test_stream_with_processing_time_trigger(spark, scratch, landing):
     finally:
         q.stop()
     assert read_bronze(spark, scratch + "/bronze").count() == 1000
+
+
+def test_command_line_stages_and_stats(spark, scratch, landing, capsys):
+    import json
+
+    from telemetry_lake.__main__ import main
+
+    args = ["--landing", landing, "--bronze", scratch + "/bronze", "--silver", scratch + "/silver",
+            "--gold", scratch + "/gold"]
+    assert main(args + ["--stage", "bronze", "--batch-id", "cli"], spark=spark) == 0
+    assert json.loads(capsys.readouterr().out)["records_fetched"] == 1000
+    assert main(args + ["--stage", "silver"], spark=spark) == 0
+    capsys.readouterr()
+    assert main(args + ["--stage", "gold"], spark=spark) == 0
+    capsys.readouterr()
+    assert main(args + ["--stats"], spark=spark) == 0
+    stats = json.loads(capsys.readouterr().out)
+    assert stats["bronze"]["total_records"] == 1000 and stats["bronze"]["total_files"] >= 1
+    assert stats["silver"]["total_records"] == 923
+    assert stats["gold"]["total_reports"] >= 3
+    assert set(stats["gold"]["report_types"]) == {"vin_last_state", "velocity_analysis",
+                                                  "sql_violating_messages_report"}
+    # a failing stage: exit status 1, stage contract in the JSON
+    assert main(["--root", scratch + "/nothing", "--stage", "silver"], spark=spark) == 1
+    assert json.loads(capsys.readouterr().out)["status"] == "failed"
