@@ -38,6 +38,9 @@ def _config(args: argparse.Namespace) -> LakeConfig:
         multi_line=not args.line_per_response,
         bronze_mode=args.bronze_mode,
         report_tz=args.report_tz,
+        api_url_template=args.api_url_template,
+        fetch_amount=args.batch_size,
+        page_size=args.page_size,
     )
 
 
@@ -81,6 +84,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--report-tz", default="UTC")
     p.add_argument("--line-per-response", action="store_true",
                    help="landing files hold one JSON array per line")
+    p.add_argument("--api-url-template",
+                   help="fetch from the API instead of landing files, e.g. "
+                        "'https://api.example.com/vehicle_messages?amount={amount}'")
+    p.add_argument("--batch-size", type=int, default=10000, help="messages to fetch")
+    p.add_argument("--page-size", type=int, default=1000, help="messages per request")
     args = p.parse_args(argv)
     cfg = _config(args)
     if spark is None:

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from telemetry_lake.operators.bronze import to_bronze
 from telemetry_lake.operators.fastest import fastest_per_hour
@@ -22,8 +23,9 @@ from telemetry_lake.operators.violations import pattern_violations
 from telemetry_lake.schemas import DEFAULT_PATTERN_COLUMNS, DEFAULT_PATTERNS
 from telemetry_lake.sources.bronze_store import read_bronze, write_bronze
 from telemetry_lake.sources.landing import read_landing
+from telemetry_lake.sources.paged import fetch_pages, read_pages
 from telemetry_lake.sources.layers import latest_silver_path, write_gold, write_silver
-from telemetry_lake.stamps import default_batch_id, utc_now
+from telemetry_lake.stamps import compact_stamp, default_batch_id, iso_stamp, utc_now
 
 log = logging.getLogger("telemetry_lake")
 
@@ -50,6 +52,11 @@ class LakeConfig:
     report_tz: str = "UTC"
     pattern_columns: list[str] = field(default_factory=lambda: list(DEFAULT_PATTERN_COLUMNS))
     patterns: list[str] = field(default_factory=lambda: list(DEFAULT_PATTERNS))
+    # Fetch from the message API instead of reading landing files: pages are
+    # requested in parallel, stored once under landing_path, then read.
+    api_url_template: str | None = None  # "{page}" and "{amount}" are filled in
+    fetch_amount: int = 10000
+    page_size: int = 1000
 
 
 def bronze_stage(spark: SparkSession, cfg: LakeConfig, batch_id: str | None = None,
@@ -57,7 +64,13 @@ def bronze_stage(spark: SparkSession, cfg: LakeConfig, batch_id: str | None = No
     """Landing -> bronze.  Raises on failure."""
     now = now or utc_now()
     batch_id = batch_id or default_batch_id(now, "bronze")
-    raw = read_landing(spark, cfg.landing_path, cfg.multi_line, fetched_at or now)
+    if cfg.api_url_template:
+        pages = fetch_pages(spark, cfg.api_url_template, cfg.fetch_amount, cfg.page_size,
+                            f"{cfg.landing_path.rstrip('/')}/pages_{compact_stamp(now)}")
+        raw = read_pages(spark, pages).withColumn("fetch_timestamp",
+                                                  F.lit(iso_stamp(fetched_at or now)))
+    else:
+        raw = read_landing(spark, cfg.landing_path, cfg.multi_line, fetched_at or now)
     if not has_rows(raw):
         raise ValueError("No data provided to write")
     obs = Observation("bronze")

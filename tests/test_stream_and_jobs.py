@@ -143,3 +143,21 @@ def test_command_line_stages_and_stats(spark, scratch, landing, capsys):
     # a failing stage: exit status 1, stage contract in the JSON
     assert main(["--root", scratch + "/nothing", "--stage", "silver"], spark=spark) == 1
     assert json.loads(capsys.readouterr().out)["status"] == "failed"
+
+
+def test_bronze_stage_fetches_pages(spark, scratch):
+    import json
+    import os
+
+    for page, n in enumerate([2, 2, 1]):
+        os.makedirs(f"{scratch}/api/page={page}")
+        with open(f"{scratch}/api/page={page}/body.json", "w") as fh:
+            fh.write(json.dumps([{"vin": f"P{page}{i}", "timestamp": 1000 * i} for i in range(n)]))
+    cfg = LakeConfig(landing_path=scratch + "/landing", bronze_path=scratch + "/bronze",
+                     silver_path=scratch + "/silver", gold_path=scratch + "/gold",
+                     api_url_template=f"file://{scratch}/api/page={{page}}", fetch_amount=6, page_size=2)
+    out = run_bronze(spark, cfg, now=NOW)
+    assert out["status"] == "success" and out["records_fetched"] == 5
+    rows = read_bronze(spark, cfg.bronze_path).collect()
+    assert sorted(r.vin for r in rows) == ["P00", "P01", "P10", "P11", "P20"]
+    assert {r.fetch_timestamp for r in rows} == {NOW.isoformat()}
