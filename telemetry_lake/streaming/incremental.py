@@ -87,8 +87,13 @@ def stream_to_bronze(
         bronze = bronze.withColumn(
             "batch_id", F.concat(F.lit("stream_"), _batch_stamp("yyyyMMdd_HHmmss"))
         )
+    # One file per hour and micro-batch: hash-partition each batch on the keys
+    # (measured at sf0.1: fewer files and a little faster than writing from the
+    # input tasks).  AQE does not run in streaming, so a hot hour is not split
+    # here; its share of one task is bounded by the batch size (maxFilesPerTrigger).
     writer = (
-        bronze.writeStream.format("parquet")
+        bronze.repartition(*PARTITION_KEYS)
+        .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint_path)
         .partitionBy(*PARTITION_KEYS)
         .outputMode("append")
