@@ -51,30 +51,42 @@ def _fetch(url: str, timeout: float) -> str:
         return resp.read().decode("utf-8")
 
 
+def _page_amount(page: int, total_amount: int, size: int) -> int:
+    """Requested amount of page ``page`` (same numbers as ``plan_pages``)."""
+    return min(size, total_amount - page * size)
+
+
 class _PageReader(DataSourceReader):
+    # Only scalars travel with each task; a page's amount is computed on the
+    # executor, so a million pages do not ship a million-entry list per task.
     def __init__(self, options: dict[str, str]):
         self.template = options["url_template"]
-        self.amounts = plan_pages(int(options.get("total_amount", "0")),
-                                  int(options.get("batch_size", "1000")))
+        self.total = max(0, int(options.get("total_amount", "0")))
+        self.size = max(1, int(options.get("batch_size", "1000")))
+        self.per_task = max(1, int(options.get("pages_per_partition", "1")))
         self.timeout = float(options.get("timeout", "30"))
 
     def partitions(self):
-        return [InputPartition(i) for i in range(len(self.amounts))]
+        pages = -(-self.total // self.size)  # ceil
+        return [InputPartition((first, min(first + self.per_task, pages)))
+                for first in range(0, pages, self.per_task)]
 
     def read(self, partition):
-        page = partition.value
-        amount = self.amounts[page]
-        body = json.loads(_fetch(self.template.format(page=page, amount=amount), self.timeout))
-        if not isinstance(body, list):
-            raise ValueError("Expected list of messages from API")
-        for message in body:
-            yield (page, amount, len(body), json.dumps(message))
+        first, end = partition.value
+        for page in range(first, end):
+            amount = _page_amount(page, self.total, self.size)
+            body = json.loads(_fetch(self.template.format(page=page, amount=amount), self.timeout))
+            if not isinstance(body, list):
+                raise ValueError("Expected list of messages from API")
+            for message in body:
+                yield (page, amount, len(body), json.dumps(message))
 
 
 class VehicleMessagesSource(DataSource):
     """``spark.read.format("vehicle_messages")`` with options ``url_template``
     (``{page}`` and ``{amount}`` are filled in), ``total_amount``,
-    ``batch_size`` (<= 0 means 1) and ``timeout`` seconds.
+    ``batch_size`` (<= 0 means 1), ``pages_per_partition`` (consecutive pages
+    fetched by one task; default 1) and ``timeout`` seconds.
     One row per message: page, requested, page_rows, message (JSON text).
     """
 
@@ -104,14 +116,20 @@ def fetch_pages(
     total_amount: int,
     batch_size: int,
     landing_path: str,
+    pages_per_partition: int = 1,
 ) -> str:
-    """Fetch every page in parallel and store the raw pages once (Parquet)."""
+    """Fetch every page in parallel and store the raw pages once (Parquet).
+
+    ``pages_per_partition`` groups consecutive pages into one task: with very
+    many pages it keeps the task count sane, with few it keeps concurrency.
+    """
     register(spark)
     (
         spark.read.format("vehicle_messages")
         .option("url_template", url_template)
         .option("total_amount", str(total_amount))
         .option("batch_size", str(batch_size))
+        .option("pages_per_partition", str(pages_per_partition))
         .load()
         .write.mode("errorifexists")
         .parquet(landing_path)

@@ -100,3 +100,23 @@ def test_nan_becomes_null_in_bronze(spark, scratch):
     assert str(raw.first().velocity) == "nan"
     r = to_bronze(raw, batch_id="b", ingested_at="i").first()
     assert r.velocity is None and r.latitude == 1.5
+
+
+def test_paged_source_groups_pages_per_task(spark, scratch):
+    for page, n in enumerate([3, 3, 3, 2, 3]):  # page 3 is short
+        _write(f"{scratch}/api/page={page}/body.json",
+               json.dumps([{"vin": f"P{page}-{i}", "timestamp": i} for i in range(n)]))
+    url = f"file://{scratch}/api/page={{page}}"
+    fetch_pages(spark, url, 15, 3, scratch + "/one", pages_per_partition=1)
+    fetch_pages(spark, url, 15, 3, scratch + "/two", pages_per_partition=2)
+    a = sorted(r.vin for r in read_pages(spark, scratch + "/one").collect())
+    b = sorted(r.vin for r in read_pages(spark, scratch + "/two").collect())
+    assert a == b and len(a) == 11 and "P4-0" not in a
+    assert spark.read.parquet(scratch + "/two").rdd.getNumPartitions() >= 1
+
+
+def test_page_amounts_match_plan():
+    from telemetry_lake.sources.paged import _page_amount
+
+    for total, size in [(25, 10), (30, 10), (1, 1), (7, 3), (1000, 1000)]:
+        assert [_page_amount(p, total, size) for p in range(len(plan_pages(total, size)))] == plan_pages(total, size)
