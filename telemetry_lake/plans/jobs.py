@@ -57,6 +57,7 @@ class LakeConfig:
     api_url_template: str | None = None  # "{page}" and "{amount}" are filled in
     fetch_amount: int = 10000
     page_size: int = 1000
+    pages_per_task: int = 1
 
 
 def bronze_stage(spark: SparkSession, cfg: LakeConfig, batch_id: str | None = None,
@@ -66,7 +67,8 @@ def bronze_stage(spark: SparkSession, cfg: LakeConfig, batch_id: str | None = No
     batch_id = batch_id or default_batch_id(now, "bronze")
     if cfg.api_url_template:
         pages = fetch_pages(spark, cfg.api_url_template, cfg.fetch_amount, cfg.page_size,
-                            f"{cfg.landing_path.rstrip('/')}/pages_{compact_stamp(now)}")
+                            f"{cfg.landing_path.rstrip('/')}/pages_{compact_stamp(now)}",
+                            pages_per_partition=cfg.pages_per_task)
         raw = read_pages(spark, pages).withColumn("fetch_timestamp",
                                                   F.lit(iso_stamp(fetched_at or now)))
     else:
