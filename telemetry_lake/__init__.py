@@ -10,9 +10,11 @@ from telemetry_lake.operators import (
     to_silver,
     vin_last_state,
 )
+from telemetry_lake.plans.jobs import LakeConfig, run_all, run_bronze, run_gold, run_silver
 from telemetry_lake.session import checkpoint_root, lake_session
 
 __all__ = [
+    "LakeConfig",
     "checkpoint_root",
     "fastest_per_hour",
     "lake_session",
@@ -20,6 +22,10 @@ __all__ = [
     "latest_row",
     "latest_state",
     "pattern_violations",
+    "run_all",
+    "run_bronze",
+    "run_gold",
+    "run_silver",
     "to_bronze",
     "to_silver",
     "vin_last_state",
