@@ -148,6 +148,10 @@ def q_vin_last_state(spark, sf_dir):
     return op.vin_last_state(_silver(spark, sf_dir, sort=False), GOLD_AT)
 
 
+def q_vin_last_state_encoded(spark, sf_dir):
+    return op.vin_last_state(_silver(spark, sf_dir, sort=False), GOLD_AT, method="encoded")
+
+
 def q_vin_last_state_windows(spark, sf_dir):
     return op.vin_last_state_windows(_silver(spark, sf_dir, sort=False), GOLD_AT)
 
@@ -215,6 +219,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_clean": q_silver_clean,
     "silver_gear_counts": q_silver_gear_counts,
     "vin_last_state": q_vin_last_state,
+    "vin_last_state_encoded": q_vin_last_state_encoded,
     "vin_last_state_windows": q_vin_last_state_windows,
     "latest_message_per_vin": q_latest_message_per_vin,
     "last_door_state": q_last_door_state,
@@ -395,6 +400,8 @@ FROM bronze GROUP BY partition_date, partition_hour""",
     "silver_gear_counts": _S + """
 SELECT gear_position_numeric, COUNT(*) AS message_count FROM silver GROUP BY gear_position_numeric""",
     "vin_last_state": _S + "," + LAST_STATE_SQL + """
+SELECT * FROM last_state ORDER BY last_message_datetime DESC NULLS LAST, vin""",
+    "vin_last_state_encoded": _S + "," + LAST_STATE_SQL + """
 SELECT * FROM last_state ORDER BY last_message_datetime DESC NULLS LAST, vin""",
     "vin_last_state_windows": _S + "," + LAST_STATE_SQL + "\nSELECT * FROM last_state",
     "latest_message_per_vin": _S + "," + LAST_STATE_SQL + """

@@ -49,6 +49,7 @@ class LakeConfig:
     bronze_mode: str = "overwrite"
     silver_sort: bool = True
     top_k: int = 10
+    last_state_method: str = "struct"  # or "encoded": hash aggregate, see vin_last_state
     report_tz: str = "UTC"
     pattern_columns: list[str] = field(default_factory=lambda: list(DEFAULT_PATTERN_COLUMNS))
     patterns: list[str] = field(default_factory=lambda: list(DEFAULT_PATTERNS))
@@ -107,7 +108,8 @@ def gold_stage(spark: SparkSession, cfg: LakeConfig, silver_path: str | None = N
             raise FileNotFoundError("No silver file found")
     silver = spark.read.parquet(silver_path)
     reports = {
-        "vin_last_state": write_gold(vin_last_state(silver, now), cfg.gold_path, "vin_last_state"),
+        "vin_last_state": write_gold(vin_last_state(silver, now, method=cfg.last_state_method),
+                                     cfg.gold_path, "vin_last_state"),
         "velocity_analysis": write_gold(
             fastest_per_hour(silver, now, k=cfg.top_k, report_tz=cfg.report_tz),
             cfg.gold_path, "velocity_analysis"),

@@ -99,3 +99,33 @@ def test_latest_message_window_limits_before_exchange(spark):
     assert [(r.vin, r.last_reported_timestamp) for r in df.collect()] == [("A", 2)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_encoded_method_equals_struct_method(spark):
+    rnd = random.Random(11)
+    rows = [
+        {"vin": f"V{rnd.randrange(15)}",
+         "timestamp": rnd.choice([None] + [1000 * t for t in range(30)]),
+         "frontLeftDoorState": rnd.choice([None, "LOCKED", "UNLOCKED", "AJAR"]),
+         "wipersState": rnd.choice([None, "ON", "OFF"])}
+        for _ in range(800)
+    ]
+    s = _silver(spark, rows)
+    a = sorted(map(tuple, vin_last_state(s, "g").collect()), key=repr)
+    encoded = vin_last_state(s, "g", method="encoded")
+    b = sorted(map(tuple, encoded.collect()), key=repr)
+    assert a == b
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_encoded_method_falls_back_and_handles_empty_states(spark):
+    rows = [{"vin": "A", "timestamp": i, "frontLeftDoorState": f"S{i:03d}"} for i in range(300)]
+    s = _silver(spark, rows)
+    out = vin_last_state(s, "g", method="encoded")  # 300 door states > 256: struct form
+    assert [(r.last_front_left_door_state, r.last_wipers_state) for r in out.collect()] == [("S299", None)]
+    assert "SortAggregate" in out._jdf.queryExecution().executedPlan().toString()
+    import pytest
+
+    with pytest.raises(ValueError):
+        vin_last_state(s, "g", method="other")
