@@ -161,3 +161,15 @@ def test_bronze_stage_fetches_pages(spark, scratch):
     rows = read_bronze(spark, cfg.bronze_path).collect()
     assert sorted(r.vin for r in rows) == ["P00", "P01", "P10", "P11", "P20"]
     assert {r.fetch_timestamp for r in rows} == {NOW.isoformat()}
+
+
+def test_gold_stage_encoded_last_state_equals_default(spark, scratch, landing):
+    outs = []
+    for method in ("struct", "encoded"):
+        cfg = LakeConfig(landing_path=landing, bronze_path=f"{scratch}/{method}/bronze",
+                         silver_path=f"{scratch}/{method}/silver", gold_path=f"{scratch}/{method}/gold",
+                         last_state_method=method)
+        res = run_all(spark, cfg, now=NOW)
+        report = spark.read.parquet(res["stages"]["gold"]["reports_generated"]["vin_last_state"])
+        outs.append(sorted(map(tuple, report.collect()), key=repr))
+    assert outs[0] == outs[1] and len(outs[0]) == 15
