@@ -41,6 +41,7 @@ def _config(args: argparse.Namespace) -> LakeConfig:
         api_url_template=args.api_url_template,
         fetch_amount=args.batch_size,
         page_size=args.page_size,
+        last_state_method=args.last_state_method,
     )
 
 
@@ -82,6 +83,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--silver-path", help="gold stage: silver run to report on (default: latest)")
     p.add_argument("--bronze-mode", choices=["overwrite", "append"], default="overwrite")
     p.add_argument("--report-tz", default="UTC")
+    p.add_argument("--last-state-method", choices=["struct", "encoded"], default="struct",
+                   help="encoded: hash-aggregate form of the last-state report")
     p.add_argument("--line-per-response", action="store_true",
                    help="landing files hold one JSON array per line")
     p.add_argument("--api-url-template",
