@@ -77,6 +77,7 @@ def main() -> None:
 
     runs = {
         "vin_last_state": lambda: vin_last_state(silver, "g").write.format("noop").mode("overwrite").save(),
+        "vin_last_state_encoded": lambda: vin_last_state(silver, "g", method="encoded").write.format("noop").mode("overwrite").save(),
         "fastest_per_hour": lambda: fastest_per_hour(silver, "g").write.format("noop").mode("overwrite").save(),
         "manufacturer_summary": lambda: manufacturer_summary(silver).write.format("noop").mode("overwrite").save(),
         "silver_sort": lambda: to_silver(bronze, "s").write.format("noop").mode("overwrite").save(),
@@ -86,7 +87,7 @@ def main() -> None:
         spark.sparkContext.setJobGroup(name, name)
         t0 = time.time()
         run()
-        print(f"{name:20s} {time.time() - t0:6.2f}s", flush=True)
+        print(f"{name:24s} {time.time() - t0:6.2f}s", flush=True)
     spark.stop()
 
     group_of_job, stage_group = {}, {}
@@ -104,7 +105,7 @@ def main() -> None:
             out = m.get("Output Metrics", {}).get("Records Written", 0) or \
                 m.get("Shuffle Write Metrics", {}).get("Shuffle Records Written", 0)
             tasks[e["Stage ID"]].append((rows_in, out, m.get("Executor Run Time", 0), bool(rd)))
-    print(f"\n{'run':20s} {'stage':>5s} {'tasks':>5s} {'in max':>9s} {'in med':>9s} "
+    print(f"\n{'run':24s} {'stage':>5s} {'tasks':>5s} {'in max':>9s} {'in med':>9s} "
           f"{'out max':>9s} {'out med':>9s} {'ms max':>7s} {'ms med':>7s}")
     for stage in sorted(tasks):
         name = stage_group.get(stage)
@@ -115,7 +116,7 @@ def main() -> None:
         outs = [r[1] for r in rows]
         ms = [r[2] for r in rows]
         kind = "shuffle" if any(r[3] for r in rows) else "scan"
-        print(f"{name:20s} {stage:5d} {len(rows):5d} {max(ins):9d} {int(statistics.median(ins)):9d} "
+        print(f"{name:24s} {stage:5d} {len(rows):5d} {max(ins):9d} {int(statistics.median(ins)):9d} "
               f"{max(outs):9d} {int(statistics.median(outs)):9d} {max(ms):7d} {int(statistics.median(ms)):7d}  {kind}")
 
 
