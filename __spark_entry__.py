@@ -241,8 +241,21 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_vin_last_state(spark, "/root/testdata/sf0.001")
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, if that subpackage is there."""
+    try:
+        import corpus_pipeline
+        from telemetry_lake.llm.queries import ORACLE, QUERIES
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "telemetry_lake.llm", "telemetry_lake.llm.queries"):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, {**ORACLE, **sql}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 # --- DuckDB oracle --------------------------------------------------------------
@@ -458,4 +471,4 @@ FROM silver""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _ORACLE.items() if k in _QUERIES}
+    return {**{k: v for k, v in _ORACLE.items() if k in _QUERIES}, **_training_data()[1]}
