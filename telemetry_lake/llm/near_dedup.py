@@ -5,11 +5,13 @@ with one representative.  A representative has ``TOKENS`` minwise tokens.  In
 each of ``TREES`` independent trees a node chooses a few token positions (by a
 hash of its own path) and its documents branch by their token there.  Two
 documents of high similarity agree on most tokens, so they stay together along
-many paths; unrelated ones part at once.  Nodes of at most ``SMALL`` documents
-are compared exhaustively on their tokens; larger ones compare everything with
-one pivot and branch again.  What is still large at the last level is compared
-in blocks, unless all its documents are already connected.  Every link is
-confirmed on the full sets.
+many paths; unrelated ones part at once.  Every node compares its documents with a
+random pivot; nodes of at most ``SMALL`` documents then compare exhaustively,
+larger ones branch again, and what is still large at the last level is compared
+in blocks.  Only components are asked for, so a node whose documents are all
+connected is done, and documents of one component are not compared again: a
+group of near copies costs a few comparisons a document, not a square.  Tokens
+decide which pairs are looked at; every link is confirmed on the full sets.
 
 Recall: a pair of similarity 0.85 meets below the root with probability
 1 - 0.15**2 a tree and level, so it is missed in all trees with a probability
@@ -141,10 +143,11 @@ def branch(members: DataFrame) -> DataFrame:
 
 
 def small_pairs(members: DataFrame) -> DataFrame:
-    """All pairs (a, b) within nodes of at most ``SMALL`` documents whose tokens agree enough.
+    """Pairs (a, b) of different components within small nodes whose tokens agree enough.
 
-    Sorted by node, a document is compared with the ``SMALL`` rows before it, so
-    memory is bounded by a batch.
+    ``members``: (node, id, component, tokens) of nodes of at most ``SMALL``
+    documents.  Sorted by node, a document is compared with the ``SMALL`` rows
+    before it, so memory is bounded by a batch.
     """
 
     def run(batches):
@@ -152,27 +155,22 @@ def small_pairs(members: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fresh = (batch.column(0).to_numpy(), batch.column(1).to_numpy(), _token_rows(batch.column(2)))
+            fresh = (*(batch.column(k).to_numpy() for k in range(3)), _token_rows(batch.column(3)))
             before = 0 if held is None else len(held[0])
-            node, ids, tokens = fresh if held is None else (np.concatenate(x) for x in zip(held, fresh, strict=True))
-            pairs = []
-            for lag in range(1, SMALL):
-                at = np.flatnonzero(node[lag:] == node[:-lag]) + lag if len(node) > lag else np.zeros(0, np.int64)
+            rows = fresh if held is None else tuple(np.concatenate(x) for x in zip(held, fresh, strict=True))
+            node, ids, component, tokens = rows
+            pairs = [np.zeros((0, 2), np.int64)]
+            for lag in range(1, min(SMALL, len(node))):
+                at = np.flatnonzero((node[lag:] == node[:-lag]) & (component[lag:] != component[:-lag])) + lag
                 at = at[at >= before]
-                if not len(at) and lag > before:
-                    break
-                equal = (tokens[at] == tokens[at - lag]).sum(axis=1)
-                at = at[equal >= ESTIMATE_LEAST]
+                at = at[(tokens[at] == tokens[at - lag]).sum(axis=1) >= ESTIMATE_LEAST]
                 pairs.append(np.stack([ids[at], ids[at - lag]], axis=1))
-            held = tuple(x[-SMALL:] for x in (node, ids, tokens))
-            pairs = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs.min(axis=1, initial=1 << 62)), pa.array(pairs.max(axis=1, initial=-(1 << 62)))],
-                names=["a", "b"],
-            )
+            held = tuple(x[-SMALL:] for x in rows)
+            found = np.sort(np.concatenate(pairs), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
-    ordered = members.select("node", "id", "tokens").repartition("node").sortWithinPartitions("node", "id")
-    return ordered.mapInArrow(run, "a bigint, b bigint")
+    ordered = members.select("node", "id", "component", "tokens").repartition("node").sortWithinPartitions("node", "id")
+    return _ordered(ordered.mapInArrow(run, "a bigint, b bigint")).distinct()
 
 
 def agreeing(pairs: DataFrame) -> DataFrame:
@@ -200,10 +198,10 @@ def _sized(members: DataFrame) -> DataFrame:
     return members.join(nodes.where("size > 1"), "node")
 
 
-def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(candidate pairs, members of nodes still large at the last level) for reps (id, tokens)."""
+def roots(reps: DataFrame) -> DataFrame:
+    """(node, id) of the first level of all trees for reps (id, tokens)."""
 
-    def roots(batches):
+    def run(batches):
         for batch in batches:
             if batch.num_rows:
                 tokens, ids = _token_rows(batch.column(1)), batch.column(0).to_numpy()
@@ -214,23 +212,70 @@ def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
                     names=["node", "id"],
                 )
 
-    level = reps.select("id", "tokens").mapInArrow(roots, "node bigint, id bigint").distinct()
-    found, rest = None, None
+    return reps.select("id", "tokens").mapInArrow(run, "node bigint, id bigint").distinct()
+
+
+class Links:
+    """Confirmed links found so far and the components that they make."""
+
+    def __init__(self, tokens: DataFrame, sets: DataFrame, percent: int):
+        self.tokens, self.sets, self.percent = tokens, sets, percent
+        self.links: DataFrame | None = None
+        self.linked = tokens.select("id", F.col("id").alias("component")).where("false")
+
+    def components_of(self, rows: DataFrame, name: str, to: str) -> DataFrame:
+        """Add the component of column ``name`` as column ``to``."""
+        side = self.linked.select(F.col("id").alias(name), F.col("component").alias(to))
+        return rows.join(side, name, "left").withColumn(to, F.coalesce(to, name))
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Pairs of different components."""
+        both = self.components_of(self.components_of(pairs, "a", "ca"), "b", "cb")
+        return both.where("ca <> cb").select("a", "b")
+
+    def with_tokens(self, pairs: DataFrame) -> DataFrame:
+        left = self.tokens.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
+        right = self.tokens.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
+        return pairs.join(left, "a").join(right, "b")
+
+    def add(self, pairs: DataFrame) -> None:
+        """Confirm candidate pairs on the full sets and extend the components."""
+        new = saved(confirmed(pairs, self.sets, self.percent), "links")
+        if new.limit(1).count():
+            self.links = new if self.links is None else self.links.unionByName(new)
+            # one edge from each known document to its component stands for the older links
+            known = self.linked.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+            self.linked = saved(components(known.unionByName(new)), "linked")
+
+
+def join_sets(reps: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """Components (id, component) of the representatives (id, tokens) that have a link."""
+    level = saved(_sized(roots(reps)), "level1")
+    together = saved(level.select("id").distinct(), "together")
+    tokens = saved(reps.join(together, "id"), "tokens")
+    sets = saved(
+        set_rows(docs.join(together.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), size).dropDuplicates(["id"]),
+        "sets",
+    )
+    found = Links(tokens, sets, percent)
     for depth in range(1, DEPTH + 1):
-        members = saved(_sized(level).join(reps, "id").select("node", "id", "size", "pivot", "tokens"), f"level{depth}")
-        few = saved(_ordered(small_pairs(members.where(F.col("size") <= SMALL))).distinct(), "pairs")
-        found = few if found is None else found.unionByName(few)
-        large = members.where(F.col("size") > SMALL)
-        if large.limit(1).count() == 0:
-            rest = large
-            break
-        stars = large.select("pivot", "id", "tokens").distinct().join(
-            reps.select(F.col("id").alias("pivot"), F.col("tokens").alias("ta")), "pivot"
-        ).select(F.col("pivot").alias("a"), "ta", F.col("id").alias("b"), F.col("tokens").alias("tb"))
-        found = found.unionByName(saved(_ordered(agreeing(stars)).distinct(), "stars"))
-        rest = large
-        level = branch(large)
-    return found.distinct(), rest
+        stars = _ordered(level.select(F.col("pivot").alias("a"), F.col("id").alias("b"))).distinct()
+        stars = agreeing(found.with_tokens(found.apart(stars)))
+        if depth == 1:
+            found.add(stars)
+            stars = None
+        parts = found.components_of(level, "id", "component")
+        mixed = parts.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        alive = saved(parts.join(mixed.where("lo <> hi").select("node"), "node").join(tokens, "id"), f"alive{depth}")
+        pairs = small_pairs(alive.where(F.col("size") <= SMALL))
+        found.add(pairs if stars is None else pairs.unionByName(stars).distinct())
+        large = alive.where(F.col("size") > SMALL)
+        if not large.limit(1).count():
+            return found.linked
+        if depth < DEPTH:
+            level = saved(_sized(branch(large)), f"level{depth + 1}")
+    found.add(saved(block_pairs(large.drop("component"), found.linked), "blocks"))
+    return found.linked
 
 
 def block_pairs(rest: DataFrame, linked: DataFrame) -> DataFrame:
@@ -330,35 +375,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, size: int = SHINGLE) -> DataF
         .select(F.col("rep").alias("id"), "tokens").dropDuplicates(["id"]),
         "reps",
     )
-    pairs, rest = candidates(reps)
-    pairs = saved(pairs, "candidates")
-    used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-
-    def sets_of(ids):
-        return saved(set_rows(docs.join(ids, "doc_id", "left_semi"), size).dropDuplicates(["id"]), "sets")
-
-    sets = sets_of(used)
-    # First one pair per document; then only pairs that could still join components.
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = saved(confirmed(first, sets, percent), "links")
-    linked = saved(components(links), "linked")
-
-    def apart(some_pairs):
-        side = lambda name: linked.select(F.col("id").alias(name), F.col("component").alias(f"c{name}"))
-        return (
-            some_pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-            .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-        )
-
-    more = confirmed(apart(pairs.join(first, ["a", "b"], "left_anti")), sets, percent)
-    links = saved(links.unionByName(more), "links")
-    linked = saved(components(links), "linked")
-    if rest.limit(1).count():
-        left_over = saved(block_pairs(rest, linked), "blocks")
-        if left_over.limit(1).count():
-            ids = left_over.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-            links = links.unionByName(confirmed(left_over, sets_of(ids), percent))
-            linked = components(saved(links, "links"))
+    linked = join_sets(reps, docs, percent, size)
     of_class = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left").select(
         "fp1", "fp2", F.coalesce("component", "rep").alias("component")
     )
