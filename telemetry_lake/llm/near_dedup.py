@@ -5,18 +5,18 @@ with one representative.  A representative has ``TOKENS`` minwise tokens.  In
 each of ``TREES`` independent trees a node chooses a few token positions (by a
 hash of its own path) and its documents branch by their token there.  Two
 documents of high similarity agree on most tokens, so they stay together along
-many paths; unrelated ones part at once.  Every node compares its documents with a
-random pivot; nodes of at most ``SMALL`` documents then compare exhaustively,
-larger ones branch again, and what is still large at the last level is compared
-in blocks.  Only components are asked for, so a node whose documents are all
-connected is done, and documents of one component are not compared again: a
-group of near copies costs a few comparisons a document, not a square.  Tokens
-decide which pairs are looked at; every link is confirmed on the full sets.
-
-Recall: a pair of similarity 0.85 meets below the root with probability
-1 - 0.15**2 a tree and level, so it is missed in all trees with a probability
-of less than 1e-8 where nodes are small, and about 0.15**(2 * TREES / depth)
-further down; the token estimate drops it with less than 1e-6.
+many paths; unrelated ones part at once.  Nodes of at most ``SMALL`` documents are
+compared exhaustively on their tokens, first with a pivot, then across what the
+pivots have not connected; the links are confirmed on the full sets.  Nodes of
+at most ``MEDIUM`` documents are compared exhaustively on their full sets, block
+against block, and give a spanning forest of their links, so a group of copies
+costs rows in proportion to its size.  Larger nodes branch again, down to
+``DEPTH`` levels; what is still larger there is compared in blocks as well.
+
+Recall: a pair of similarity 0.85 stays together in one level of a tree with
+probability 1 - 0.15**2, in three levels with 0.97, and is missed by all three
+trees with less than 1e-4; the token estimate of small nodes drops it with less
+than 1e-6.
 """
 
 from __future__ import annotations
@@ -31,10 +31,12 @@ from telemetry_lake.llm.text import chunks, mix, word_hashes
 
 SHINGLE = 5
 TOKENS = 64
-TREES = 6
+TREES = 3
 BRANCHES = 2
-DEPTH = 6
+DEPTH = 8
 SMALL = 32
+MEDIUM = 4096
+COLUMNS = 4096  # shingles that a block comparison multiplies at a time
 BLOCK = 1024
 ESTIMATE_LEAST = 36  # equal tokens of 64 that a candidate needs (0.85 would give 54.4 +- 2.9)
 
@@ -215,12 +217,78 @@ def roots(reps: DataFrame) -> DataFrame:
     return reps.select("id", "tokens").mapInArrow(run, "node bigint, id bigint").distinct()
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of all pairs of sets, by matrix products over the shingles that occur twice."""
+    sets = [*left, *right]
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    values, place, often = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = np.cumsum(often > 1) - 1
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    keep = often[place] > 1
+    owner, column = owner[keep], shared[place[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    total = int(column[-1]) + 1 if len(column) else 0
+    for first in range(0, total, COLUMNS):
+        at = slice(*np.searchsorted(column, (first, first + COLUMNS)))
+        block = np.zeros((len(sets), min(COLUMNS, total - first)), dtype=np.float32)
+        block[owner[at], column[at] - first] = 1
+        out += block[: len(left)] @ block[len(left) :].T
+    return out
+
+
+def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
+    """(first, member) for every member of each connected group of a symmetric boolean matrix."""
+    seen, out = np.zeros(len(linked), dtype=bool), []
+    for first in range(len(linked)):
+        if seen[first]:
+            continue
+        seen[first], front = True, np.array([first])
+        while len(front):
+            front = np.flatnonzero(linked[front].any(axis=0) & ~seen)
+            seen[front] = True
+            out += [(first, int(x)) for x in front]
+    return out
+
+
+def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Connected pairs (a, b) within nodes (node, id, size), by exact comparison of the full sets.
+
+    A node is dealt into blocks of about ``BLOCK`` documents and any two blocks
+    meet in one group, so no group holds more than two blocks.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id", "node"), blocks).cast("int")
+    dealt = members.select("node", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.select("node", "id", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+
+    def meet(t: pa.Table) -> pa.Table:
+        ids, own = t.column("id").to_numpy(), t.column("own").to_numpy()
+        full = [np.frombuffer(x.as_buffer(), "<u8") for x in t.column("shingles")]
+        low, high = t.column("low")[0].as_py(), t.column("high")[0].as_py()
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        both = overlaps([full[i] for i in left], [full[i] for i in right])
+        sizes = np.array([len(x) for x in full], dtype=np.float64)
+        union = sizes[left][:, None] + sizes[right][None, :] - both
+        near = 100.0 * both >= percent * union
+        rows = left if low == high else np.concatenate([left, right])
+        square = near if low == high else np.block(
+            [[np.zeros((len(left), len(left)), bool), near], [near.T, np.zeros((len(right), len(right)), bool)]]
+        )
+        pairs = np.array(spanning(square), dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": ids[rows[pairs[:, 0]]], "b": ids[rows[pairs[:, 1]]]})
+
+    return _ordered(
+        dealt.join(sets, "id").groupBy("node", "low", "high").applyInArrow(meet, "a bigint, b bigint")
+    ).distinct()
+
+
 class Links:
-    """Confirmed links found so far and the components that they make."""
+    """The components that the confirmed links make so far."""
 
     def __init__(self, tokens: DataFrame, sets: DataFrame, percent: int):
         self.tokens, self.sets, self.percent = tokens, sets, percent
-        self.links: DataFrame | None = None
         self.linked = tokens.select("id", F.col("id").alias("component")).where("false")
 
     def components_of(self, rows: DataFrame, name: str, to: str) -> DataFrame:
@@ -238,15 +306,17 @@ class Links:
         right = self.tokens.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
         return pairs.join(left, "a").join(right, "b")
 
-    def add(self, pairs: DataFrame) -> None:
-        """Confirm candidate pairs on the full sets and extend the components."""
-        new = saved(confirmed(pairs, self.sets, self.percent), "links")
+    def add(self, links: DataFrame) -> None:
+        """Extend the components by confirmed links."""
+        new = saved(links, "links")
         if new.limit(1).count():
-            self.links = new if self.links is None else self.links.unionByName(new)
             # one edge from each known document to its component stands for the older links
             known = self.linked.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
             self.linked = saved(components(known.unionByName(new)), "linked")
 
+    def confirm(self, pairs: DataFrame) -> DataFrame:
+        return confirmed(pairs, self.sets, self.percent)
+
 
 def join_sets(reps: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """Components (id, component) of the representatives (id, tokens) that have a link."""
@@ -259,60 +329,24 @@ def join_sets(reps: DataFrame, docs: DataFrame, percent: int, size: int) -> Data
     )
     found = Links(tokens, sets, percent)
     for depth in range(1, DEPTH + 1):
-        stars = _ordered(level.select(F.col("pivot").alias("a"), F.col("id").alias("b"))).distinct()
-        stars = agreeing(found.with_tokens(found.apart(stars)))
-        if depth == 1:
-            found.add(stars)
-            stars = None
-        parts = found.components_of(level, "id", "component")
-        mixed = parts.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        alive = saved(parts.join(mixed.where("lo <> hi").select("node"), "node").join(tokens, "id"), f"alive{depth}")
-        pairs = small_pairs(alive.where(F.col("size") <= SMALL))
-        found.add(pairs if stars is None else pairs.unionByName(stars).distinct())
-        large = alive.where(F.col("size") > SMALL)
-        if not large.limit(1).count():
-            return found.linked
+        small = level.where(F.col("size") <= SMALL)
+        stars = _ordered(small.select(F.col("pivot").alias("a"), F.col("id").alias("b"))).distinct()
+        stars = found.confirm(agreeing(found.with_tokens(found.apart(stars))))
+        medium = level.where(F.col("size") > SMALL)
         if depth < DEPTH:
-            level = saved(_sized(branch(large)), f"level{depth + 1}")
-    found.add(saved(block_pairs(large.drop("component"), found.linked), "blocks"))
+            medium = medium.where(F.col("size") <= MEDIUM)
+        found.add(stars.unionByName(block_links(medium, sets, percent)).distinct())
+        parts = found.components_of(small, "id", "component")
+        mixed = parts.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        alive = parts.join(mixed.where("lo <> hi").select("node"), "node").join(tokens, "id")
+        found.add(found.confirm(small_pairs(alive)))
+        large = level.where(F.col("size") > MEDIUM)
+        if depth == DEPTH or not large.limit(1).count():
+            break
+        level = saved(_sized(branch(large.join(tokens, "id"))), f"level{depth + 1}")
     return found.linked
 
 
-def block_pairs(rest: DataFrame, linked: DataFrame) -> DataFrame:
-    """Candidate pairs of the last level's large nodes, across what is not yet connected.
-
-    A node whose documents are all in one component needs nothing.  The others
-    are dealt into blocks; two blocks meet in one task, and only pairs of
-    different components whose tokens agree come out.
-    """
-    part = rest.join(linked, "id", "left").select(
-        "node", "id", "tokens", F.coalesce("component", "id").alias("component"), "size"
-    )
-    mixed = part.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    part = part.join(mixed.select("node"), "node")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    dealt = part.select("node", "id", "tokens", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    dealt = dealt.select(
-        "node", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "tokens", "component"
-    )
-
-    def meet(t: pa.Table) -> pa.Table:
-        ids, comp = t.column("id").to_numpy(), t.column("component").to_numpy()
-        tokens, own = _token_rows(t.column("tokens")), t.column("own").to_numpy()
-        low, high = t.column("low")[0].as_py(), t.column("high")[0].as_py()
-        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        out = []
-        for i in left:
-            js = right[comp[right] != comp[i]]
-            js = js[(tokens[js] == tokens[i]).sum(axis=1) >= ESTIMATE_LEAST]
-            out.append(np.stack([np.full(len(js), ids[i]), ids[js]], axis=1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return _ordered(dealt.groupBy("node", "low", "high").applyInArrow(meet, "a bigint, b bigint")).distinct()
-
-
 # --- confirmation on full sets -----------------------------------------------------
 
 
