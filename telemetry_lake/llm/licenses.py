@@ -134,7 +134,7 @@ def scan(text: str | None) -> dict:
             tagged = True
         elif label := BASE_PHRASES.get(phrase):
             n_base += 1
-            start = line.count(" ", 0, end - len(phrase))
+            start = line.count(" ", 0, end - len(phrase) - 1)
             first = start if first is None else min(first, start)
             last = start if last is None else max(last, start)
             base.add(label)
