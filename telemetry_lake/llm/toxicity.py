@@ -30,8 +30,8 @@ from telemetry_lake.llm.frames import table
 from telemetry_lake.llm.quality import held_out, sample_of
 from telemetry_lake.llm.text import NOT_ALNUM, chunks, flat, mix, word_hashes
 
-SAMPLE = 4000  # labelled documents that the model is fitted on, at most
-SAMPLE_CHARS = 32768  # characters of a document that fitting looks at
+SAMPLE = 2000  # labelled documents that the model is fitted on, at most
+SAMPLE_CHARS = 16384  # characters of a document that fitting looks at
 FOLDS, HELD = 3, 1
 THRESHOLD = 0.7
 WINDOW = 56  # bytes: seven words
