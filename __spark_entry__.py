@@ -99,7 +99,7 @@ def q_stream_bronze(spark, sf_dir):
     out = scratch_path(spark, "stream_bronze")
     run_stream_to_bronze(spark, landing, out, scratch_path(spark, "stream_ckpt"),
                          max_files_per_trigger=32, batch_id=BATCH_ID, fetched_at=FETCHED_AT,
-                         ingested_at=INGESTED_AT, timeout_s=1800)
+                         ingested_at=INGESTED_AT)
     return read_bronze(spark, out)
 
 

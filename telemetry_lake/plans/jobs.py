@@ -24,7 +24,7 @@ from telemetry_lake.schemas import DEFAULT_PATTERN_COLUMNS, DEFAULT_PATTERNS
 from telemetry_lake.sources.bronze_store import read_bronze, write_bronze
 from telemetry_lake.sources.landing import read_landing
 from telemetry_lake.sources.paged import fetch_pages, read_pages
-from telemetry_lake.sources.layers import latest_silver_path, write_gold, write_silver
+from telemetry_lake.sources.layers import clear_gold, latest_silver_path, write_gold, write_silver
 from telemetry_lake.stamps import compact_stamp, default_batch_id, iso_stamp, utc_now
 
 log = logging.getLogger("telemetry_lake")
@@ -107,6 +107,7 @@ def gold_stage(spark: SparkSession, cfg: LakeConfig, silver_path: str | None = N
         if not silver_path:
             raise FileNotFoundError("No silver file found")
     silver = spark.read.parquet(silver_path)
+    clear_gold(spark, cfg.gold_path)
     reports = {
         "vin_last_state": write_gold(vin_last_state(silver, now, method=cfg.last_state_method),
                                      cfg.gold_path, "vin_last_state"),

@@ -23,22 +23,32 @@ def write_silver(df: DataFrame, silver_root: str, processed_at: datetime | str)
     return path
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(configuration, file system, path) of a path of any scheme."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return conf, p.getFileSystem(conf), p
+
+
 def _child_dirs(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders directly below ``root`` (Hadoop FS, any scheme)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(conf)
+    _, fs, p = _hadoop(spark, root)
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
 def latest_silver_path(spark: SparkSession, silver_root: str) -> str | None:
-    """Latest silver run by the stamp in its name (stable on object stores,
-    unlike modification times); None when there is none."""
-    runs = sorted(n for n in _child_dirs(spark, silver_root) if n.startswith(SILVER_RUN_PREFIX))
-    return f"{silver_root.rstrip('/')}/{runs[-1]}" if runs else None
+    """Latest finished silver run by the stamp in its name (stable on object
+    stores, unlike modification times); None when there is none.  A run that
+    has no success marker is unfinished or failed and is passed over."""
+    runs = sorted((n for n in _child_dirs(spark, silver_root) if n.startswith(SILVER_RUN_PREFIX)), reverse=True)
+    for run in runs:
+        path = f"{silver_root.rstrip('/')}/{run}"
+        _, fs, marker = _hadoop(spark, f"{path}/_SUCCESS")
+        if fs.exists(marker):
+            return path
+    return None
 
 
 def gold_path(gold_root: str, report: str) -> str:
@@ -52,6 +62,14 @@ def write_gold(df: DataFrame, gold_root: str, report: str) -> str:
     return path
 
 
+def clear_gold(spark: SparkSession, gold_root: str) -> None:
+    """Remove the report folders of the last run, so a report that fails now isn't taken for a new one."""
+    for report in GOLD_REPORTS:
+        _, fs, p = _hadoop(spark, gold_path(gold_root, report))
+        if fs.exists(p):
+            fs.delete(p, True)
+
+
 def list_reports(spark: SparkSession, gold_root: str) -> DataFrame:
     """Parquet files below the gold folder: path, report, modified (sorted by path)."""
     try:
