@@ -1,6 +1,7 @@
 import random
 
 from conftest import bronze_rows
+from telemetry_lake.operators.last_state import latest_state
 from telemetry_lake.operators import (
     latest_row, last_non_null, to_silver, vin_last_state, vin_last_state_windows,
 )
@@ -101,7 +102,7 @@ def test_latest_message_window_limits_before_exchange(spark):
     assert plan.count("WindowGroupLimit") >= 2
 
 
-def test_encoded_method_equals_struct_method(spark):
+def test_reduced_form_equals_struct_maxima_of_all_rows(spark):
     rnd = random.Random(11)
     rows = [
         {"vin": f"V{rnd.randrange(15)}",
@@ -111,20 +112,21 @@ def test_encoded_method_equals_struct_method(spark):
         for _ in range(800)
     ]
     s = _silver(spark, rows)
-    a = sorted(map(tuple, vin_last_state(s, "g").collect()), key=repr)
-    encoded = vin_last_state(s, "g", method="encoded")
-    b = sorted(map(tuple, encoded.collect()), key=repr)
-    assert a == b
-    plan = encoded._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    whole = latest_state(s, ["vin"], "message_datetime", ["timestamp"], ["front_left_door_state", "wipers_state"])
+    a = sorted((r.vin, r.timestamp, r.message_datetime, r.front_left_door_state, r.wipers_state) for r in
+               whole.na.fill("-").na.fill(-1).collect() if r.message_datetime is not None)
+    for method in ("struct", "encoded"):
+        out = vin_last_state(s, "g", method=method).na.fill("-").na.fill(-1)
+        b = sorted((r.vin, r.last_reported_timestamp, r.last_message_datetime, r.last_front_left_door_state,
+                    r.last_wipers_state) for r in out.collect() if r.last_message_datetime is not None)
+        assert a == b and len(a) == 15
 
 
-def test_encoded_method_falls_back_and_handles_empty_states(spark):
+def test_many_and_empty_states(spark):
     rows = [{"vin": "A", "timestamp": i, "frontLeftDoorState": f"S{i:03d}"} for i in range(300)]
     s = _silver(spark, rows)
-    out = vin_last_state(s, "g", method="encoded")  # 300 door states > 256: struct form
+    out = vin_last_state(s, "g", method="encoded")
     assert [(r.last_front_left_door_state, r.last_wipers_state) for r in out.collect()] == [("S299", None)]
-    assert "SortAggregate" in out._jdf.queryExecution().executedPlan().toString()
     import pytest
 
     with pytest.raises(ValueError):
