@@ -11,16 +11,15 @@ themselves.
 
 from __future__ import annotations
 
-import hashlib
+import string
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm.frames import saved, table
-from telemetry_lake.llm.text import mix, per_batch
+from telemetry_lake.llm.text import mix
 
 SHARD_DIGESTS = 1 << 18  # digests of a shard on average: 12 MB of slots
 NO_ID = -(1 << 63)  # stands in a slot for the winner of a group without any id
@@ -93,19 +92,10 @@ def _digest_rows(column: pa.Array) -> np.ndarray:
 # --- Spark side -------------------------------------------------------------------
 
 
-def _digest_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    low = pc.ascii_lower(pc.fill_null(batch.column(1), "").cast(pa.string()))
-    sums = [hashlib.sha256(t.as_buffer()).digest() for t in low]
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0), pa.array(sums, pa.binary())], names=["doc_id", "digest"]
-    )
-
-
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, digest): SHA-256 of each text with A-Z lower-cased; NULL counts as empty."""
-    return docs.select("doc_id", "text").mapInArrow(
-        per_batch(_digest_batch), "doc_id bigint, digest binary"
-    )
+    low = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    return docs.select("doc_id", F.unhex(F.sha2(low, 256)).alias("digest"))
 
 
 def winners(rows: DataFrame) -> DataFrame:
