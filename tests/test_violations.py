@@ -61,3 +61,19 @@ def test_combined_pattern_equals_separate_patterns(spark):
     assert combined_pattern([r"(a)\1"]) is None  # back-reference: kept separate
     one = df.select(matches_any("t", [r"(a)\1", r"x"]).alias("m")).collect()
     assert [r.m for r in one] == [("aa" in t) or ("x" in t) for t in texts]
+
+
+@pytest.mark.parametrize("patterns", [
+    [r"(?<x>DROP)", r"(?<x>;)"], [r"\Qa+b", "DROP"], ["(?x) DROP # words", ";"], [r"(a)\1", "(D)ROP"],
+])
+def test_patterns_that_clash_when_joined(spark, patterns):
+    from pyspark.sql import functions as F
+
+    from telemetry_lake.functions.patterns import matches_any
+
+    df = spark.createDataFrame([("a;b",), ("DROP",), ("a+b",), ("aa",), ("z",), (None,)], "t string")
+    got = [r.t for r in df.where(matches_any("t", patterns)).collect()]
+    want = set()
+    for p in patterns:
+        want |= {r.t for r in df.where(F.col("t").rlike(p)).collect()}
+    assert set(got) == want and want
