@@ -77,7 +77,6 @@ def main() -> None:
 
     runs = {
         "vin_last_state": lambda: vin_last_state(silver, "g").write.format("noop").mode("overwrite").save(),
-        "vin_last_state_encoded": lambda: vin_last_state(silver, "g", method="encoded").write.format("noop").mode("overwrite").save(),
         "fastest_per_hour": lambda: fastest_per_hour(silver, "g").write.format("noop").mode("overwrite").save(),
         "manufacturer_summary": lambda: manufacturer_summary(silver).write.format("noop").mode("overwrite").save(),
         "silver_sort": lambda: to_silver(bronze, "s").write.format("noop").mode("overwrite").save(),

@@ -41,7 +41,10 @@ def _config(args: argparse.Namespace) -> LakeConfig:
         api_url_template=args.api_url_template,
         fetch_amount=args.batch_size,
         page_size=args.page_size,
-        last_state_method=args.last_state_method,
+        pages_per_task=args.pages_per_task,
+        top_k=args.top_k,
+        silver_sort=not args.no_silver_sort,
+        **({"patterns": args.pattern} if args.pattern else {}),
     )
 
 
@@ -49,7 +52,7 @@ def lake_stats(spark: SparkSession, cfg: LakeConfig) -> dict:
     """Bronze, latest-silver and gold statistics (one small row each)."""
     from telemetry_lake.operators.stats import bronze_file_stats, bronze_stats, silver_stats
     from telemetry_lake.sources.bronze_store import read_bronze
-    from telemetry_lake.sources.layers import gold_stats, latest_silver_path, list_reports
+    from telemetry_lake.sources.layers import gold_stats, latest_silver_path, list_reports, read_silver
 
     def one(df) -> dict:
         return {k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in df.first().asDict().items()}
@@ -61,11 +64,11 @@ def lake_stats(spark: SparkSession, cfg: LakeConfig) -> dict:
     except Exception as exc:  # noqa: BLE001 - report what exists
         out["bronze"] = {"error": str(exc)}
     latest = latest_silver_path(spark, cfg.silver_path)
-    out["silver"] = ({"file_path": latest, **one(silver_stats(spark.read.parquet(latest)))}
+    out["silver"] = ({"file_path": latest, **one(silver_stats(read_silver(spark, latest)))}
                      if latest else None)
     reports = gold_stats(list_reports(spark, cfg.gold_path)).collect()  # one row per report type
-    out["gold"] = {"total_reports": sum(r.files for r in reports),
-                   "report_types": {r.report: r.files for r in reports},
+    out["gold"] = {"total_reports": sum(r.reports for r in reports),
+                   "report_types": {r.report: r.reports for r in reports},
                    "latest_reports": {r.report: r.latest_file for r in reports}}
     return out
 
@@ -83,8 +86,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--silver-path", help="gold stage: silver run to report on (default: latest)")
     p.add_argument("--bronze-mode", choices=["overwrite", "append"], default="overwrite")
     p.add_argument("--report-tz", default="UTC")
-    p.add_argument("--last-state-method", choices=["struct", "encoded"], default="struct",
-                   help="encoded: hash-aggregate form of the last-state report")
+    p.add_argument("--top-k", type=int, default=10, help="speeds per hour in the speed report")
+    p.add_argument("--no-silver-sort", action="store_true", help="skip the global sort of silver")
+    p.add_argument("--pattern", action="append", help="pattern of the text report (repeatable; default: the built-in list)")
+    p.add_argument("--pages-per-task", type=int, default=0, help="API pages fetched by one task (0: automatic)")
     p.add_argument("--line-per-response", action="store_true",
                    help="landing files hold one JSON array per line")
     p.add_argument("--api-url-template",

@@ -9,7 +9,6 @@ from telemetry_lake.operators.last_state import (
     latest_row,
     latest_state,
     vin_last_state,
-    vin_last_state_windows,
 )
 from telemetry_lake.operators.silver import to_silver
 from telemetry_lake.operators.violations import pattern_violations
@@ -25,5 +24,4 @@ __all__ = [
     "to_bronze",
     "to_silver",
     "vin_last_state",
-    "vin_last_state_windows",
 ]

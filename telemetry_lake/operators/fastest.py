@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from telemetry_lake.functions.time import report_date, report_hour
 from telemetry_lake.stamps import compact_stamp
 
+GROUP_LIMIT = 1000  # Spark's default windowGroupLimitThreshold
+
 
 def fastest_per_hour(
     silver: DataFrame,
@@ -33,6 +35,16 @@ def fastest_per_hour(
         report_hour("message_datetime", report_tz).alias("hour_part"),
         "velocity",
     )
+    if k > GROUP_LIMIT:
+        # Beyond its threshold the optimizer keeps no map-side limit: cut the
+        # rows of each input task first, so no task holds a whole busy hour.
+        part = Window.partitionBy("date_part", "hour_part", "part").orderBy(F.desc_nulls_last("velocity"))
+        ranked = (
+            ranked.withColumn("part", F.spark_partition_id())
+            .withColumn("rn", F.row_number().over(part))
+            .where(F.col("rn") <= k)
+            .drop("part", "rn")
+        )
     w = Window.partitionBy("date_part", "hour_part").orderBy(F.desc_nulls_last("velocity"))
     return (
         ranked.withColumn("rn", F.row_number().over(w))

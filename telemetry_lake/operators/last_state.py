@@ -71,7 +71,7 @@ def last_non_null(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence
     return g.select(*keys, *[F.col(f"_s_{c}.{c}").alias(c) for c in cols])
 
 
-def vin_last_state(silver: DataFrame, generated_at: datetime | str, method: str = "struct") -> DataFrame:
+def vin_last_state(silver: DataFrame, generated_at: datetime | str) -> DataFrame:
     """Gold report: last message and last known door / wiper state per vehicle.
 
     Columns: vin, last_reported_timestamp, last_message_datetime,
@@ -82,10 +82,7 @@ def vin_last_state(silver: DataFrame, generated_at: datetime | str, method: str
     which needs what the lake guarantees: ``message_datetime`` derives from
     ``timestamp``, so the largest of both stand in the same message.  The
     struct maxima, a sort-based aggregate, then run on that small result.
-    ``method`` is kept for callers; both values give this plan.
     """
-    if method not in ("struct", "encoded"):
-        raise ValueError("method must be 'struct' or 'encoded'")
     stamp = F.lit(compact_stamp(generated_at)).alias("report_generated_timestamp")
     reduced = (
         silver.where(F.col("vin").isNotNull())
@@ -134,36 +131,11 @@ def latest_message_per_vin(silver: DataFrame) -> DataFrame:
 
 
 def last_component_state(silver: DataFrame, col: str, out_name: str) -> DataFrame:
-    """Latest non-null value of one component per vehicle (one partial aggregate)."""
-    return last_non_null(
-        silver.where(F.col("vin").isNotNull()), ["vin"], "message_datetime", [col]
-    ).withColumnRenamed(col, out_name)
-
-
-def vin_last_state_windows(silver: DataFrame, generated_at: datetime | str) -> DataFrame:
-    """The reference's three-window plan in DataFrames (for cross-checks).
-
-    Needs three exchanges and two joins where ``vin_last_state`` needs one;
-    kept as an independent formulation for tests, not for production.
-    """
-    base = silver.where(F.col("vin").isNotNull())
-    latest = latest_message_per_vin(base)
-    outs = []
-    for col, name in (("front_left_door_state", "last_front_left_door_state"),
-                      ("wipers_state", "last_wipers_state")):
-        w = (Window.partitionBy("vin").orderBy(F.desc_nulls_last("message_datetime"), F.desc(col))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        outs.append(
-            base.where(F.col(col).isNotNull())
-            .select("vin", F.first(col).over(w).alias(name))
-            .distinct()
-        )
-    return (
-        latest.join(outs[0], "vin", "left")
-        .join(outs[1], "vin", "left")
-        .select(
-            "vin", "last_reported_timestamp", "last_message_datetime",
-            "last_front_left_door_state", "last_wipers_state",
-            F.lit(compact_stamp(generated_at)).alias("report_generated_timestamp"),
-        )
+    """Latest non-null value of one component per vehicle: the latest time of each
+    value by a hash aggregate, then the struct maximum of those few rows."""
+    times = (
+        silver.where(F.col("vin").isNotNull() & F.col(col).isNotNull())
+        .groupBy("vin", col)
+        .agg(F.max("message_datetime").alias("message_datetime"))
     )
+    return last_non_null(times, ["vin"], "message_datetime", [col]).withColumnRenamed(col, out_name)

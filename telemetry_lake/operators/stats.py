@@ -1,8 +1,8 @@
 """Layer statistics and quality flags.
 
 The reference's log prints these figures, but the code that made them is gone;
-the definitions here are the lake's own, one aggregate each (a single
-partial + final aggregation, distinct counts included).
+the definitions here are the lake's own.  Distinct counts run on rows that a
+hash aggregate has reduced to one per counted value.
 """
 
 from __future__ import annotations
@@ -50,18 +50,32 @@ def bronze_file_stats(bronze_read: DataFrame) -> DataFrame:
 
 def silver_stats(silver: DataFrame) -> DataFrame:
     """One row of silver figures; averages and percentages rounded to 2 places."""
-    total = F.count(F.lit(1))
-    valid_coords = F.count_if(valid_coordinates())
-    return silver.agg(
-        total.alias("total_records"),
+    # Two distinct counts in one aggregate copy their input per count, so they
+    # run on one row per vehicle and manufacturer, not on the messages.
+    pairs = silver.groupBy("vin", "manufacturer").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("velocity").alias("velocity_sum"),
+        F.count("velocity").alias("velocity_n"),
+        F.min("message_datetime").alias("earliest"),
+        F.max("message_datetime").alias("latest"),
+        F.count_if(valid_coordinates()).alias("coords"),
+        F.count_if(valid_velocity()).alias("speeds"),
+    )
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0))
+
+    average = F.sum("velocity_sum") / F.nullif(F.sum("velocity_n"), F.lit(0))
+    return pairs.agg(
+        total("n").alias("total_records"),
         F.count_distinct("vin").alias("unique_vehicles"),
         F.count_distinct("manufacturer").alias("unique_manufacturers"),
-        F.round(F.avg("velocity"), 2).alias("avg_velocity"),
-        F.min("message_datetime").alias("earliest_message"),
-        F.max("message_datetime").alias("latest_message"),
-        valid_coords.alias("records_with_valid_coords"),
-        F.count_if(valid_velocity()).alias("records_with_valid_velocity"),
-        F.round(F.lit(100.0) * valid_coords / total, 2).alias("valid_coords_percentage"),
+        F.round(average, 2).alias("avg_velocity"),
+        F.min("earliest").alias("earliest_message"),
+        F.max("latest").alias("latest_message"),
+        total("coords").alias("records_with_valid_coords"),
+        total("speeds").alias("records_with_valid_velocity"),
+        F.round(F.lit(100.0) * F.sum("coords") / F.sum("n"), 2).alias("valid_coords_percentage"),
     )
 
 

@@ -24,7 +24,7 @@ from telemetry_lake.schemas import DEFAULT_PATTERN_COLUMNS, DEFAULT_PATTERNS
 from telemetry_lake.sources.bronze_store import read_bronze, write_bronze
 from telemetry_lake.sources.landing import read_landing
 from telemetry_lake.sources.paged import fetch_pages, read_pages
-from telemetry_lake.sources.layers import clear_gold, latest_silver_path, write_gold, write_silver
+from telemetry_lake.sources.layers import clear_gold, latest_silver_path, read_silver, write_gold, write_silver
 from telemetry_lake.stamps import compact_stamp, default_batch_id, iso_stamp, utc_now
 
 log = logging.getLogger("telemetry_lake")
@@ -49,16 +49,16 @@ class LakeConfig:
     bronze_mode: str = "overwrite"
     silver_sort: bool = True
     top_k: int = 10
-    last_state_method: str = "struct"  # or "encoded": hash aggregate, see vin_last_state
     report_tz: str = "UTC"
     pattern_columns: list[str] = field(default_factory=lambda: list(DEFAULT_PATTERN_COLUMNS))
     patterns: list[str] = field(default_factory=lambda: list(DEFAULT_PATTERNS))
     # Fetch from the message API instead of reading landing files: pages are
-    # requested in parallel, stored once under landing_path, then read.
+    # requested in parallel, stored once under pages_path, then read.
     api_url_template: str | None = None  # "{page}" and "{amount}" are filled in
     fetch_amount: int = 10000
     page_size: int = 1000
-    pages_per_task: int = 1
+    pages_per_task: int = 0  # 0: left to the source
+    pages_path: str | None = None  # default: landing_path + "_pages", apart from the landing text
 
 
 def bronze_stage(spark: SparkSession, cfg: LakeConfig, batch_id: str | None = None,
@@ -67,15 +67,18 @@ def bronze_stage(spark: SparkSession, cfg: LakeConfig, batch_id: str | None = No
     now = now or utc_now()
     batch_id = batch_id or default_batch_id(now, "bronze")
     if cfg.api_url_template:
+        pages_root = (cfg.pages_path or cfg.landing_path.rstrip("/") + "_pages").rstrip("/")
         pages = fetch_pages(spark, cfg.api_url_template, cfg.fetch_amount, cfg.page_size,
-                            f"{cfg.landing_path.rstrip('/')}/pages_{compact_stamp(now)}",
+                            f"{pages_root}/pages_{compact_stamp(now)}",
                             pages_per_partition=cfg.pages_per_task)
         raw = read_pages(spark, pages).withColumn("fetch_timestamp",
                                                   F.lit(iso_stamp(fetched_at or now)))
+    elif cfg.bronze_mode == "append":
+        raise ValueError("append would store the landing zone again; use the checkpointed landing stream")
     else:
         raw = read_landing(spark, cfg.landing_path, cfg.multi_line, fetched_at or now)
     if not has_rows(raw):
-        raise ValueError("No data provided to write")
+        raise ValueError("the batch holds no message; bronze is left as it was")
     obs = Observation("bronze")
     bronze = to_bronze(raw, batch_id=batch_id, ingested_at=now)
     path = write_bronze(bronze, cfg.bronze_path, mode=cfg.bronze_mode, observation=obs)
@@ -88,7 +91,7 @@ def silver_stage(spark: SparkSession, cfg: LakeConfig, now: datetime | None = No
     now = now or utc_now()
     bronze = read_bronze(spark, cfg.bronze_path)
     if not has_rows(bronze):
-        raise ValueError("No data found in Bronze layer")
+        raise ValueError("bronze holds no message")
     silver = to_silver(bronze, now, sort=cfg.silver_sort)
     return {"status": "success", "file_path": write_silver(silver, cfg.silver_path, now)}
 
@@ -105,12 +108,11 @@ def gold_stage(spark: SparkSession, cfg: LakeConfig, silver_path: str | None = N
     if not silver_path:
         silver_path = latest_silver_path(spark, cfg.silver_path)
         if not silver_path:
-            raise FileNotFoundError("No silver file found")
-    silver = spark.read.parquet(silver_path)
+            raise FileNotFoundError("no finished silver run")
+    silver = read_silver(spark, silver_path)
     clear_gold(spark, cfg.gold_path)
     reports = {
-        "vin_last_state": write_gold(vin_last_state(silver, now, method=cfg.last_state_method),
-                                     cfg.gold_path, "vin_last_state"),
+        "vin_last_state": write_gold(vin_last_state(silver, now), cfg.gold_path, "vin_last_state"),
         "velocity_analysis": write_gold(
             fastest_per_hour(silver, now, k=cfg.top_k, report_tz=cfg.report_tz),
             cfg.gold_path, "velocity_analysis"),
@@ -125,7 +127,7 @@ def gold_stage(spark: SparkSession, cfg: LakeConfig, silver_path: str | None = N
         reports["sql_injection_report"] = write_gold(flagged.hint("rebalance"), cfg.gold_path,
                                                      "sql_violating_messages_report")
     except Exception as exc:  # noqa: BLE001 - the report is optional by contract
-        log.warning("SQL injection report generation failed: %s", exc)
+        log.warning("pattern report left out: %s", exc)
         reports["sql_injection_report"] = None
     return {"status": "success", "silver_path": silver_path, "reports_generated": reports}
 
@@ -170,7 +172,7 @@ def run_all(spark: SparkSession, cfg: LakeConfig, batch_id: str | None = None,
             out["duration_seconds"] = round(time.time() - t0, 2)
             results["stages"][name] = out
     except Exception as exc:
-        raise RuntimeError(f"Pipeline failed: {exc}") from exc
+        raise RuntimeError(f"full run stopped: {exc}") from exc
     results["status"] = "success"
     results["end_time"] = utc_now().isoformat()
     results["total_duration_seconds"] = round(time.time() - start, 2)

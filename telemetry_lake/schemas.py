@@ -91,6 +91,14 @@ SILVER_COLUMNS = [
     "partition_hour",
     "silver_processing_timestamp",
 ]
+_SILVER_OWN = {
+    "gear_position_numeric": T.IntegerType(),
+    "gear_position_original": T.StringType(),
+    "silver_processing_timestamp": T.StringType(),
+}
+SILVER = T.StructType(
+    [T.StructField(c, _SILVER_OWN[c] if c in _SILVER_OWN else BRONZE[c].dataType) for c in SILVER_COLUMNS]
+)
 
 # --- gold ----------------------------------------------------------------------
 LAST_STATE_COLUMNS = [

@@ -18,6 +18,7 @@ def write_bronze(
     mode: str = "overwrite",
     max_records_per_file: int = 5_000_000,
     observation: Observation | None = None,
+    file_prefix: str = "part",
 ) -> str:
     """Write bronze rows under ``path/partition_date=.../partition_hour=...``.
 
@@ -27,7 +28,8 @@ def write_bronze(
     AQE splits an hour that holds a large share of the rows instead of
     writing it from one task.  NULL keys land in
     ``__HIVE_DEFAULT_PARTITION__`` and read back as NULL.
-    Never overwrite a path the same plan reads from.
+    Never overwrite a path the same plan reads from.  Data files are named
+    ``<file_prefix>-...``.
 
     ``observation`` receives ``records`` = rows written.  It is attached after
     the rebalance, i.e. in the write (result) stage, where Spark applies each
@@ -41,12 +43,24 @@ def write_bronze(
     (
         out.write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("mapreduce.output.basename", file_prefix)
         .partitionBy(*PARTITION_KEYS)
         .parquet(path)
     )
     return path
 
 
+def remove_files(spark: SparkSession, path: str, file_prefix: str) -> int:
+    """Delete the bronze files named ``<file_prefix>-...``; returns their number."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = "/".join(f"{key}=*" for key in PARTITION_KEYS)
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{folders}/{file_prefix}-*"))
+    for status in found or []:
+        fs.delete(status.getPath(), False)
+    return len(found or [])
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,

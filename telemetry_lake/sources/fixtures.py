@@ -15,24 +15,17 @@ from telemetry_lake.functions.time import ntz_millis
 from telemetry_lake.schemas import RAW
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_key: str | None = None,
+               partitions: int | None = None) -> DataFrame:
     """Scan one test table.
 
     The test tables are single files with one row group, i.e. one scan task.
-    With ``spread_key``, a scan that yields fewer partitions than the
-    cluster's parallelism is hash-spread on that key so the per-row work
-    after it uses every core; a large input (many splits) is left alone.
+    ``spread_key`` with ``partitions`` hash-spreads the scan over that many
+    tasks; it is a full shuffle, so only a caller who knows the input to be
+    small and unsplit should ask for it.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread_key is not None:
-        try:  # planning only, no job; not available on Spark Connect
-            cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001
-            return df
-        if splits < cores:
-            df = df.repartition(cores, spread_key)
-    return df
+    return df.repartition(partitions, spread_key) if spread_key and partitions else df
 
 
 def messages_from_events(events: DataFrame, page_size: int | None = None) -> DataFrame:
@@ -89,10 +82,12 @@ def messages_from_events(events: DataFrame, page_size: int | None = None) -> Dat
     return events.select(*out)
 
 
-def read_messages(spark: SparkSession, sf_dir: str, page_size: int | None = None) -> DataFrame:
+def read_messages(spark: SparkSession, sf_dir: str, page_size: int | None = None,
+                  partitions: int | None = None) -> DataFrame:
     """Messages of one test scale (column-pruned scan of ``events``); with
-    ``page_size`` also the ``page`` (API response) each message belongs to."""
-    return messages_from_events(read_table(spark, sf_dir, "events", spread_key="event_id"), page_size)
+    ``page_size`` also the ``page`` (API response) each message belongs to.
+    ``partitions`` spreads the scan (see ``read_table``)."""
+    return messages_from_events(read_table(spark, sf_dir, "events", "event_id", partitions), page_size)
 
 
 def replicate_events(events: DataFrame, copies: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 The reference fetches one JSON array per request and refuses anything that is
 not a list.  Here each response is a landing file (or a line of one), read in
-parallel with one pass: text -> list guard -> ``from_json`` (declared schema,
+parallel with one pass: text -> checked ``from_json`` (declared schema,
 FAILFAST) -> inline.
 """
 
@@ -17,22 +17,26 @@ from pyspark.sql import types as T
 from telemetry_lake.schemas import RAW
 from telemetry_lake.stamps import iso_stamp, utc_now
 
-RAW_ARRAY = T.ArrayType(RAW)
-
-
 JSON_WHITESPACE = " \t\r\n"
+_END = "__end_of_landing_record__"
+_WRAPPED = T.StructType([T.StructField("messages", T.ArrayType(RAW)), T.StructField(_END, T.BooleanType())])
 
 
-def _list_guard(lead: Column, where: Column) -> Column:
-    """Raise unless the record, after leading JSON whitespace, starts with '['.
+def checked_messages(text: Column, where: Column) -> Column:
+    """JSON text -> array of ``RAW`` structs; anything but one list of objects fails the job.
 
-    ``from_json`` alone would read a top-level object as a one-element list;
-    the reference raises for it.  ``lead`` is the left-trimmed text, so only
-    its first character is inspected (a regex would scan the whole response).
+    ``from_json`` stops at the end of the first value, so the text is parsed as
+    a member of an object whose last member must be reached: text after the
+    list is malformed or hides that member.  The first character is checked
+    apart, as a lone object would be read as a list of one.
     """
-    return F.when(
-        ~lead.startswith("["),
-        F.raise_error(F.concat(F.lit("landing record is not a JSON list: "), where)),
+    wrapped = F.concat(F.lit('{"messages":'), text, F.lit(f',"{_END}":true}}'))
+    record = F.from_json(wrapped, _WRAPPED, {"mode": "FAILFAST"})
+    lead = F.ltrim(text, F.lit(JSON_WHITESPACE))
+    whole = lead.startswith("[") & F.coalesce(record[_END], F.lit(False)) & record["messages"].isNotNull()
+    objects = ~F.exists(record["messages"], lambda m: m.isNull())
+    return F.when(F.coalesce(whole & objects, F.lit(False)), record["messages"]).otherwise(
+        F.raise_error(F.concat(F.lit("not one JSON list of messages: "), where))
     )
 
 
@@ -40,30 +44,41 @@ def parse_landing(
     text_df: DataFrame,
     fetched_at: datetime | str | None = None,
     source: Column | None = None,
+    skip_blank: bool = True,
 ) -> DataFrame:
     """Rows of JSON-array text (column ``value``) -> one row per message.
 
     Columns: the 12 API fields (schema ``RAW``) + ``fetch_timestamp``.  A
-    record that is not a list, broken JSON or a value of the wrong type fails
-    the job; a missing field is NULL, an unknown field is dropped, a number in
-    a text field becomes text.  Blank records are skipped.
+    record that is not one list of objects, text after the list, broken JSON or
+    a value of the wrong type fails the job; a missing field is NULL, an
+    unknown field is dropped, a number in a text field becomes text.  Blank
+    records are skipped, or fail with ``skip_blank=False``.
     """
     stamp = iso_stamp(fetched_at if fetched_at is not None else utc_now())
     src = source if source is not None else F.lit("?")
-    # Kept as an expression (not a column) so the response text is never copied.
-    lead = F.ltrim(F.col("value"), F.lit(JSON_WHITESPACE))
-    nonblank = text_df.select("value", src.alias("_src")).where(lead != "")
-    parsed = nonblank.select(
-        _list_guard(lead, F.col("_src")).alias("_guard"),
-        F.from_json(F.col("value"), RAW_ARRAY, {"mode": "FAILFAST"}).alias("_msgs"),
-    )
-    # The guard column must be evaluated: keep it in the filter.  ``inline``
-    # turns the array of structs straight into rows and columns.
-    messages = parsed.where(F.col("_guard").isNull()).select(F.inline("_msgs"))
+    records = text_df.select("value", src.alias("_src"))
+    if skip_blank:
+        records = records.where(F.ltrim(F.col("value"), F.lit(JSON_WHITESPACE)) != "")
+    parsed = records.select(checked_messages(F.col("value"), F.col("_src")).alias("_msgs"))
+    # ``inline`` turns the array of structs straight into rows and columns.
+    messages = parsed.select(F.inline("_msgs"))
     return messages.select(*[F.col(f.name) for f in RAW.fields],
                            F.lit(stamp).alias("fetch_timestamp"))
 
 
+def _refuse_empty_files(spark: SparkSession, path: str) -> None:
+    """Spark's readers pass over files of no bytes; as responses they are faults."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        status = files.next()
+        if status.getLen() == 0 and not status.getPath().getName().startswith(("_", ".")):
+            raise ValueError(f"empty landing response: {status.getPath().toString()}")
+
+
 def read_landing(
     spark: SparkSession,
     path: str,
@@ -73,12 +88,16 @@ def read_landing(
     """Read landing files below ``path``.
 
     ``multi_line=True``: each file is one API response (may be pretty
-    printed; a file is one task).  ``multi_line=False``: each line is one
-    response (files split across tasks).
+    printed; a file is one task), and a blank or empty one fails.  The driver
+    lists the files for that; use lines where there are very many.
+    ``multi_line=False``: each line is one response (files split across
+    tasks), blank lines are skipped.
     """
+    if multi_line:
+        _refuse_empty_files(spark, path)
     reader = spark.read.option("recursiveFileLookup", "true")
     text = reader.text(path, wholetext=multi_line)
-    return parse_landing(text, fetched_at, F.col("_metadata.file_path"))
+    return parse_landing(text, fetched_at, F.col("_metadata.file_path"), skip_blank=not multi_line)
 
 
 def write_landing(raw: DataFrame, path: str, page_column: str, file_per_page: bool = True) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from telemetry_lake.schemas import GOLD_REPORTS, SILVER_RUN_PREFIX
+from telemetry_lake.schemas import GOLD_REPORTS, SILVER, SILVER_RUN_PREFIX
 from telemetry_lake.stamps import compact_stamp
 
 
@@ -51,6 +51,11 @@ def latest_silver_path(spark: SparkSession, silver_root: str) -> str | None:
     return None
 
 
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """One silver run with the declared schema (no footer is read for it)."""
+    return spark.read.schema(SILVER).parquet(path)
+
+
 def gold_path(gold_root: str, report: str) -> str:
     return f"{gold_root.rstrip('/')}/{report}"
 
@@ -87,9 +92,13 @@ def list_reports(spark: SparkSession, gold_root: str) -> DataFrame:
 
 
 def gold_stats(reports: DataFrame) -> DataFrame:
-    """Per report type: file count and latest file (from ``list_reports``)."""
+    """Per report type: reports (a report is one folder, whatever its number of
+    part files), part files and latest file (from ``list_reports``)."""
+    folder = F.regexp_replace("path", "/[^/]*$", "")
     return reports.groupBy("report").agg(
-        F.count(F.lit(1)).alias("files"), F.max("path").alias("latest_file")
+        F.count_distinct(folder).alias("reports"),
+        F.count(F.lit(1)).alias("files"),
+        F.max("path").alias("latest_file"),
     ).orderBy("report")
 
 
@@ -105,7 +114,7 @@ def register_views(spark: SparkSession, bronze_path: str, silver_root: str | Non
     if silver_root:
         latest = latest_silver_path(spark, silver_root)
         if latest:
-            spark.read.parquet(latest).createOrReplaceTempView("silver")
+            read_silver(spark, latest).createOrReplaceTempView("silver")
             names.append("silver")
     if gold_root:
         present = set(_child_dirs(spark, gold_root))

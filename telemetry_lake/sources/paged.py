@@ -1,35 +1,36 @@
-"""Paged API source: a Python Data Source with one partition per page.
-
-The reference loops: request ``min(batch_size, remaining)`` messages, append,
-stop on a short page.  Requests carry only an amount, so pages are independent
-draws; here all pages are requested at once, one per Spark partition, and the
-loop's stopping rule is applied afterwards: pages after the first short page
-are dropped.  That equals the loop when every page returns what it was asked
-for or fewer (a page returning more than asked would have shrunk the loop's
-later requests).  Because Spark may re-run a partition, and a re-run request
-to a live API returns other messages, pages are written to a landing table
-once (``fetch_pages``) and every later step reads that table.
+"""Paged API source: a Python Data Source that stores one row per response.
+
+Requests carry only an amount, so pages are independent draws; all pages are
+requested at once by parallel tasks and stored as they came, one row per page,
+the empty ones too.  The stopping rule is applied when the stored pages are
+read: the read ends with the first page that brings the running total to the
+wanted amount or holds fewer messages than were still to be asked for.  A page
+longer than asked is kept whole.  Because Spark may re-run a task, and a re-run
+request to a live API returns other messages, pages are written to a table once
+(``fetch_pages``) and every later step reads that table.
 """
 
 from __future__ import annotations
 
-import json
 import os
 import sys
 import urllib.request
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from telemetry_lake.schemas import RAW  # noqa: I001
+from telemetry_lake.schemas import RAW
+from telemetry_lake.sources.landing import checked_messages
 
-PAGE_SCHEMA = "page INT, requested INT, page_rows INT, message STRING"
+PAGE_SCHEMA = "page BIGINT, requested INT, batch_size INT, total_amount BIGINT, body STRING"
+MAX_TASKS = 4096  # fetch tasks when pages_per_partition is left to the source
+RUN = 4096  # pages whose running totals one window group holds
 
 
 def plan_pages(total_amount: int, batch_size: int) -> list[int]:
-    """Requested amount of each page, in order (the reference's loop, all full)."""
+    """Requested amount of each page, in order, when every page is full."""
     if total_amount <= 0:
         return []
     size = max(1, batch_size)
@@ -63,31 +64,33 @@ class _PageReader(DataSourceReader):
         self.template = options["url_template"]
         self.total = max(0, int(options.get("total_amount", "0")))
         self.size = max(1, int(options.get("batch_size", "1000")))
-        self.per_task = max(1, int(options.get("pages_per_partition", "1")))
+        self.pages = -(-self.total // self.size)  # ceil
+        per_task = int(options.get("pages_per_partition", "0"))
+        self.per_task = per_task if per_task > 0 else max(1, -(-self.pages // MAX_TASKS))
         self.timeout = float(options.get("timeout", "30"))
 
     def partitions(self):
-        pages = -(-self.total // self.size)  # ceil
-        return [InputPartition((first, min(first + self.per_task, pages)))
-                for first in range(0, pages, self.per_task)]
+        return [InputPartition((first, min(first + self.per_task, self.pages)))
+                for first in range(0, self.pages, self.per_task)]
 
     def read(self, partition):
         first, end = partition.value
         for page in range(first, end):
             amount = _page_amount(page, self.total, self.size)
-            body = json.loads(_fetch(self.template.format(page=page, amount=amount), self.timeout))
-            if not isinstance(body, list):
-                raise ValueError("Expected list of messages from API")
-            for message in body:
-                yield (page, amount, len(body), json.dumps(message))
+            body = _fetch(self.template.format(page=page, amount=amount), self.timeout)
+            if not body.lstrip().startswith("["):
+                raise ValueError(f"response of page {page} is not a JSON list")
+            yield (page, amount, self.size, self.total, body)
 
 
 class VehicleMessagesSource(DataSource):
     """``spark.read.format("vehicle_messages")`` with options ``url_template``
     (``{page}`` and ``{amount}`` are filled in), ``total_amount``,
     ``batch_size`` (<= 0 means 1), ``pages_per_partition`` (consecutive pages
-    fetched by one task; default 1) and ``timeout`` seconds.
-    One row per message: page, requested, page_rows, message (JSON text).
+    fetched by one task; by default one page, and more only so that there are
+    at most ``MAX_TASKS`` tasks) and ``timeout`` seconds.
+    One row per page: page, requested, batch_size, total_amount, body (the
+    response text).
     """
 
     @classmethod
@@ -115,14 +118,10 @@ def fetch_pages(
     url_template: str,
     total_amount: int,
     batch_size: int,
-    landing_path: str,
-    pages_per_partition: int = 1,
+    pages_path: str,
+    pages_per_partition: int = 0,
 ) -> str:
-    """Fetch every page in parallel and store the raw pages once (Parquet).
-
-    ``pages_per_partition`` groups consecutive pages into one task: with very
-    many pages it keeps the task count sane, with few it keeps concurrency.
-    """
+    """Fetch every page in parallel and store the raw pages once (Parquet)."""
     register(spark)
     (
         spark.read.format("vehicle_messages")
@@ -132,23 +131,55 @@ def fetch_pages(
         .option("pages_per_partition", str(pages_per_partition))
         .load()
         .write.mode("errorifexists")
-        .parquet(landing_path)
+        .parquet(pages_path)
+    )
+    return pages_path
+
+
+def write_pages(responses: DataFrame, pages_path: str, total_amount: int, batch_size: int) -> str:
+    """Store responses that are already there (page, body) as ``fetch_pages`` would."""
+    total, size = F.lit(total_amount).cast("long"), F.lit(max(1, batch_size))
+    responses.select(
+        F.col("page").cast("long").alias("page"),
+        F.least(size.cast("long"), total - F.col("page") * size).cast("int").alias("requested"),
+        size.cast("int").alias("batch_size"),
+        total.alias("total_amount"),
+        "body",
+    ).write.mode("errorifexists").parquet(pages_path)
+    return pages_path
+
+
+def _last_page(sizes: DataFrame) -> DataFrame:
+    """(stop): the page that ends the read; NULL when the stored pages run out first.
+
+    ``sizes``: (page, page_rows, batch_size, total_amount).  The messages
+    before a page are summed in two steps, within runs of ``RUN`` pages and
+    over the totals of the runs, so no task orders all pages.
+    """
+    runs = sizes.withColumn("run", F.floor(F.col("page") / RUN))
+    over_runs = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = runs.groupBy("run").agg(F.sum("page_rows").alias("n")).select(
+        "run", F.coalesce(F.sum("n").over(over_runs), F.lit(0)).alias("earlier")
     )
-    return landing_path
+    in_run = Window.partitionBy("run").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("earlier") + F.coalesce(F.sum("page_rows").over(in_run), F.lit(0))
+    placed = runs.join(earlier, "run").withColumn("before", before)
+    wanted = F.least(F.col("batch_size").cast("long"), F.col("total_amount") - F.col("before"))
+    ends = (F.col("page_rows") < wanted) | (F.col("before") + F.col("page_rows") >= F.col("total_amount"))
+    return placed.where(ends).agg(F.min("page").alias("stop"))
 
 
-def read_pages(spark: SparkSession, landing_path: str) -> DataFrame:
-    """Stored pages -> messages (``RAW`` columns), cut after the first short page.
+def read_pages(spark: SparkSession, pages_path: str) -> DataFrame:
+    """Stored pages -> messages (``RAW`` columns) up to the page that ends the read.
 
-    The cut is a scalar subquery (one small aggregate over page sizes); the
-    message JSON is parsed by Spark with the declared schema, FAILFAST.
+    A body is refused for what a landing record is refused for (see
+    ``parse_landing``).  An empty page counts as short; no pages, no rows.
     """
-    pages = spark.read.schema(PAGE_SCHEMA).parquet(landing_path)
-    first_short = (
-        pages.where(F.col("page_rows") < F.col("requested"))
-        .agg(F.min("page").alias("p"))
-        .scalar()
+    pages = spark.read.schema(PAGE_SCHEMA).parquet(pages_path)
+    name = F.concat(F.lit("page "), F.col("page").cast("string"))
+    parsed = pages.select(
+        "page", "batch_size", "total_amount", checked_messages(F.col("body"), name).alias("messages")
     )
-    kept = pages.where(first_short.isNull() | (F.col("page") <= first_short))
-    parsed = kept.select(F.from_json("message", RAW, {"mode": "FAILFAST"}).alias("m"))
-    return parsed.select(*[F.col(f"m.{f.name}").alias(f.name) for f in RAW.fields])
+    sizes = parsed.select("page", "batch_size", "total_amount", F.size("messages").cast("long").alias("page_rows"))
+    stop = _last_page(sizes).scalar()
+    return parsed.where(stop.isNull() | (F.col("page") <= stop)).select(F.inline("messages"))

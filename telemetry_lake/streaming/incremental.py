@@ -2,14 +2,17 @@
 
 The reference's batch generator (pages yielded one by one) becomes a file
 stream over the landing zone: ``maxFilesPerTrigger`` responses per
-micro-batch, ``availableNow`` to drain what has landed and stop, and the
-Parquet file sink (exactly-once through its commit log and the checkpoint) to
-append to the partitioned bronze dataset.  A restarted query resumes from the
-checkpoint, so a lost executor or driver re-runs at most the open batch.
+micro-batch, ``availableNow`` to drain what has landed and stop.  Every
+micro-batch goes through the batch writer (``write_bronze``, append), so stream
+and batch runs share one dataset without a metadata log, and a busy hour is
+split by the rebalance.  A restarted query resumes from the checkpoint; the
+files of a micro-batch carry a hash of the checkpoint path and the batch's number, and the
+first batch of a run removes what an unfinished run of it left.
 """
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from telemetry_lake.functions.time import utc_wall_clock
 from telemetry_lake.operators.bronze import to_bronze
-from telemetry_lake.schemas import PARTITION_KEYS
+from telemetry_lake.sources.bronze_store import remove_files, write_bronze
 from telemetry_lake.sources.landing import parse_landing
 from telemetry_lake.stamps import iso_stamp
 
@@ -44,6 +47,20 @@ def _batch_stamp(fmt: str):
     return F.date_format(utc_wall_clock(F.current_timestamp()), fmt)
 
 
+def write_micro_batch(batch: DataFrame, bronze_path: str, checkpoint_path: str, number: int,
+                      replay: bool = True) -> None:
+    """Append micro-batch ``number`` of the stream with this checkpoint.
+
+    ``replay``: the batch may have been written before; its files are removed
+    first, so writing it again adds nothing.
+    """
+    stream = hashlib.sha256(checkpoint_path.rstrip("/").encode()).hexdigest()[:12]
+    prefix = f"stream{stream}b{number}"
+    if replay:
+        remove_files(batch.sparkSession, bronze_path, prefix)
+    write_bronze(batch, bronze_path, mode="append", file_prefix=prefix)
+
+
 def stream_to_bronze(
     spark: SparkSession,
     landing_path: str,
@@ -69,6 +86,7 @@ def stream_to_bronze(
     raw = parse_landing(
         landing_stream(spark, landing_path, max_files_per_trigger, multi_line),
         fetched_at,
+        skip_blank=not multi_line,
     )
     fixed_ingest = ingested_at if ingested_at is not None else "1970-01-01T00:00:00"
     bronze = to_bronze(raw, batch_id=batch_id or "stream", ingested_at=fixed_ingest,
@@ -87,22 +105,27 @@ def stream_to_bronze(
         bronze = bronze.withColumn(
             "batch_id", F.concat(F.lit("stream_"), _batch_stamp("yyyyMMdd_HHmmss"))
         )
-    # One file per hour and micro-batch: hash-partition each batch on the keys
-    # (measured at sf0.1: fewer files and a little faster than writing from the
-    # input tasks).  AQE does not run in streaming, so a hot hour is not split
-    # here; its share of one task is bounded by the batch size (maxFilesPerTrigger).
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(bronze_path)
+    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, "_spark_metadata")
+    if root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log):
+        raise ValueError(f"{bronze_path} was written by a file sink, whose log hides other files")
+    first = True
+
+    def append(batch: DataFrame, number: int) -> None:
+        nonlocal first
+        write_micro_batch(batch, bronze_path, checkpoint_path, number, replay=first)
+        first = False
+
     writer = (
-        bronze.repartition(*PARTITION_KEYS)
-        .writeStream.format("parquet")
+        bronze.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint_path)
-        .partitionBy(*PARTITION_KEYS)
         .outputMode("append")
     )
     if trigger_interval:
         writer = writer.trigger(processingTime=trigger_interval)
     else:
         writer = writer.trigger(availableNow=True)
-    return writer.start(bronze_path)
+    return writer.start()
 
 
 def run_stream_to_bronze(spark: SparkSession, *args, timeout_s: float | None = None, **kwargs) -> str:

@@ -3,7 +3,7 @@ import random
 from conftest import bronze_rows
 from telemetry_lake.operators.last_state import latest_state
 from telemetry_lake.operators import (
-    latest_row, last_non_null, to_silver, vin_last_state, vin_last_state_windows,
+    latest_row, last_non_null, to_silver, vin_last_state,
 )
 
 
@@ -57,7 +57,20 @@ def test_report_order_and_columns(spark):
     assert [r.vin for r in out.collect()] == ["B", "A", "C"]
 
 
-def test_aggregate_equals_window_form_on_random_rows(spark):
+def _by_hand(rows):
+    """Last state by sorting each vehicle's rows; missing times come first, ties take the larger state."""
+    for vin in {r.vin for r in rows}:
+        own = [r for r in rows if r.vin == vin]
+
+        def last(column):
+            seen = [(r.timestamp if r.timestamp is not None else -1, r[column]) for r in own if r[column] is not None]
+            return max(seen)[1] if seen else None
+
+        newest = max(own, key=lambda r: -1 if r.timestamp is None else r.timestamp)
+        yield (vin, newest.timestamp, newest.message_datetime, last("front_left_door_state"), last("wipers_state"), "g")
+
+
+def test_aggregate_equals_rows_sorted_by_hand(spark):
     rnd = random.Random(7)
     doors = [None, "LOCKED", "UNLOCKED"]
     wipers = [None, "ON", "OFF"]
@@ -69,7 +82,7 @@ def test_aggregate_equals_window_form_on_random_rows(spark):
     ]
     s = _silver(spark, rows)
     a = sorted(map(tuple, vin_last_state(s, "g").collect()))
-    b = sorted(map(tuple, vin_last_state_windows(s, "g").collect()))
+    b = sorted(map(tuple, _by_hand(s.collect())))
     assert a == b
 
 
@@ -115,19 +128,18 @@ def test_reduced_form_equals_struct_maxima_of_all_rows(spark):
     whole = latest_state(s, ["vin"], "message_datetime", ["timestamp"], ["front_left_door_state", "wipers_state"])
     a = sorted((r.vin, r.timestamp, r.message_datetime, r.front_left_door_state, r.wipers_state) for r in
                whole.na.fill("-").na.fill(-1).collect() if r.message_datetime is not None)
-    for method in ("struct", "encoded"):
-        out = vin_last_state(s, "g", method=method).na.fill("-").na.fill(-1)
-        b = sorted((r.vin, r.last_reported_timestamp, r.last_message_datetime, r.last_front_left_door_state,
-                    r.last_wipers_state) for r in out.collect() if r.last_message_datetime is not None)
-        assert a == b and len(a) == 15
+    out = vin_last_state(s, "g").na.fill("-").na.fill(-1)
+    b = sorted((r.vin, r.last_reported_timestamp, r.last_message_datetime, r.last_front_left_door_state,
+                r.last_wipers_state) for r in out.collect() if r.last_message_datetime is not None)
+    assert a == b and len(a) == 15
 
 
 def test_many_and_empty_states(spark):
     rows = [{"vin": "A", "timestamp": i, "frontLeftDoorState": f"S{i:03d}"} for i in range(300)]
-    s = _silver(spark, rows)
-    out = vin_last_state(s, "g", method="encoded")
+    out = vin_last_state(_silver(spark, rows), "g")
     assert [(r.last_front_left_door_state, r.last_wipers_state) for r in out.collect()] == [("S299", None)]
-    import pytest
 
-    with pytest.raises(ValueError):
-        vin_last_state(s, "g", method="other")
+
+def test_year_9999(spark):
+    rows = [{"vin": "A", "timestamp": 253402300799000, "wipersState": "ON"}, {"vin": "A", "timestamp": 1, "wipersState": "OFF"}]
+    assert _state(spark, rows) == {"A": (253402300799000, None, "ON")}

@@ -25,7 +25,10 @@ def test_landing_array_pretty_printed(spark, scratch):
     assert "foo" not in df.columns and rows[0].fetch_timestamp == "2024-01-01T00:00:00"
 
 
-@pytest.mark.parametrize("body", ['{"vin": "A"}', '[{"vin": "A",', '[{"timestamp": "x"}]'])
+@pytest.mark.parametrize("body", [
+    '{"vin": "A"}', '[{"vin": "A",', '[{"timestamp": "x"}]', '[{"vin": "A"}][{"vin": "B"}]', '[{"vin": "A"}] garbage',
+    '[{"vin": "A"}]} x', '[{"vin": "A"}], 1', "", "  \n", "[null]", "[1]", '["a"]', "null",
+])
 def test_landing_errors(spark, scratch, body):
     _write(scratch + "/bad/x.json", body)
     with pytest.raises(Exception):
@@ -120,3 +123,38 @@ def test_page_amounts_match_plan():
 
     for total, size in [(25, 10), (30, 10), (1, 1), (7, 3), (1000, 1000)]:
         assert [_page_amount(p, total, size) for p in range(len(plan_pages(total, size)))] == plan_pages(total, size)
+
+
+def _read_stored(spark, scratch, sizes, total, batch):
+    import uuid
+
+    from telemetry_lake.sources.paged import write_pages
+
+    rows = [(p, json.dumps([{"vin": f"{p}-{i}"} for i in range(n)])) for p, n in enumerate(sizes)]
+    path = f"{scratch}/{uuid.uuid4().hex}"
+    write_pages(spark.createDataFrame(rows, "page int, body string"), path, total, batch)
+    return sorted(r.vin for r in read_pages(spark, path).collect())
+
+
+@pytest.mark.parametrize("sizes,total,batch,rows", [
+    ([3, 0, 3], 9, 3, 3), ([5, 5, 5], 9, 3, 10), ([3, 3, 3], 9, 3, 9), ([0], 3, 3, 0), ([4, 2, 3], 9, 3, 6), ([], 0, 3, 0),
+    ([3, 3], 9, 3, 6),
+])
+def test_paged_read_stops_where_the_loop_would(spark, scratch, sizes, total, batch, rows):
+    assert len(_read_stored(spark, scratch, sizes, total, batch)) == rows
+
+
+def test_running_totals_over_several_runs_of_pages(spark, scratch, monkeypatch):
+    from telemetry_lake.sources import paged
+
+    monkeypatch.setattr(paged, "RUN", 2)
+    assert len(_read_stored(spark, scratch, [3, 4, 3, 3, 3, 3, 3], 21, 3)) == 22
+    assert len(_read_stored(spark, scratch, [3, 3, 3, 3, 2, 3, 3], 21, 3)) == 14
+
+
+def test_stored_page_with_trailing_text_is_refused(spark, scratch):
+    from telemetry_lake.sources.paged import write_pages
+
+    write_pages(spark.createDataFrame([(0, "[] x")], "page int, body string"), scratch + "/p", 3, 3)
+    with pytest.raises(Exception):
+        read_pages(spark, scratch + "/p").collect()

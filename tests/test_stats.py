@@ -43,3 +43,13 @@ def test_bronze_and_last_state_stats(spark):
     assert (r.total_records, r.unique_vehicles) == (2, 1)
     ls = stats.last_state_stats(vin_last_state(_silver(spark), "g")).first()
     assert tuple(ls) == (3, 1, 1)
+
+
+def test_silver_stats_expands_only_reduced_rows_and_takes_no_rows(spark):
+    s = _silver(spark)
+    plan = stats.silver_stats(s)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    expand = next((i for i, x in enumerate(lines) if "Expand" in x), None)
+    assert expand is None or any("Aggregate [vin" in x for x in lines[expand:])
+    empty = stats.silver_stats(s.limit(0)).first()
+    assert (empty.total_records, empty.unique_vehicles, empty.avg_velocity) == (0, 0, None)
