@@ -48,3 +48,10 @@ def test_plan_limits_before_exchange(spark):
     s = to_silver(bronze_rows(spark, rows), "s", sort=False)
     plan = fastest_per_hour(s, "g")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_more_speeds_than_the_group_limit(spark):
+    rows = [{"vin": "A", "timestamp": HOUR + i, "velocity": float(i % 1400)} for i in range(3000)]
+    s = to_silver(bronze_rows(spark, rows).repartition(5, "timestamp"), "s", sort=False)
+    got = [r.velocity for r in fastest_per_hour(s, "g", k=2000).collect()]
+    assert got == sorted((float(i % 1400) for i in range(3000)), reverse=True)[:2000]
