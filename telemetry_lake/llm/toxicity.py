@@ -1,17 +1,23 @@
-"""Toxicity by compression distance with two zstandard dictionaries.
+"""Toxicity by a learned word list, looked up by compression with two zstandard dictionaries.
+
+No dictionary is trained on toxic text: windows of ordinary and of toxic text
+share almost all their bytes, and dictionaries trained on either tell them
+apart no better than the larger class does (figures in the README).  What marks
+toxic text is a word list instead, picked by a test over word beginnings
+(``toxic_marks``), whole however long it gets.
 
 Words are written as eight bytes each (their 64-bit hashes), so that only whole
-words match.  One dictionary is trained on ordinary text; the other holds the
-same content and, in addition, what marks toxic text.  A short window that
-carries toxic words compresses to fewer bytes with the second one; other
-windows come out alike, because everything else is shared.  Thresholds on the
-byte differences and a small logistic model over their document-level sums are
-calibrated on labelled documents.
-
-Two details make single bytes count.  Each window is preceded by a fixed
-ballast that both dictionaries hold, so a window is never stored raw; and
+words match.  One dictionary holds ordinary text; the other holds the same
+content and the word list before it.  A short window that carries listed words
+compresses to fewer bytes with the second one; other windows come out alike.
+The byte difference from which a window counts and a small logistic model over
+the differences of a document are calibrated on labelled documents.
+
+Four details make single bytes count.  Each window is preceded by a fixed
+ballast that both dictionaries hold, so a window is never stored raw; a fixed
+tail follows it, since zstandard looks for no match in the last 16 bytes;
 windows stay below 64 literals, where zstandard spends no bytes on entropy
-tables.
+tables; and the match tables have room for every position of a dictionary.
 """
 
 from __future__ import annotations
@@ -34,14 +40,15 @@ SAMPLE = 2000  # labelled documents that the model is fitted on, at most
 SAMPLE_CHARS = 16384  # characters of a document that fitting looks at
 FOLDS, HELD = 3, 1
 THRESHOLD = 0.7
-WINDOW = 56  # bytes: seven words
+WINDOW = 48  # bytes: six words; with the tail less than 64 literals
 ORDINARY_BYTES = 8192
-TOXIC_BYTES = 8192
 PARTS = 3  # of the sample, for calibration
 PREFIX = range(4, 13)  # bytes of the word beginnings that may mark toxic text
 Z_LEAST, PURITY = 5.0, 0.75
-LEAST_GAIN = 2  # bytes
+GAINS = 64  # bytes that a window can save, exclusive
+LEAST_GAINS = range(1, 9)  # thresholds on them that calibration chooses from
 
+_TAIL = b"~^`|@!?%;"
 _BALLAST = b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ<>{}"
 _TABLE = bytes(32 if NOT_ALNUM[i] else (i + 32 if 65 <= i <= 90 else i) for i in range(256))
 
@@ -107,9 +114,11 @@ def _compressors(ordinary: bytes, toxic: bytes):
     import zstandard as zs
 
     made = []
+    whole = len(toxic) + len(ordinary) + len(_BALLAST)
+    log = max(15, whole.bit_length() + 1)  # both alike; rows of the match tables stay a quarter full
     for content in (ordinary + _BALLAST, toxic + ordinary + _BALLAST):
         params = zs.ZstdCompressionParameters(
-            min_match=6, strategy=zs.STRATEGY_GREEDY, window_log=15, hash_log=12, chain_log=13, search_log=4,
+            min_match=6, strategy=zs.STRATEGY_GREEDY, window_log=log, hash_log=log, chain_log=log, search_log=4,
             write_checksum=0, write_content_size=0, write_dict_id=0,
         )
         data = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
@@ -130,54 +139,61 @@ def train_dictionaries(texts: list[list[bytes]], label: np.ndarray) -> Dictionar
         base = zs.train_dictionary(ORDINARY_BYTES, ordinary[:40000], k=32, d=8).as_bytes()
     except zs.ZstdError:  # too few samples: their text itself
         base = b"".join(ordinary)
-    marks = codes([toxic_marks(texts, label)[: TOXIC_BYTES // 8]])[0]
+    marks = codes([toxic_marks(texts, label)])[0]
     return Dictionaries(base[-ORDINARY_BYTES:], marks)
 
 
 def gains(coded: bytes, dictionaries: Dictionaries) -> np.ndarray:
-    """Bytes that the toxic dictionary saves in every window of a coded document."""
+    """How many windows of a coded document save 0, 1, .. bytes with the toxic dictionary."""
     plain, toxic = (c.compress for c in dictionaries.compressors())
-    windows = [_BALLAST + coded[i : i + WINDOW] for i in range(0, max(1, len(coded)), WINDOW)]
-    return np.array([len(plain(w)) - len(toxic(w)) for w in windows])
+    windows = [_BALLAST + coded[i : i + WINDOW] + _TAIL for i in range(0, max(1, len(coded)), WINDOW)]
+    saved_ = np.array([len(plain(w)) - len(toxic(w)) for w in windows])
+    return np.bincount(np.clip(saved_, 0, GAINS - 1), minlength=GAINS)
 
 
 FEATURES = 5
 
 
-def summary(gain: np.ndarray) -> np.ndarray:
-    """What the windows of a document say together."""
-    over = gain[gain >= LEAST_GAIN]
-    return np.array([
-        np.log1p(over.sum()), gain.max(), min(1.0, over.sum() / (len(gain) + 2)),
-        np.log1p((gain >= 2 * LEAST_GAIN).sum()), np.log(len(gain)),
-    ])
+def summary(gain: np.ndarray, least: int) -> np.ndarray:
+    """What the windows of each document (a row of ``gain``) say together, those over ``least`` counting."""
+    size = np.arange(GAINS)
+    total, windows = (gain * size)[:, least:].sum(axis=1), gain.sum(axis=1)
+    return np.stack([
+        np.log1p(total), ((gain > 0) * size).max(axis=1), np.minimum(1.0, total / (windows + 2)),
+        np.log1p(gain[:, 2 * least :].sum(axis=1)), np.log(windows),
+    ], axis=1)
 
 
 @dataclass
 class Model:
     dictionaries: Dictionaries
+    least: int  # bytes from which a window counts
     center: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
+    def scores(self, gain: np.ndarray) -> np.ndarray:
+        """Of documents by the windows that save each number of bytes."""
+        return 1 / (1 + np.exp(-self.logits(summary(gain, self.least))))
+
+    def logits(self, x: np.ndarray) -> np.ndarray:
         x = np.hstack([(x - self.center) / self.scale, np.ones((len(x), 1))])
-        return 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
+        return np.clip(x @ self.weights, -30, 30)
 
-    def score(self, text: str | None) -> float:
-        return float(self.scores(summary(gains(codes([words(text)])[0], self.dictionaries))[None])[0])
 
+def calibrate(gain: np.ndarray, label: np.ndarray, dictionaries: Dictionaries) -> Model:
+    """The threshold on a window's gain, and the logistic model with it, that have the least log loss."""
+    best = None
+    for least in LEAST_GAINS:
+        model = _logistic(summary(gain, least), label, dictionaries, least)
+        margin = model.logits(summary(gain, least)) * np.where(label > 0, 1, -1)
+        loss = np.log1p(np.exp(-margin)).sum()
+        if best is None or loss < best[0] - 1e-9:
+            best = (loss, model)
+    return best[1]
 
-def fit(doc_ids: list[int], texts: list[str | None], label: np.ndarray) -> Model:
-    """Dictionaries from all rows; thresholds from rows that their dictionaries haven't seen."""
-    rows = [words(t) for t in texts]
-    part = (mix(np.array(doc_ids, dtype=np.int64).view(np.uint64)) % np.uint64(PARTS)).astype(int)
-    x, coded = np.zeros((len(rows), FEATURES)), codes(rows)
-    for side in range(PARTS):
-        seen = np.flatnonzero(part != side)
-        d = train_dictionaries([rows[i] for i in seen], label[seen])
-        for i in np.flatnonzero(part == side):
-            x[i] = summary(gains(coded[i], d))
+
+def _logistic(x: np.ndarray, label: np.ndarray, dictionaries: Dictionaries, least: int) -> Model:
     center = x.mean(axis=0) if len(x) else np.zeros(FEATURES)
     scale = x.std(axis=0) + 1e-3 if len(x) else np.ones(FEATURES)
     design = np.hstack([(x - center) / scale, np.ones((len(x), 1))])
@@ -189,7 +205,20 @@ def fit(doc_ids: list[int], texts: list[str | None], label: np.ndarray) -> Model
         w -= step
         if np.abs(step).max() < 1e-8:
             break
-    return Model(train_dictionaries(rows, label), center, scale, w)
+    return Model(dictionaries, least, center, scale, w)
+
+
+def fit(doc_ids: list[int], texts: list[str | None], label: np.ndarray) -> Model:
+    """Dictionaries from all rows; thresholds from rows that their dictionaries haven't seen."""
+    rows = [words(t) for t in texts]
+    part = (mix(np.array(doc_ids, dtype=np.int64).view(np.uint64)) % np.uint64(PARTS)).astype(int)
+    gain, coded = np.zeros((len(rows), GAINS), dtype=np.int64), codes(rows)
+    for side in range(PARTS):
+        seen = np.flatnonzero(part != side)
+        d = train_dictionaries([rows[i] for i in seen], label[seen])
+        for i in np.flatnonzero(part == side):
+            gain[i] = gains(coded[i], d)
+    return calibrate(gain, label, train_dictionaries(rows, label))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -218,11 +247,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
             for row, end, data, off in chunks(low):
                 hashes, first = word_hashes(data, off, NOT_ALNUM)
                 coded = hashes.astype("<u8").tobytes()
-                x = [
-                    summary(gains(coded[8 * a : 8 * b], model.dictionaries))
-                    for a, b in zip(first[:-1], first[1:], strict=True)
+                gain = [
+                    gains(coded[8 * a : 8 * b], model.dictionaries) for a, b in zip(first[:-1], first[1:], strict=True)
                 ]
-                value = model.scores(np.array(x))
+                value = model.scores(np.array(gain))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, end - row), pa.array(value, pa.float64())], names=["doc_id", "score"]
                 )

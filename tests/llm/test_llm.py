@@ -183,6 +183,26 @@ def test_classifiers_on_edges(spark, edge):
     assert qu.keep_good(edge, labels).columns == edge.columns
 
 
+def test_toxic_marks_are_all_found_wherever_they_stand():
+    rng = np.random.default_rng(10)
+    marks, ordinary = [f"bad{k}".encode() for k in range(3000)], [f"good{k}".encode() for k in range(500)]
+    texts = []
+    for _ in range(4000):
+        row = [ordinary[k] for k in rng.integers(500, size=9)]
+        texts.append(row)
+        texts.append([*row[:4], marks[rng.integers(3000)], *row[4:], marks[rng.integers(3000)]])
+    d = to.train_dictionaries(texts, np.array([0, 1] * 4000))
+    assert len(d.toxic) > 8 * 2000  # of 3,000 words, those that were drawn
+    coded = [d.toxic[k : k + 8] for k in range(0, len(d.toxic), 8 * 50)]
+    size = to.WINDOW // 8
+    for place in range(size):
+        for code in coded:
+            window = bytearray(rng.bytes(to.WINDOW))
+            assert to.gains(bytes(window), d)[0] == 1
+            window[8 * place : 8 * place + 8] = code
+            assert to.gains(bytes(window), d)[0] == 0
+
+
 # --- 5 language model -------------------------------------------------------------------
 
 
