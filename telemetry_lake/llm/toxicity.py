@@ -4,7 +4,7 @@ No dictionary is trained on toxic text: windows of ordinary and of toxic text
 share almost all their bytes, and dictionaries trained on either tell them
 apart no better than the larger class does (figures in the README).  What marks
 toxic text is a word list instead, picked by a test over word beginnings
-(``toxic_marks``), whole however long it gets.
+(``word_lists``), whole however long it gets.
 
 Words are written as eight bytes each (their 64-bit hashes), so that only whole
 words match.  One dictionary holds ordinary text; the other holds the same
@@ -13,6 +13,10 @@ compresses to fewer bytes with the second one; other windows come out alike.
 The byte difference from which a window counts and a small logistic model over
 the differences of a document are calibrated on labelled documents.
 
+Labelled documents are read whole: words are counted, and windows compressed, on
+the executors; the driver gets the word lists and, of every sampled document,
+how many of its windows save how many bytes.
+
 Four details make single bytes count.  Each window is preceded by a fixed
 ballast that both dictionaries hold, so a window is never stored raw; a fixed
 tail follows it, since zstandard looks for no match in the last 16 bytes;
@@ -22,7 +26,6 @@ tables; and the match tables have room for every position of a dictionary.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -32,16 +35,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm.frames import table
+from telemetry_lake.llm.frames import saved, table
 from telemetry_lake.llm.quality import held_out, sample_of
-from telemetry_lake.llm.text import NOT_ALNUM, chunks, flat, mix, word_hashes
+from telemetry_lake.llm.text import NOT_ALNUM, chunks, flat, mix, span_hashes, word_hashes, word_spans
 
-SAMPLE = 2000  # labelled documents that the model is fitted on, at most
-SAMPLE_CHARS = 16384  # characters of a document that fitting looks at
+SAMPLE = 8000  # labelled documents that the model is fitted on, at most
 FOLDS, HELD = 3, 1
 THRESHOLD = 0.7
 WINDOW = 48  # bytes: six words; with the tail less than 64 literals
-ORDINARY_BYTES = 8192
+ORDINARY_WORDS = 1024
 PARTS = 3  # of the sample, for calibration
 PREFIX = range(4, 13)  # bytes of the word beginnings that may mark toxic text
 Z_LEAST, PURITY = 5.0, 0.75
@@ -50,52 +52,99 @@ LEAST_GAINS = range(1, 9)  # thresholds on them that calibration chooses from
 
 _TAIL = b"~^`|@!?%;"
 _BALLAST = b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ<>{}"
-_TABLE = bytes(32 if NOT_ALNUM[i] else (i + 32 if 65 <= i <= 90 else i) for i in range(256))
+_ALL = PARTS  # number of the model of all parts; the others leave out the part of their number
+
+
+def parts_of(doc_ids: pa.Array) -> np.ndarray:
+    return (mix(doc_ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) % np.uint64(PARTS)).astype(np.int64)
 
 
-def words(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "replace").translate(_TABLE).split()
+def low_text(column: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pc.utf8_lower(column)], names=["text"])
 
 
-def toxic_marks(texts: list[list[bytes]], label: np.ndarray) -> list[bytes]:
-    """Words that mark toxic text, the most frequent first.
+def contexts(rows: DataFrame) -> DataFrame:
+    """(word, context, bits) of whole texts: the words before and after as a hash, part and label as one bit."""
+
+    def run(batches):
+        for batch in batches:
+            bit = np.int64(1) << (2 * parts_of(batch.column(0)) + batch.column(2).to_numpy())
+            for row, end, data, off in chunks(low_text(batch.column(1))):
+                starts, ends, first = word_spans(data, off, NOT_ALNUM)
+                hashes = span_hashes(data, starts, ends)
+                before, after = np.zeros_like(hashes), np.zeros_like(hashes)
+                before[1:], after[:-1] = hashes[:-1], hashes[1:]
+                some = np.diff(first) > 0
+                before[first[:-1][some]] = 0
+                after[first[1:][some] - 1] = 0
+                context = mix(before + mix(after + np.uint64(1)))
+                bits = np.repeat(bit[row:end], np.diff(first))
+                _, at = np.unique(mix(hashes + mix(context + bits.astype(np.uint64))), return_index=True)
+                raw = data.tobytes()
+                for k in range(0, len(at), 1 << 16):
+                    part = at[k : k + (1 << 16)]
+                    found = [raw[a:b] for a, b in zip(starts[part].tolist(), ends[part].tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found, pa.binary()), pa.array(context[part].view(np.int64)), pa.array(bits[part])],
+                        names=["word", "context", "bits"],
+                    )
+
+    return rows.select("doc_id", "text", "label").mapInArrow(run, "word binary, context bigint, bits bigint")
+
+
+def word_lists(rows: DataFrame) -> list[tuple[list[bytes], list[bytes]]]:
+    """(toxic words, frequent other words) for each model: without part 0, 1, .., and of all parts.
 
     Words and word beginnings are counted by distinct contexts (the words before
     and after), so copies of a document count once.  A beginning is toxic if it
     stands out by ``Z_LEAST`` standard deviations over its share if labels did
-    not matter, and if most of its contexts are toxic.  Marks are the words of
+    not matter, and if most of its contexts are toxic.  Toxic words are those of
     toxic text that begin so.
     """
-    seen: dict[int, set] = {0: set(), 1: set()}
-    for row, toxic in zip(texts, label, strict=True):
-        padded = [b"", *row, b""]
-        seen[int(toxic)].update(zip(padded, padded[1:], padded[2:], strict=False))
-    whole = {toxic: Counter(b" " + w + b" " for _, w, _ in contexts) for toxic, contexts in seen.items()}
-    counts = {0: Counter(), 1: Counter()}
-    for toxic, found in whole.items():
-        for word, n in found.items():
-            for form in _forms(word):
-                counts[toxic][form] += n
-    share = len(seen[1]) / max(1, len(seen[0]) + len(seen[1]))
-    stems = set()
-    for form, n in counts[1].items():
-        expected = (n + counts[0][form]) * share
-        if n - expected >= Z_LEAST * np.sqrt(expected + 1) and n >= PURITY * (n + counts[0][form]):
-            stems.add(form)
-    marks = {w: n for w, n in whole[1].items() if not stems.isdisjoint(_forms(w))}
-    return [w[1:-1] for w in sorted(marks, key=lambda w: (-marks[w], w))]
-
-
-def _forms(word: bytes) -> list[bytes]:
-    """A word with its spaces, and its beginnings."""
-    return [word, *(word[: size + 1] for size in PREFIX if size < len(word) - 2)]
-
-
-def codes(rows: list[list[bytes]]) -> list[bytes]:
-    """Every word list as the hashes of its words, eight bytes each."""
-    data, off = flat(pa.array([b" ".join(r) for r in rows], pa.binary()))
-    hashes, first = word_hashes(data, off, NOT_ALNUM)
-    return [hashes[a:b].astype("<u8").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+
+    def seen(model: int, label: int):
+        mask = sum(1 << (2 * part + label) for part in range(PARTS) if part != model)
+        return F.sum((F.col("bits").bitwiseAND(mask) != 0).cast("bigint")).alias(f"n{label}_{model}")
+
+    models = range(PARTS + 1)
+    numbers = [f"n{label}_{m}" for m in models for label in (0, 1)]
+    by_context = contexts(rows).groupBy("word", "context").agg(F.bit_or("bits").alias("bits"))
+    counted = saved(by_context.groupBy("word").agg(*(seen(m, y) for m in models for y in (0, 1))), "toxic_words")
+    whole = counted.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in numbers)).first()
+    blank = F.lit(bytearray(b" "))
+    spaced = F.concat(blank, "word", blank)
+    begins = [F.when(F.length("word") > size, F.substring(spaced, 1, size + 1)) for size in PREFIX]
+    forms = counted.select("*", F.explode(F.array_compact(F.array(spaced, *begins))).alias("form"))
+
+    def stands_out(m: int):
+        toxic, both = F.col(f"n1_{m}"), F.col(f"n0_{m}") + F.col(f"n1_{m}")
+        expected = both * F.lit(whole[f"n1_{m}"] / max(1, whole[f"n0_{m}"] + whole[f"n1_{m}"]))
+        return (toxic - expected >= Z_LEAST * F.sqrt(expected + 1)) & (toxic >= PURITY * both)
+
+    stems = forms.groupBy("form").agg(*(F.sum(n).alias(n) for n in numbers)).select(
+        "form", sum(F.when(stands_out(m), 1 << m).otherwise(0) for m in models).alias("models")
+    )
+    marks = (
+        forms.join(stems.where("models <> 0"), "form").groupBy("word")
+        .agg(F.bit_or("models").alias("models"), *(F.first(f"n1_{m}").alias(f"n1_{m}") for m in models)).collect()
+    )
+    lists = []
+    for m in models:
+        own = [r for r in marks if r["models"] >> m & 1 and r[f"n1_{m}"]]
+        own = [bytes(r["word"]) for r in sorted(own, key=lambda r: (-r[f"n1_{m}"], bytes(r["word"])))]
+        frequent = (
+            counted.where(F.col(f"n0_{m}") > 0).orderBy(F.desc(f"n0_{m}"), "word").select("word")
+            .limit(ORDINARY_WORDS + len(own)).collect()
+        )
+        listed = set(own)
+        lists.append((own, [w for r in frequent if (w := bytes(r["word"])) not in listed][:ORDINARY_WORDS]))
+    return lists
+
+
+def codes(words: list[bytes]) -> bytes:
+    """The hashes of words, eight bytes each."""
+    data, off = flat(pa.array([b" ".join(words)], pa.binary()))
+    return word_hashes(data, off, NOT_ALNUM)[0].astype("<u8").tobytes()
 
 
 @dataclass
@@ -127,22 +176,6 @@ def _compressors(ordinary: bytes, toxic: bytes):
     return made
 
 
-def train_dictionaries(texts: list[list[bytes]], label: np.ndarray) -> Dictionaries:
-    """Train both dictionaries on labelled word lists."""
-    import zstandard as zs
-
-    coded = codes(texts)
-    ordinary = [
-        row[i : i + 64] for row, toxic in zip(coded, label, strict=True) if not toxic for i in range(0, len(row), 64)
-    ]
-    try:
-        base = zs.train_dictionary(ORDINARY_BYTES, ordinary[:40000], k=32, d=8).as_bytes()
-    except zs.ZstdError:  # too few samples: their text itself
-        base = b"".join(ordinary)
-    marks = codes([toxic_marks(texts, label)])[0]
-    return Dictionaries(base[-ORDINARY_BYTES:], marks)
-
-
 def gains(coded: bytes, dictionaries: Dictionaries) -> np.ndarray:
     """How many windows of a coded document save 0, 1, .. bytes with the toxic dictionary."""
     plain, toxic = (c.compress for c in dictionaries.compressors())
@@ -208,27 +241,34 @@ def _logistic(x: np.ndarray, label: np.ndarray, dictionaries: Dictionaries, leas
     return Model(dictionaries, least, center, scale, w)
 
 
-def fit(doc_ids: list[int], texts: list[str | None], label: np.ndarray) -> Model:
-    """Dictionaries from all rows; thresholds from rows that their dictionaries haven't seen."""
-    rows = [words(t) for t in texts]
-    part = (mix(np.array(doc_ids, dtype=np.int64).view(np.uint64)) % np.uint64(PARTS)).astype(int)
-    gain, coded = np.zeros((len(rows), GAINS), dtype=np.int64), codes(rows)
-    for side in range(PARTS):
-        seen = np.flatnonzero(part != side)
-        d = train_dictionaries([rows[i] for i in seen], label[seen])
-        for i in np.flatnonzero(part == side):
-            gain[i] = gains(coded[i], d)
-    return calibrate(gain, label, train_dictionaries(rows, label))
+def text_gains(texts: pa.Array, dictionaries: list[Dictionaries]) -> list[np.ndarray]:
+    """``gains`` of every whole text, each by its own dictionaries."""
+    out = []
+    for _, _, data, off in chunks(low_text(texts)):
+        hashes, first = word_hashes(data, off, NOT_ALNUM)
+        coded = hashes.astype("<u8").tobytes()
+        for a, b in zip(first[:-1], first[1:], strict=True):
+            out.append(gains(coded[8 * a : 8 * b], dictionaries[len(out)]))
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    rows = (
-        sample_of(docs, labels, "toxic", FOLDS, HELD, sample)
-        .select("doc_id", F.left("text", F.lit(SAMPLE_CHARS)).alias("text"), "label")
-        .collect()
-    )
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
-    return fit([r["doc_id"] for r in rows], [r["text"] for r in rows], np.array([r["label"] for r in rows], dtype=float))
+    """Word lists from all sampled rows, read whole; thresholds from rows that their lists haven't seen."""
+    rows = saved(sample_of(docs, labels, "toxic", FOLDS, HELD, sample), "toxic_sample")
+    made = [Dictionaries(codes(frequent[::-1]), codes(toxic)) for toxic, frequent in word_lists(rows)]
+
+    def run(batches):
+        for batch in batches:
+            own = [made[part] for part in parts_of(batch.column(0))]
+            gain = [g.astype("<i8").tobytes() for g in text_gains(batch.column(1), own)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(gain, pa.binary())], names=["doc_id", "label", "gain"]
+            )
+
+    found = rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id bigint, label int, gain binary").collect()
+    found.sort(key=lambda r: (r["doc_id"], bytes(r["gain"])))
+    gain = np.frombuffer(b"".join(bytes(r["gain"]) for r in found), "<i8").reshape(-1, GAINS)
+    return calibrate(gain, np.array([r["label"] for r in found], dtype=float), made[_ALL])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -243,16 +283,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
     def run(batches):
         for batch in batches:
-            low = pa.RecordBatch.from_arrays([pc.utf8_lower(batch.column(1))], names=["text"])
-            for row, end, data, off in chunks(low):
-                hashes, first = word_hashes(data, off, NOT_ALNUM)
-                coded = hashes.astype("<u8").tobytes()
-                gain = [
-                    gains(coded[8 * a : 8 * b], model.dictionaries) for a, b in zip(first[:-1], first[1:], strict=True)
-                ]
-                value = model.scores(np.array(gain))
+            if batch.num_rows:
+                gain = text_gains(batch.column(1), [model.dictionaries] * batch.num_rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, end - row), pa.array(value, pa.float64())], names=["doc_id", "score"]
+                    [batch.column(0), pa.array(model.scores(np.array(gain)), pa.float64())], names=["doc_id", "score"]
                 )
 
     scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, score double")

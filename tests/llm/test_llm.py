@@ -185,24 +185,30 @@ def test_classifiers_on_edges(spark, edge):
 
 def test_toxic_marks_are_all_found_wherever_they_stand():
     rng = np.random.default_rng(10)
-    marks, ordinary = [f"bad{k}".encode() for k in range(3000)], [f"good{k}".encode() for k in range(500)]
-    texts = []
-    for _ in range(4000):
-        row = [ordinary[k] for k in rng.integers(500, size=9)]
-        texts.append(row)
-        texts.append([*row[:4], marks[rng.integers(3000)], *row[4:], marks[rng.integers(3000)]])
-    d = to.train_dictionaries(texts, np.array([0, 1] * 4000))
-    assert len(d.toxic) > 8 * 2000  # of 3,000 words, those that were drawn
-    coded = [d.toxic[k : k + 8] for k in range(0, len(d.toxic), 8 * 50)]
-    size = to.WINDOW // 8
-    for place in range(size):
-        for code in coded:
+    d = to.Dictionaries(rng.bytes(8 * 1024), rng.bytes(8 * 3000))
+    for place in range(to.WINDOW // 8):
+        for k in range(0, 3000, 50):
             window = bytearray(rng.bytes(to.WINDOW))
             assert to.gains(bytes(window), d)[0] == 1
-            window[8 * place : 8 * place + 8] = code
+            window[8 * place : 8 * place + 8] = d.toxic[8 * k : 8 * k + 8]
             assert to.gains(bytes(window), d)[0] == 0
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    rng = np.random.default_rng(11)
+    rows, labels = [], []
+    for i in range(240):
+        words = [f"good{k}" for k in rng.integers(900, size=3000)]
+        if i % 2:
+            words += [f"bad{rng.integers(5)}" if k % 4 == 0 else f"good{rng.integers(900)}" for k in range(40)]
+        rows.append((i, " ".join(words)))
+        labels.append((i, i % 2))
+    assert min(t.find("bad") for i, t in rows if i % 2) > 16384
+    labels = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    got = to.toxicity(frame(spark, rows), labels).where("held_out").collect()
+    assert len(got) > 50 and all(r["predicted"] == r["doc_id"] % 2 for r in got)
+
+
 # --- 5 language model -------------------------------------------------------------------
 
 
