@@ -17,6 +17,12 @@ that no item's signature continues with, which is the same as looking the whole
 signature up.  Before walking, a count filter drops starts that cannot match:
 a window within k word edits of an item of n words holds at least n - 1 - 2k of
 the benchmark's word pairs (the q-gram lemma), so nothing is lost.
+
+Walks drift apart as edits add up, so long items are cut into blocks of
+``BLOCK`` words or somewhat more, and the blocks are searched like short items.
+Of the blocks of a near copy at least one has no larger share of edits than the
+whole (their edits sum up to it); around each block that is found the whole item
+is then aligned exactly.
 """
 
 from __future__ import annotations
@@ -36,7 +42,7 @@ SIMILARITY = 0.8  # 1 - word edits / words of the item
 WALKS = 24
 SAMPLES = 3
 SHORTEST = 5  # items with fewer words are matched exactly only
-MAX_ITEM_WORDS = 4096
+BLOCK = 30  # words; items of twice as many or more are cut into blocks of at least this size
 ITEM_GROUP_BYTES = 8 << 20  # benchmark text that one pass over the documents compares with
 
 
@@ -57,6 +63,7 @@ class Benchmark:
 
     item_ids: list
     items: list[np.ndarray]  # symbols 1 .. of each item
+    blocks: list[tuple[int, int, np.ndarray]]  # item index, first word in it, symbols
     vocabulary: np.ndarray  # sorted word hashes; symbol = index + 1, 0 is any other word
     pairs: np.ndarray  # sorted codes of adjacent symbols
     classes: list[dict]
@@ -86,7 +93,7 @@ def sampled_steps(walk: int, length: int) -> np.ndarray:
 
 
 def prepare(item_ids: list, texts: list[str]) -> Benchmark:
-    """Signatures of all items; items without words are left out."""
+    """Signatures of all items' blocks; items without words are left out."""
     hashes, first = word_symbols(pa.array(texts, pa.string()))
     vocabulary = np.unique(hashes)
     symbols = np.searchsorted(vocabulary, hashes) + 1
@@ -94,8 +101,14 @@ def prepare(item_ids: list, texts: list[str]) -> Benchmark:
     items = [symbols[first[i] : first[i + 1]] for i in kept]
     size = len(vocabulary) + 1
     pairs = np.unique(np.concatenate([x[:-1] * size + x[1:] for x in items] or [np.zeros(0, np.int64)]))
+    blocks = [
+        (i, int(a), x[a:b])
+        for i, x in enumerate(items)
+        for cuts in [np.linspace(0, len(x), max(1, len(x) // BLOCK) + 1).astype(int)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+    ]
     classes = []
-    lengths = np.array([len(x) for x in items])
+    lengths = np.array([len(x) for _, _, x in blocks])
     low = 1
     while len(lengths) and low <= lengths.max():
         own = np.flatnonzero((lengths >= low) & (lengths < max(low + 1, low * 3 // 2)))
@@ -108,13 +121,13 @@ def prepare(item_ids: list, texts: list[str]) -> Benchmark:
                 steps = sampled_steps(walk, shortest) if shortest >= SHORTEST else np.arange(shortest)
                 table_: dict[tuple, list[int]] = {}
                 for i in own:
-                    table_.setdefault(tuple(embed(items[i], walk, int(steps[-1]) + 1)[steps].tolist()), []).append(int(i))
+                    table_.setdefault(tuple(embed(blocks[i][2], walk, int(steps[-1]) + 1)[steps].tolist()), []).append(int(i))
                 walks.append((walk, steps, table_))
             classes.append({
                 "shortest": shortest, "longest": int(lengths[own].max()), "least": max(0, least), "walks": walks,
             })
         low = max(low + 1, low * 3 // 2)
-    return Benchmark([item_ids[i] for i in kept], items, vocabulary, pairs, classes)
+    return Benchmark([item_ids[i] for i in kept], items, blocks, vocabulary, pairs, classes)
 
 
 def edit_distances(item: np.ndarray, windows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,6 +172,32 @@ def verified(item: np.ndarray, starts: np.ndarray, symbols: np.ndarray, ends: np
     return out
 
 
+def aligned(item: np.ndarray, text: np.ndarray, vocabulary: int) -> tuple[int, int, int] | None:
+    """(edits, start, length) of the part of a text with the least word edits from the item, the first of equal ones.
+
+    None if it has more edits than the item allows.  One row of the dynamic
+    programme holds edits and start together, so the least of both is carried.
+    """
+    most = edits_allowed(len(item))
+    own = np.zeros(vocabulary + 1, dtype=bool)
+    own[item] = True
+    held = np.append(0, np.cumsum(own[text]))
+    at = np.arange(len(held))
+    if (held - held[np.maximum(at - len(item) - most, 0)]).max() < len(item) - most:
+        return None
+    unit = len(text) + 1
+    steps = at * unit
+    row = at.copy()  # nothing of the item yet: a part may start anywhere
+    for i, symbol in enumerate(item):
+        below = np.empty_like(row)
+        below[0] = (i + 1) * unit
+        np.minimum(row[:-1] + unit * (text != symbol), row[1:] + unit, out=below[1:])
+        row = np.minimum.accumulate(below - steps) + steps  # insertions along the row
+    end = int(np.argmin(row))
+    edits, start = divmod(int(row[end]), unit)
+    return (edits, start, end - start) if edits <= most else None
+
+
 def candidate_starts(symbols: np.ndarray, ends: np.ndarray, pair_hits: np.ndarray, group: dict) -> np.ndarray:
     """Starts whose windows hold enough benchmark word pairs for some item of the class."""
     starts = np.flatnonzero(symbols > 0)
@@ -196,16 +235,43 @@ def search(hashes: np.ndarray, first: np.ndarray, bench: Benchmark) -> list[tupl
         for walk, steps, signatures in group["walks"]:
             _walk(symbols, ends, starts, walk, steps, signatures, found)
     best: dict[tuple[int, int], tuple] = {}
-    for item, parts in found.items():
+
+    def offer(row: int, item: int, value: tuple[int, int, int]) -> None:
+        if (row, item) not in best or value < best[row, item]:
+            best[row, item] = value
+
+    regions: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for block, parts in found.items():
         starts = np.unique(np.concatenate(parts))
-        for start, length, edits in verified(bench.items[item], starts, symbols, ends, len(bench.vocabulary)):
-            key = (int(row_of[start]), item)
-            value = (edits, start - int(first[row_of[start]]), length)
-            if key not in best or value < best[key]:
-                best[key] = value
+        item, offset, own = bench.blocks[block]
+        n = len(bench.items[item])
+        slack = edits_allowed(n) + edits_allowed(len(own))
+        for start, length, edits in verified(own, starts, symbols, ends, len(bench.vocabulary)):
+            row = int(row_of[start])
+            if len(own) == n:
+                offer(row, item, (edits, start - int(first[row]), length))
+            else:
+                low, high = start - offset - slack, start - offset + n + slack
+                regions.setdefault((row, item), []).append((max(low, int(first[row])), min(high, int(first[row + 1]))))
+    for (row, item), spans in regions.items():
+        for low, high in _merged(spans):
+            value = aligned(bench.items[item], symbols[low:high], len(bench.vocabulary))
+            if value:
+                offer(row, item, (value[0], value[1] + low - int(first[row]), value[2]))
     return sorted((row, item, start, start + length, edits) for (row, item), (edits, start, length) in best.items())
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(spans):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
 def _walk(symbols, ends, starts, walk, steps, signatures, found) -> None:
     """Follow one walk from all starts, dropping those that no signature continues."""
     alive, at = starts, starts.copy()

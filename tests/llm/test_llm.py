@@ -333,6 +333,25 @@ def test_decontamination_recall_and_precision(spark):
     assert got <= truth and len(got) >= 0.97 * len(truth) and len(truth) >= 90
 
 
+def test_decontamination_of_long_items(spark):
+    rng = np.random.default_rng(6)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [[vocabulary[k] for k in rng.integers(3000, size=n)] for n in (100, 150, 250, 250, 500, 1000, 1000, 2000, 2000, 2000)]
+    rows = []
+    for i, item in enumerate(items):
+        words = list(item)
+        for k in sorted(rng.permutation(len(item))[: de.edits_allowed(len(item))].tolist(), reverse=True):
+            words[k : k + 1] = [[], [f"new{k}"], [words[k], vocabulary[int(rng.integers(3000))]]][int(rng.integers(3))]
+        around = [vocabulary[k] for k in rng.integers(3000, size=40)]
+        rows += [(i, " ".join([*around, *words, *around])), (100 + i, " ".join(vocabulary[k] for k in rng.integers(3000, size=len(item))))]
+        rows.append((200 + i, " ".join([*around, *item[: int(0.75 * len(item))]])))
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in de.matches(frame(spark, rows), benchmark).collect()}
+    assert set(got) == {(i, i) for i in range(len(items))}
+    for i in range(4):
+        assert got[i, i] == word_edits(items[i], rows[3 * i][1].split())
+
+
 def test_decontamination_edges(spark, edge):
     benchmark = spark.createDataFrame([(1, None), (2, ""), (3, "a b c d e f"), (4, "x"), (5, "!!")], "item_id bigint, text string")
     got = {(r["doc_id"], r["item_id"]) for r in de.matches(edge, benchmark).collect()}
