@@ -231,6 +231,20 @@ def test_lm_scores(which, docs, edge, texts):
     assert all(r["score"] < 0 for r in got)
 
 
+def test_lm_scores_of_texts_that_share_an_id(spark):
+    texts = ["few " + "long" * 40 + " words", "a b c d e f g h", "other text here"]
+    ids = [i for i in range(1, 50) if zlib.crc32(str(i).encode()) % lm.FOLDS != lm.HELD][:3]
+    apart, same = ([(r["n_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in lm.lm_scores(frame(spark, rows)).collect()]
+                   for rows in (list(zip(ids, texts)), [(ids[0], t) for t in texts]))
+    assert sorted(apart) == sorted(same)
+
+
+def test_lm_word_ranges_grow_with_the_corpus():
+    assert lm.ranges(0, 8) == 8 and lm.ranges(0, 9) == 16
+    for blocks in (100, 5000):
+        assert blocks <= lm.ranges(blocks * lm.BLOCK_BYTES, 8) < 2 * blocks
+
+
 def test_byte_model_is_a_distribution(texts):
     data = "\n".join(list(texts.values())[:40]).encode()
     arr = np.frombuffer(data, np.uint8)
