@@ -8,6 +8,7 @@ from telemetry_lake.llm.near_dedup import op9_near_dedup
 from telemetry_lake.llm.packing import op3_packing
 from telemetry_lake.llm.quality import op4_quality
 from telemetry_lake.llm.secrets import op1_secrets
+from telemetry_lake.llm.simhash import op11_simhash
 from telemetry_lake.llm.toxicity import op10_toxicity
 from telemetry_lake.llm.url_filter import OP7_SQL, op7_url_filter
 
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_simhash": op11_simhash,
 }
 
 ORACLE = {"op6_exact_dedup": OP6_SQL, "op7_url_filter": OP7_SQL}
