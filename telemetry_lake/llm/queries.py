@@ -2,6 +2,7 @@
 
 from telemetry_lake.llm.decontamination import op8_decontamination
 from telemetry_lake.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from telemetry_lake.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from telemetry_lake.llm.licenses import op2_licenses
 from telemetry_lake.llm.lm_scoring import op5_lm_scoring
 from telemetry_lake.llm.near_dedup import op9_near_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_toxicity": op10_toxicity,
     "op11_simhash": op11_simhash,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
-ORACLE = {"op6_exact_dedup": OP6_SQL, "op7_url_filter": OP7_SQL}
+ORACLE = {"op6_exact_dedup": OP6_SQL, "op7_url_filter": OP7_SQL, "op12_hard_negatives": OP12_SQL}
