@@ -1,5 +1,6 @@
 """Driver queries of this package and their SQL where SQL can express them."""
 
+from telemetry_lake.llm.conversations import op13_conversations
 from telemetry_lake.llm.decontamination import op8_decontamination
 from telemetry_lake.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from telemetry_lake.llm.hard_negatives import OP12_SQL, op12_hard_negatives
@@ -26,6 +27,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_simhash": op11_simhash,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLE = {"op6_exact_dedup": OP6_SQL, "op7_url_filter": OP7_SQL, "op12_hard_negatives": OP12_SQL}
