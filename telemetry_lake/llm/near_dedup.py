@@ -1,26 +1,30 @@
 """Near duplicates by a chosen-path set-similarity join over minwise tokens.
 
-Each text becomes its set of distinct word shingles; equal sets are one class
-with one representative.  A representative has ``TOKENS`` minwise tokens.  In
-each of ``TREES`` independent trees a node chooses a few token positions (by a
-hash of its own path) and its documents branch by their token there.  Two
-documents of high similarity agree on most tokens, so they stay together along
-many paths; unrelated ones part at once.  Nodes of at most ``SMALL`` documents are
-compared exhaustively on their tokens, first with a pivot, then across what the
-pivots have not connected; the links are confirmed on the full sets.  Nodes of
-at most ``MEDIUM`` documents are compared exhaustively on their full sets, block
-against block, and give a spanning forest of their links, so a group of copies
-costs rows in proportion to its size.  Larger nodes branch again, down to
-``DEPTH`` levels; what is still larger there is compared in blocks as well.
+Each text becomes its set of distinct word shingles; equal sets are one class.
+A class has ``TOKENS`` minwise tokens.  In each of ``TREES`` independent trees
+a node chooses a few token positions (by a hash of its own path) and its
+classes branch by their token there.  Two sets of high similarity agree on most
+tokens, so they stay together along many paths; unrelated ones part at once.
+
+At each level every node, whatever its size, is first compared with one random
+member, its pivot: a group of near copies is linked by as many pairs as it has
+members.  Nodes whose members the links connect are done.  Of the others, those
+of at most ``SMALL`` classes are compared exhaustively on their tokens, larger
+ones branch again, down to ``DEPTH`` levels.  What is large and apart even
+there is compared in blocks: on tokens first, then the classes that have a
+likely partner on their full sets.  All links are confirmed on the full sets.
 
 Recall: a pair of similarity 0.85 stays together in one level of a tree with
-probability 1 - 0.15**2, in three levels with 0.97, and is missed by all three
-trees with less than 1e-4; the token estimate of small nodes drops it with less
-than 1e-6.
+probability 1 - 0.15**2, so all three trees lose it in nodes that are small at
+level 1 with about 1e-5, in nodes that stay large and unconnected down to level
+4 with less than 7e-4; the token estimate drops a linked pair with at most 1e-6.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,12 +37,11 @@ SHINGLE = 5
 TOKENS = 64
 TREES = 3
 BRANCHES = 2
-DEPTH = 8
+DEPTH = 4
 SMALL = 32
-MEDIUM = 4096
 COLUMNS = 4096  # shingles that a block comparison multiplies at a time
 BLOCK = 1024
-ESTIMATE_LEAST = 36  # equal tokens of 64 that a candidate needs (0.85 would give 54.4 +- 2.9)
+MISSED = 1e-6  # chance that the token estimate drops a pair that should be linked
 
 _STEPS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                  0xA0761D6478BD642F)]
@@ -49,6 +52,13 @@ _SEEDS = _rng.integers(1, 1 << 63, TOKENS, dtype=np.uint64) | np.uint64(1)
 # --- sets and tokens ----------------------------------------------------------------
 
 
+def _fingerprint(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set; zero for the empty one."""
+    a = int(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
+    b = int(mix(shingles * np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64))
+    return a, b
+
+
 def shingle_sets(data: np.ndarray, off: np.ndarray, size: int = SHINGLE) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each row; a row with fewer words is one shingle of them all."""
     hashes, first = word_hashes(data, off)
@@ -90,14 +100,8 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 n, fp, tokens = [], [], []
                 for shingles in shingle_sets(data, off, size):
                     n.append(len(shingles))
-                    if not len(shingles):
-                        fp.append((0, 0))
-                        tokens.append(b"")
-                        continue
-                    a = int(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
-                    b = int(mix(shingles * np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64))
-                    fp.append((a, b))
-                    tokens.append(minwise(shingles).tobytes())
+                    fp.append(_fingerprint(shingles))
+                    tokens.append(minwise(shingles).tobytes() if len(shingles) else b"")
                 pair = np.array(fp, dtype=np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, end - row), pa.array(n, pa.int64()), pa.array(pair[:, 0]),
@@ -111,6 +115,17 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 # --- chosen paths -------------------------------------------------------------------
 
 
+@lru_cache
+def estimate_least(percent: int) -> int:
+    """Equal tokens that a pair of this similarity reaches with probability of at least 1 - MISSED."""
+    p, below = min(percent, 100) / 100, 0.0
+    for k in range(TOKENS + 1):
+        below += comb(TOKENS, k) * p**k * (1 - p) ** (TOKENS - k)
+        if below > MISSED:
+            return k
+    return TOKENS
+
+
 def _token_rows(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -144,7 +159,7 @@ def branch(members: DataFrame) -> DataFrame:
     return members.select("node", "id", "tokens").mapInArrow(run, "node bigint, id bigint").distinct()
 
 
-def small_pairs(members: DataFrame) -> DataFrame:
+def small_pairs(members: DataFrame, least: int) -> DataFrame:
     """Pairs (a, b) of different components within small nodes whose tokens agree enough.
 
     ``members``: (node, id, component, tokens) of nodes of at most ``SMALL``
@@ -165,7 +180,7 @@ def small_pairs(members: DataFrame) -> DataFrame:
             for lag in range(1, min(SMALL, len(node))):
                 at = np.flatnonzero((node[lag:] == node[:-lag]) & (component[lag:] != component[:-lag])) + lag
                 at = at[at >= before]
-                at = at[(tokens[at] == tokens[at - lag]).sum(axis=1) >= ESTIMATE_LEAST]
+                at = at[(tokens[at] == tokens[at - lag]).sum(axis=1) >= least]
                 pairs.append(np.stack([ids[at], ids[at - lag]], axis=1))
             held = tuple(x[-SMALL:] for x in rows)
             found = np.sort(np.concatenate(pairs), axis=1)
@@ -175,14 +190,14 @@ def small_pairs(members: DataFrame) -> DataFrame:
     return _ordered(ordered.mapInArrow(run, "a bigint, b bigint")).distinct()
 
 
-def agreeing(pairs: DataFrame) -> DataFrame:
+def agreeing(pairs: DataFrame, least: int) -> DataFrame:
     """Pairs (a, ta, b, tb) with tokens -> (a, b) with enough equal tokens."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 equal = (_token_rows(batch.column(1)) == _token_rows(batch.column(3))).sum(axis=1)
-                keep = pa.array(equal >= ESTIMATE_LEAST)
+                keep = pa.array(equal >= least)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["a", "b"]).filter(keep)
 
     return pairs.select("a", "ta", "b", "tb").mapInArrow(run, "a bigint, b bigint")
@@ -193,9 +208,13 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _sized(members: DataFrame) -> DataFrame:
-    """Members of nodes with at least two documents, with the node's size and pivot (a random document)."""
+    """Members of nodes with at least two classes, with the node's size and pivot.
+
+    The pivot is the first by one of two hashes, so the nodes that a group of
+    near copies shares have few different pivots.
+    """
     nodes = members.groupBy("node").agg(
-        F.count(F.lit(1)).alias("size"), F.min_by("id", F.xxhash64("node", "id")).alias("pivot")
+        F.count(F.lit(1)).alias("size"), F.min_by("id", F.xxhash64("id", F.col("node") % 2)).alias("pivot")
     )
     return members.join(nodes.where("size > 1"), "node")
 
@@ -252,16 +271,36 @@ def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Connected pairs (a, b) within nodes (node, id, size), by exact comparison of the full sets.
-
-    A node is dealt into blocks of about ``BLOCK`` documents and any two blocks
-    meet in one group, so no group holds more than two blocks.
-    """
+def _dealt(members: DataFrame) -> DataFrame:
+    """(node, id, own, low, high): a node's members in blocks of about ``BLOCK``, any two of which meet in one group."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id", "node"), blocks).cast("int")
     dealt = members.select("node", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    dealt = dealt.select("node", "id", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    return dealt.select("node", "id", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+
+
+def likely(members: DataFrame, tokens: DataFrame, least: int) -> DataFrame:
+    """Members (node, id, size, component) that agree on ``least`` tokens with one of another component in their node."""
+
+    def meet(t: pa.Table) -> pa.Table:
+        ids, part = t.column("id").to_numpy(), t.column("component").to_numpy()
+        rows = _token_rows(t.column("tokens"))
+        hit = np.zeros(len(ids), dtype=bool)
+        for i in range(len(ids) - 1):
+            near = ((rows[i + 1 :] == rows[i]).sum(axis=1) >= least) & (part[i + 1 :] != part[i])
+            hit[i] |= near.any()
+            hit[i + 1 :] |= near
+        return pa.table({"node": t.column("node").filter(pa.array(hit)), "id": t.column("id").filter(pa.array(hit))})
+
+    rows = _dealt(members).join(members.select("node", "id", "component"), ["node", "id"]).join(tokens, "id")
+    found = rows.groupBy("node", "low", "high").applyInArrow(meet, "node bigint, id bigint").distinct()
+    sizes = found.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
+    return found.join(sizes, "node")
+
+
+def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Connected pairs (a, b) within nodes (node, id, size), by exact comparison of the full sets."""
+    dealt = _dealt(members)
 
     def meet(t: pa.Table) -> pa.Table:
         ids, own = t.column("id").to_numpy(), t.column("own").to_numpy()
@@ -301,6 +340,12 @@ class Links:
         both = self.components_of(self.components_of(pairs, "a", "ca"), "b", "cb")
         return both.where("ca <> cb").select("a", "b")
 
+    def mixed(self, level: DataFrame) -> DataFrame:
+        """Members (node, id, size), with their component, of the nodes that hold more than one component."""
+        parts = saved(self.components_of(level.select("node", "id", "size"), "id", "component"), "parts")
+        nodes = parts.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        return saved(parts.join(nodes.where("lo <> hi").select("node"), "node"), "mixed")
+
     def with_tokens(self, pairs: DataFrame) -> DataFrame:
         left = self.tokens.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
         right = self.tokens.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
@@ -318,32 +363,29 @@ class Links:
         return confirmed(pairs, self.sets, self.percent)
 
 
-def join_sets(reps: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """Components (id, component) of the representatives (id, tokens) that have a link."""
-    level = saved(_sized(roots(reps)), "level1")
-    together = saved(level.select("id").distinct(), "together")
-    tokens = saved(reps.join(together, "id"), "tokens")
-    sets = saved(
-        set_rows(docs.join(together.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), size).dropDuplicates(["id"]),
-        "sets",
-    )
+def join_sets(reps: DataFrame, level: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Components (id, component) of the classes that have a link.
+
+    ``reps``: (id, tokens); ``level``: the members of the first nodes; ``sets``:
+    (id, shingles) of these members.
+    """
+    least = estimate_least(percent)
+    tokens = saved(reps.join(level.select("id").distinct(), "id"), "tokens")
     found = Links(tokens, sets, percent)
     for depth in range(1, DEPTH + 1):
-        small = level.where(F.col("size") <= SMALL)
-        stars = _ordered(small.select(F.col("pivot").alias("a"), F.col("id").alias("b"))).distinct()
-        stars = found.confirm(agreeing(found.with_tokens(found.apart(stars))))
-        medium = level.where(F.col("size") > SMALL)
-        if depth < DEPTH:
-            medium = medium.where(F.col("size") <= MEDIUM)
-        found.add(stars.unionByName(block_links(medium, sets, percent)).distinct())
-        parts = found.components_of(small, "id", "component")
-        mixed = parts.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        alive = parts.join(mixed.where("lo <> hi").select("node"), "node").join(tokens, "id")
-        found.add(found.confirm(small_pairs(alive)))
-        large = level.where(F.col("size") > MEDIUM)
-        if depth == DEPTH or not large.limit(1).count():
+        stars = _ordered(level.select(F.col("pivot").alias("a"), F.col("id").alias("b"))).distinct()
+        found.add(found.confirm(agreeing(found.with_tokens(found.apart(stars)), least)))
+        apart = found.mixed(level)
+        small = apart.where(F.col("size") <= SMALL).join(tokens, "id")
+        found.add(found.confirm(small_pairs(small, least)))
+        large = apart.where(F.col("size") > SMALL).select("node", "id", "size")
+        if not large.limit(1).count():
             break
-        level = saved(_sized(branch(large.join(tokens, "id"))), f"level{depth + 1}")
+        large = found.mixed(large)
+        if depth < DEPTH:
+            level = saved(_sized(branch(large.join(tokens, "id"))), f"level{depth + 1}")
+        else:
+            found.add(block_links(saved(likely(large, tokens, least), "likely"), sets, percent))
     return found.linked
 
 
@@ -351,17 +393,20 @@ def join_sets(reps: DataFrame, docs: DataFrame, percent: int, size: int) -> Data
 
 
 def set_rows(docs: DataFrame, size: int) -> DataFrame:
-    """(id, shingles): sorted distinct shingle hashes as bytes."""
+    """(fp1, fp2, shingles): fingerprint and sorted distinct shingle hashes (as bytes) of each text."""
 
     def run(batches):
         for batch in batches:
-            for row, end, data, off in chunks(batch):
-                sets = [s.astype("<u8").tobytes() for s in shingle_sets(data, off, size)]
+            for _, _, data, off in chunks(batch):
+                sets = shingle_sets(data, off, size)
+                pair = np.array([_fingerprint(s) for s in sets], dtype=np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, end - row), pa.array(sets, pa.binary())], names=["id", "shingles"]
+                    [pa.array(pair[:, 0]), pa.array(pair[:, 1]),
+                     pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
+                    names=["fp1", "fp2", "shingles"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id bigint, shingles binary")
+    return docs.select("text").mapInArrow(run, "fp1 bigint, fp2 bigint, shingles binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -396,25 +441,38 @@ def near_dedup(docs: DataFrame, percent: int = 85, size: int = SHINGLE) -> DataF
     kept (doc_id = component_id).
 
     NULL, empty and blank texts have no shingles and are linked with nothing;
-    rows that share a doc_id are one document (their links add up); a row
+    rows that share a doc_id are one document: the links of all its texts add
+    up, and its texts are linked with each other; a row
     without doc_id has component_id NULL and kept false and links nothing;
     other columns are ignored; an empty table gives no rows.
     """
     sketch = saved(sketches(docs, size), "sketch")
     some = sketch.where("n_shingles > 0 and doc_id is not null")
-    classes = some.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"))
-    classes = saved(classes, "classes")
-    reps = saved(
-        some.select("fp1", "fp2", F.col("doc_id").alias("rep"), "tokens").join(classes, ["fp1", "fp2", "rep"])
-        .select(F.col("rep").alias("id"), "tokens").dropDuplicates(["id"]),
-        "reps",
-    )
-    linked = join_sets(reps, docs, percent, size)
-    of_class = classes.join(linked.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "fp1", "fp2", F.coalesce("component", "rep").alias("component")
+    classes = some.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("least"))
+    classes = saved(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    reps = some.select("fp1", "fp2", F.col("doc_id").alias("least"), "tokens").join(classes, ["fp1", "fp2", "least"])
+    reps = saved(reps.dropDuplicates(["id"]).select("id", "tokens"), "reps")
+    level = saved(_sized(roots(reps)), "level1")
+    together = saved(classes.join(level.select("id").distinct(), "id"), "together")
+    wanted = docs.join(together.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = saved(
+        set_rows(wanted, size).join(together, ["fp1", "fp2"]).dropDuplicates(["id"]).select("id", "shingles"), "sets"
     )
-    out = sketch.select("doc_id", "n_shingles", "fp1", "fp2").join(of_class, ["fp1", "fp2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    linked = join_sets(reps, level, sets, percent)
+    repeated = some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    shared = some.join(repeated, "doc_id").select("doc_id", "fp1", "fp2").join(classes, ["fp1", "fp2"])
+    shared = saved(shared.select("doc_id", "id").distinct(), "shared")
+    if shared.limit(1).count():  # texts that share a doc_id are one document
+        first = shared.groupBy("doc_id").agg(F.min("id").alias("a"))
+        edges = shared.join(first, "doc_id").select("a", F.col("id").alias("b")).where("a <> b")
+        known = linked.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        linked = components(known.unionByName(edges))
+    of_class = classes.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    of_class = saved(of_class.select("fp1", "fp2", "least", "component"), "of_class")
+    least = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = of_class.join(least, "component").select("fp1", "fp2", "component_id")
+    out = sketch.select("doc_id", "n_shingles", "fp1", "fp2").join(named, ["fp1", "fp2"], "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return out.select("doc_id", "n_shingles", component.alias("component_id")).select(
         "doc_id", "n_shingles", "component_id",

@@ -423,6 +423,60 @@ def test_near_dedup_edges(edge):
     assert nd.near_dedup(edge.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("small", [2, nd.SMALL])
+def test_near_dedup_deep_and_dense(spark, monkeypatch, small):
+    """Texts at about 0.8, apart but alike, stay in large nodes down to the blocks; no link is lost there."""
+    monkeypatch.setattr(nd, "SMALL", small)
+    monkeypatch.setattr(nd, "BLOCK", 24)
+    rng = np.random.default_rng(13)
+    base, rows = [f"b{k}" for k in range(200)], []
+    for _ in range(90):
+        words = list(base)
+        for k in rng.choice(200, size=int(rng.integers(2, 7)), replace=False):
+            words[k] = f"e{rng.integers(10**6)}"
+        rows.append(" ".join(words))
+    rows = list(enumerate(rows))
+    got = nd.near_dedup(frame(spark, rows)).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(rows)
+
+
+def test_near_dedup_shared_ids(spark):
+    word = lambda name, n=60: [f"{name}{k}" for k in range(n)]
+    near = lambda words: " ".join([*words[:-1], "other"])
+    rows = [(5, " ".join(word("w"))), (5, " ".join(word("v"))), (3, near(word("w"))), (8, near(word("v"))),
+            (9, " ".join(word("z"))), (9, " ".join(word("z")))]
+    got = {(r["doc_id"], r["component_id"]) for r in nd.near_dedup(frame(spark, rows)).collect()}
+    assert got == {(5, 3), (3, 3), (8, 3), (9, 9)}
+
+
+def test_near_dedup_work_grows_with_the_cluster(spark):
+    """Links that a cluster of near copies makes confirm: in proportion to its members, not to its pairs."""
+    made = []
+    for n in (1000, 4000):
+        rng = np.random.default_rng(n)
+        base, rows = [f"b{k}" for k in range(300)], []
+        for i in range(n):
+            words = list(base)
+            for k in rng.choice(300, size=2, replace=False):
+                words[k] = f"e{i}x{k}"
+            rows.append((i, " ".join(words)))
+        counted = []
+        real = nd.Links.confirm
+        nd.Links.confirm = lambda self, pairs, real=real, counted=counted: (counted.append(pairs.count()), real(self, pairs))[1]
+        try:
+            out = nd.near_dedup(frame(spark, rows).repartition(4))
+            assert out.where("kept").count() == 1
+        finally:
+            nd.Links.confirm = real
+        made.append(sum(counted))
+    assert made[1] < 5 * made[0]
+
+
+def test_token_estimate():
+    assert [nd.estimate_least(p) for p in (100, 0)] == [64, 0]
+    assert 10 < nd.estimate_least(50) < nd.estimate_least(80) < nd.estimate_least(85) < 45
+
+
 def test_block_comparison_is_exact():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 400, 60).astype(np.uint64)) for _ in range(20)]
