@@ -16,15 +16,24 @@ from pyspark.sql import functions as F
 
 from telemetry_lake import operators as op
 from telemetry_lake.operators import stats
-from telemetry_lake.plans.jobs import LakeConfig, run_all, run_bronze, run_silver
+from telemetry_lake.plans.jobs import LakeConfig, run_all, run_bronze, run_gold, run_silver
 from telemetry_lake.schemas import DEFAULT_PATTERNS, GOLD_REPORTS, RAW, STRICT_PATTERNS
 from telemetry_lake.session import pin_utc, scratch_path
 from telemetry_lake.sources.bronze_store import bronze_files, partition_counts, read_bronze, write_bronze
 from telemetry_lake.sources.fixtures import read_messages
 from telemetry_lake.sources.landing import read_landing, write_landing
-from telemetry_lake.sources.layers import gold_stats, latest_silver_path, list_reports, read_silver, write_silver
-from telemetry_lake.sources.paged import read_pages, write_pages
+from telemetry_lake.sources.layers import (
+    gold_stats,
+    latest_silver_path,
+    list_reports,
+    read_gold,
+    read_silver,
+    register_views,
+    write_silver,
+)
+from telemetry_lake.sources.paged import fetch_pages, read_pages
 from telemetry_lake.streaming.incremental import run_stream_to_bronze
+from telemetry_lake.streaming.pages import stream_pages_to_bronze
 
 # Fixed run stamps shared by queries and oracle.
 FETCHED_AT = "2024-02-01T00:00:00"
@@ -85,17 +94,31 @@ def q_landing_bronze(spark, sf_dir):
     return op.to_bronze(raw, batch_id=BATCH_ID, ingested_at=INGESTED_AT)
 
 
-def q_paged_bronze(spark, sf_dir):
+def _api(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """(url of a page, wanted amount): the events' messages as stored responses of a paged API."""
     pin_utc(spark)
     messages = read_messages(spark, sf_dir, PAGE_SIZE)
-    responses = messages.groupBy("page").agg(
-        F.to_json(F.collect_list(F.struct(*RAW.fieldNames()))).alias("body")  # one response, PAGE_SIZE at most
-    )
-    pages = write_pages(responses, scratch_path(spark, "pages"), messages.count(), PAGE_SIZE)
+    root = write_landing(messages, scratch_path(spark, "api"), "page", file_per_page=True)
+    return root + "/page={page}", messages.count()
+
+
+def q_paged_bronze(spark, sf_dir):
+    """Pages fetched by the data source on the executors, stored once, then read."""
+    url, total = _api(spark, sf_dir)
+    pages = fetch_pages(spark, url, total, PAGE_SIZE, scratch_path(spark, "pages"))
     return op.to_bronze(read_pages(spark, pages), batch_id=BATCH_ID,
                         fetched_at=FETCHED_AT, ingested_at=INGESTED_AT)
 
 
+def q_paged_stream_bronze(spark, sf_dir):
+    """The same pages as a stream with page numbers as offsets."""
+    url, total = _api(spark, sf_dir)
+    out = scratch_path(spark, "paged_stream_bronze")
+    stream_pages_to_bronze(spark, url, total, PAGE_SIZE, scratch_path(spark, "pages"), out, scratch_path(spark, "pages_ckpt"),
+                           pages_per_batch=64, batch_id=BATCH_ID, fetched_at=FETCHED_AT, ingested_at=INGESTED_AT)
+    return read_bronze(spark, out)
+
+
 def q_stream_bronze(spark, sf_dir):
     landing = _landing(spark, sf_dir)
     out = scratch_path(spark, "stream_bronze")
@@ -146,7 +169,7 @@ def q_vin_last_state(spark, sf_dir):
     return op.vin_last_state(_silver(spark, sf_dir, sort=False), GOLD_AT)
 
 
-def q_vin_last_state_encoded(spark, sf_dir):
+def q_vin_last_state_stored(spark, sf_dir):
     """The report over a stored silver run, read back with the declared schema."""
     path = write_silver(_silver(spark, sf_dir, sort=False), scratch_path(spark, "silver"), SILVER_AT)
     return op.vin_last_state(read_silver(spark, path), GOLD_AT)
@@ -252,6 +275,53 @@ def q_bronze_append(spark, sf_dir):
     return partition_counts(read_bronze(spark, write_bronze(_bronze(spark, sf_dir), path, mode="append")))
 
 
+def q_bronze_after_failed_replace(spark, sf_dir):
+    """Bronze replaced by a run that fails while it writes: the rows of the run before."""
+    path = scratch_path(spark, "bronze")
+    write_bronze(_bronze(spark, sf_dir), path, mode="replace")
+    late = F.when(F.col("vin").isNull(), F.raise_error(F.lit("no vin"))).otherwise(F.col("vin"))
+    try:
+        write_bronze(_bronze(spark, sf_dir).withColumn("vin", late), path, mode="replace")
+    except Exception:  # noqa: BLE001 - the failure is what is asked for
+        return read_bronze(spark, path)
+    raise RuntimeError("the second write was to fail")
+
+
+def q_gold_after_failed_run(spark, sf_dir):
+    """Last states of gold after a full run and one that fails at its second report."""
+    root = scratch_path(spark, "lake")
+    cfg = LakeConfig(landing_path=_landing(spark, sf_dir), bronze_path=f"{root}/bronze",
+                     silver_path=f"{root}/silver", gold_path=f"{root}/gold", multi_line=False)
+    run_all(spark, cfg, now=PIPELINE_AT)
+    cfg.report_tz = "No/Such_Zone"
+    if run_gold(spark, cfg, now=datetime(2024, 2, 2))["status"] != "failed":
+        raise RuntimeError("the second run was to fail")
+    return read_gold(spark, cfg.gold_path, "vin_last_state")
+
+
+def q_gold_of_a_run(spark, sf_dir):
+    """Rows per report that the listing finds after a second run without a pattern report (K5)."""
+    root = scratch_path(spark, "lake")
+    cfg = LakeConfig(landing_path=_landing(spark, sf_dir), bronze_path=f"{root}/bronze",
+                     silver_path=f"{root}/silver", gold_path=f"{root}/gold", multi_line=False)
+    run_all(spark, cfg, now=PIPELINE_AT)
+    cfg.patterns = []
+    run_gold(spark, cfg, now=PIPELINE_AT)
+    return gold_stats(list_reports(spark, cfg.gold_path)).select("report", "reports")
+
+
+def q_views_vehicle_messages(spark, sf_dir):
+    """SQL over the registered relations (S5): messages per vehicle in bronze and in the latest silver run."""
+    root = scratch_path(spark, "views")
+    bronze = write_bronze(_bronze(spark, sf_dir), f"{root}/bronze")
+    write_silver(_silver(spark, sf_dir, sort=False), f"{root}/silver", SILVER_AT)
+    register_views(spark, bronze, f"{root}/silver")
+    return spark.sql("""
+        SELECT b.vin, b.bronze_messages, coalesce(s.silver_messages, 0) AS silver_messages
+        FROM (SELECT vin, count(*) AS bronze_messages FROM bronze WHERE vin IS NOT NULL GROUP BY vin) b
+        LEFT JOIN (SELECT vin, count(*) AS silver_messages FROM silver GROUP BY vin) s ON s.vin = b.vin""")
+
+
 def q_empty_stage_status(spark, sf_dir):
     """Status of the bronze and silver stages over the messages of no vehicle and over all."""
     rows = []
@@ -277,13 +347,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_count": q_row_count,
     "landing_bronze": q_landing_bronze,
     "paged_bronze": q_paged_bronze,
+    "paged_stream_bronze": q_paged_stream_bronze,
     "stream_bronze": q_stream_bronze,
     "pipeline_last_state": q_pipeline_last_state,
     "pipeline_report_counts": q_pipeline_report_counts,
     "silver_clean": q_silver_clean,
     "silver_gear_counts": q_silver_gear_counts,
     "vin_last_state": q_vin_last_state,
-    "vin_last_state_encoded": q_vin_last_state_encoded,
+    "vin_last_state_stored": q_vin_last_state_stored,
     "vin_last_state_windows": q_vin_last_state_windows,
     "latest_message_per_vin": q_latest_message_per_vin,
     "last_door_state": q_last_door_state,
@@ -302,6 +373,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_file_stats": q_bronze_file_stats,
     "bronze_overwrite": q_bronze_overwrite,
     "bronze_append": q_bronze_append,
+    "bronze_after_failed_replace": q_bronze_after_failed_replace,
+    "gold_after_failed_run": q_gold_after_failed_run,
+    "gold_of_a_run": q_gold_of_a_run,
+    "views_vehicle_messages": q_views_vehicle_messages,
     "empty_stage_status": q_empty_stage_status,
 }
 
@@ -457,13 +532,14 @@ FROM bronze GROUP BY partition_date, partition_hour""",
     "row_count": _B + "\nSELECT COUNT(*) AS row_count FROM bronze",
     "landing_bronze": _B + "\nSELECT * FROM bronze",
     "paged_bronze": _B + "\nSELECT * FROM bronze",
+    "paged_stream_bronze": _B + "\nSELECT * FROM bronze",
     "stream_bronze": _B + "\nSELECT * FROM bronze",
     "silver_clean": _S + "\nSELECT * FROM silver ORDER BY message_datetime DESC NULLS LAST",
     "silver_gear_counts": _S + """
 SELECT gear_position_numeric, COUNT(*) AS message_count FROM silver GROUP BY gear_position_numeric""",
     "vin_last_state": _S + "," + LAST_STATE_SQL + """
 SELECT * FROM last_state ORDER BY last_message_datetime DESC NULLS LAST, vin""",
-    "vin_last_state_encoded": _S + "," + LAST_STATE_SQL + """
+    "vin_last_state_stored": _S + "," + LAST_STATE_SQL + """
 SELECT * FROM last_state ORDER BY last_message_datetime DESC NULLS LAST, vin""",
     "vin_last_state_windows": _S + "," + LAST_STATE_SQL + "\nSELECT * FROM last_state",
     "latest_message_per_vin": _S + "," + LAST_STATE_SQL + """
@@ -530,6 +606,15 @@ FROM bronze""",
     "bronze_overwrite": _B + "\nSELECT * FROM bronze",
     "bronze_append": _B + """
 SELECT partition_date, partition_hour, 2 * COUNT(*) AS message_count FROM bronze GROUP BY ALL""",
+    "bronze_after_failed_replace": _B + "\nSELECT * FROM bronze",
+    "gold_after_failed_run": _S + "," + LAST_STATE_SQL + "\nSELECT * FROM last_state",
+    "gold_of_a_run": _S + "," + LAST_STATE_SQL + "," + _fastest_cte("message_datetime") + """
+SELECT 'velocity_analysis' AS report, CAST(count(*) > 0 AS BIGINT) AS reports FROM fastest
+UNION ALL SELECT 'vin_last_state', CAST(count(*) > 0 AS BIGINT) FROM last_state""",
+    "views_vehicle_messages": _S + """
+SELECT b.vin, count(*) AS bronze_messages,
+       CAST(any_value((SELECT count(*) FROM silver s WHERE s.vin = b.vin)) AS BIGINT) AS silver_messages
+FROM bronze b WHERE b.vin IS NOT NULL GROUP BY b.vin""",
     "empty_stage_status": _B + """
 SELECT 'none' AS messages, 'failed' AS bronze, 'failed' AS silver, CAST(0 AS BIGINT) AS records
 UNION ALL SELECT 'all', 'success', 'success', COUNT(*) FROM bronze""",

@@ -84,7 +84,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--gold")
     p.add_argument("--batch-id")
     p.add_argument("--silver-path", help="gold stage: silver run to report on (default: latest)")
-    p.add_argument("--bronze-mode", choices=["overwrite", "append"], default="overwrite")
+    p.add_argument("--bronze-mode", choices=["replace", "overwrite", "append"], default="replace")
     p.add_argument("--report-tz", default="UTC")
     p.add_argument("--top-k", type=int, default=10, help="speeds per hour in the speed report")
     p.add_argument("--no-silver-sort", action="store_true", help="skip the global sort of silver")

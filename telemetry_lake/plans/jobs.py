@@ -24,7 +24,8 @@ from telemetry_lake.schemas import DEFAULT_PATTERN_COLUMNS, DEFAULT_PATTERNS
 from telemetry_lake.sources.bronze_store import read_bronze, write_bronze
 from telemetry_lake.sources.landing import read_landing
 from telemetry_lake.sources.paged import fetch_pages, read_pages
-from telemetry_lake.sources.layers import clear_gold, latest_silver_path, read_silver, write_gold, write_silver
+from telemetry_lake.sources.layers import latest_silver_path, read_silver, write_gold, write_silver
+from telemetry_lake.sources.versions import new_version, publish
 from telemetry_lake.stamps import compact_stamp, default_batch_id, iso_stamp, utc_now
 
 log = logging.getLogger("telemetry_lake")
@@ -46,7 +47,7 @@ class LakeConfig:
     silver_path: str
     gold_path: str
     multi_line: bool = True
-    bronze_mode: str = "overwrite"
+    bronze_mode: str = "replace"
     silver_sort: bool = True
     top_k: int = 10
     report_tz: str = "UTC"
@@ -98,8 +99,11 @@ def silver_stage(spark: SparkSession, cfg: LakeConfig, now: datetime | None = No
 
 def gold_stage(spark: SparkSession, cfg: LakeConfig, silver_path: str | None = None,
                now: datetime | None = None) -> dict:
-    """Silver (given or latest) -> the three reports.  Raises on failure,
-    except for the pattern report, whose failure is logged.
+    """Silver (given or latest) -> the three reports, as a new gold version.
+
+    Raises on failure, except for the pattern report, whose failure is logged;
+    the new version counts once its reports are written, so a failed run
+    leaves the previous one as it was.
 
     Each report is its own job over its own column-pruned scan: at scale two
     narrow scans beat caching the whole silver table.
@@ -110,12 +114,13 @@ def gold_stage(spark: SparkSession, cfg: LakeConfig, silver_path: str | None = N
         if not silver_path:
             raise FileNotFoundError("no finished silver run")
     silver = read_silver(spark, silver_path)
-    clear_gold(spark, cfg.gold_path)
+    version = new_version(compact_stamp(now))
+    gold = f"{cfg.gold_path.rstrip('/')}/{version}"
     reports = {
-        "vin_last_state": write_gold(vin_last_state(silver, now), cfg.gold_path, "vin_last_state"),
+        "vin_last_state": write_gold(vin_last_state(silver, now), gold, "vin_last_state"),
         "velocity_analysis": write_gold(
             fastest_per_hour(silver, now, k=cfg.top_k, report_tz=cfg.report_tz),
-            cfg.gold_path, "velocity_analysis"),
+            gold, "velocity_analysis"),
     }
     try:
         # Scans bronze, so rows that silver drops are checked too.
@@ -124,11 +129,12 @@ def gold_stage(spark: SparkSession, cfg: LakeConfig, silver_path: str | None = N
         # The filter keeps a sliver of every bronze split; rebalancing the
         # matches lets AQE pack them into few files instead of one tiny file
         # per input task (the two sorted reports are already range-packed).
-        reports["sql_injection_report"] = write_gold(flagged.hint("rebalance"), cfg.gold_path,
+        reports["sql_injection_report"] = write_gold(flagged.hint("rebalance"), gold,
                                                      "sql_violating_messages_report")
     except Exception as exc:  # noqa: BLE001 - the report is optional by contract
         log.warning("pattern report left out: %s", exc)
         reports["sql_injection_report"] = None
+    publish(spark, cfg.gold_path, version)
     return {"status": "success", "silver_path": silver_path, "reports_generated": reports}
 
 

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.schemas import BRONZE, BRONZE_DATA, PARTITION_KEYS
+from telemetry_lake.sources.versions import current_path, hadoop, new_version, publish
+from telemetry_lake.stamps import compact_stamp, utc_now
 
-WRITE_MODES = ("overwrite", "append", "errorifexists", "ignore")
+WRITE_MODES = ("replace", "overwrite", "append", "errorifexists", "ignore")
 
 
 def write_bronze(
@@ -22,8 +24,10 @@ def write_bronze(
 ) -> str:
     """Write bronze rows under ``path/partition_date=.../partition_hour=...``.
 
-    ``overwrite`` replaces the whole dataset (the reference's behaviour),
-    ``append`` adds files (its older behaviour).  Rows are rebalanced on the
+    ``replace`` replaces the whole dataset (the reference's behaviour) by a new
+    version, switched to when all of it is written; ``overwrite`` does so in
+    place, deleting first; ``append`` adds files (the older behaviour) to the
+    version that counts.  Rows are rebalanced on the
     keys first: each hour goes to few tasks (few files per directory), and
     AQE splits an hour that holds a large share of the rows instead of
     writing it from one task.  NULL keys land in
@@ -37,6 +41,12 @@ def write_bronze(
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
+    spark, version = df.sparkSession, None
+    if mode == "replace":
+        version = new_version(compact_stamp(utc_now()))
+        target, mode = f"{path.rstrip('/')}/{version}", "errorifexists"
+    else:
+        target = current_path(spark, path)
     out = df.select(*BRONZE.fieldNames()).hint("rebalance", *PARTITION_KEYS)
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("records"))
@@ -45,15 +55,16 @@ def write_bronze(
         .option("maxRecordsPerFile", max_records_per_file)
         .option("mapreduce.output.basename", file_prefix)
         .partitionBy(*PARTITION_KEYS)
-        .parquet(path)
+        .parquet(target)
     )
+    if version:
+        publish(spark, path, version)
     return path
 
 
 def remove_files(spark: SparkSession, path: str, file_prefix: str) -> int:
     """Delete the bronze files named ``<file_prefix>-...``; returns their number."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    _, fs, root = hadoop(spark, current_path(spark, path))
     folders = "/".join(f"{key}=*" for key in PARTITION_KEYS)
     found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{folders}/{file_prefix}-*"))
     for status in found or []:
@@ -69,7 +80,7 @@ def read_bronze(
     date_to: date | str | None = None,
     with_file_name: bool = False,
 ) -> DataFrame:
-    """Read the bronze dataset with the declared schema.
+    """Read the bronze dataset (the version that counts) with the declared schema.
 
     The declared schema keeps ``partition_hour`` a two-digit string and
     ``partition_date`` a DATE.  ``date_from`` / ``date_to`` (inclusive) prune
@@ -77,7 +88,7 @@ def read_bronze(
     scan of the reference).  ``with_file_name=True`` adds ``filename``, the
     data file of each row (from the ``_metadata`` column).
     """
-    df = spark.read.schema(BRONZE).parquet(path)
+    df = spark.read.schema(BRONZE).parquet(current_path(spark, path))
     if with_file_name:
         df = df.withColumn("filename", F.col("_metadata.file_path"))
     if date_from is not None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from telemetry_lake.schemas import GOLD_REPORTS, SILVER, SILVER_RUN_PREFIX
+from telemetry_lake.sources.versions import current_path, hadoop
 from telemetry_lake.stamps import compact_stamp
 
 
@@ -23,16 +24,9 @@ def write_silver(df: DataFrame, silver_root: str, processed_at: datetime | str)
     return path
 
 
-def _hadoop(spark: SparkSession, path: str):
-    """(configuration, file system, path) of a path of any scheme."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return conf, p.getFileSystem(conf), p
-
-
 def _child_dirs(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders directly below ``root`` (Hadoop FS, any scheme)."""
-    _, fs, p = _hadoop(spark, root)
+    _, fs, p = hadoop(spark, root)
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
@@ -45,7 +39,7 @@ def latest_silver_path(spark: SparkSession, silver_root: str) -> str | None:
     runs = sorted((n for n in _child_dirs(spark, silver_root) if n.startswith(SILVER_RUN_PREFIX)), reverse=True)
     for run in runs:
         path = f"{silver_root.rstrip('/')}/{run}"
-        _, fs, marker = _hadoop(spark, f"{path}/_SUCCESS")
+        _, fs, marker = hadoop(spark, f"{path}/_SUCCESS")
         if fs.exists(marker):
             return path
     return None
@@ -61,22 +55,20 @@ def gold_path(gold_root: str, report: str) -> str:
 
 
 def write_gold(df: DataFrame, gold_root: str, report: str) -> str:
-    """One fixed folder per report, replaced on every run."""
+    """One fixed folder per report below a version of gold (see ``sources.versions``)."""
     path = gold_path(gold_root, report)
     df.write.mode("overwrite").parquet(path)
     return path
 
 
-def clear_gold(spark: SparkSession, gold_root: str) -> None:
-    """Remove the report folders of the last run, so a report that fails now isn't taken for a new one."""
-    for report in GOLD_REPORTS:
-        _, fs, p = _hadoop(spark, gold_path(gold_root, report))
-        if fs.exists(p):
-            fs.delete(p, True)
+def read_gold(spark: SparkSession, gold_root: str, report: str) -> DataFrame:
+    """A report of the gold version that counts."""
+    return spark.read.parquet(gold_path(current_path(spark, gold_root), report))
 
 
 def list_reports(spark: SparkSession, gold_root: str) -> DataFrame:
-    """Parquet files below the gold folder: path, report, modified (sorted by path)."""
+    """Parquet files of the gold version that counts: path, report, modified (sorted by path)."""
+    gold_root = current_path(spark, gold_root)
     try:
         files = (
             spark.read.format("binaryFile")
@@ -117,6 +109,7 @@ def register_views(spark: SparkSession, bronze_path: str, silver_root: str | Non
             read_silver(spark, latest).createOrReplaceTempView("silver")
             names.append("silver")
     if gold_root:
+        gold_root = current_path(spark, gold_root)
         present = set(_child_dirs(spark, gold_root))
         for report in GOLD_REPORTS:
             if report in present:

@@ -12,19 +12,19 @@ request to a live API returns other messages, pages are written to a table once
 
 from __future__ import annotations
 
-import os
 import sys
 import urllib.request
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from telemetry_lake.schemas import RAW
 from telemetry_lake.sources.landing import checked_messages
 
 PAGE_SCHEMA = "page BIGINT, requested INT, batch_size INT, total_amount BIGINT, body STRING"
+STORED_SCHEMA = PAGE_SCHEMA + ", page_rows BIGINT"  # and the number of messages, counted once
 MAX_TASKS = 4096  # fetch tasks when pages_per_partition is left to the source
 RUN = 4096  # pages whose running totals one window group holds
 
@@ -38,18 +38,23 @@ def plan_pages(total_amount: int, batch_size: int) -> list[int]:
 
 
 def _fetch(url: str, timeout: float) -> str:
-    parsed = urlparse(url)
-    if parsed.scheme == "file":
-        path = parsed.path
-        if os.path.isdir(path):
-            names = sorted(n for n in os.listdir(path) if not n.startswith((".", "_")))
-            if len(names) != 1:
-                raise ValueError(f"page folder {path} must hold exactly one file")
-            path = os.path.join(path, names[0])
-        with open(path, encoding="utf-8") as fh:
-            return fh.read()
-    with urllib.request.urlopen(url, timeout=timeout) as resp:  # noqa: S310 (http only)
-        return resp.read().decode("utf-8")
+    """Body of a response: over HTTP, or a stored one from any file system that pyarrow knows (file, hdfs, s3, gs, ...).
+
+    A folder must hold exactly one file that isn't hidden.
+    """
+    if urlparse(url).scheme in ("http", "https"):
+        with urllib.request.urlopen(url, timeout=timeout) as resp:  # noqa: S310 (http only)
+            return resp.read().decode("utf-8")
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(url.replace("file:/", "file:///", 1) if urlparse(url)[:2] == ("file", "") else url)
+    if system.get_file_info(path).type == fs.FileType.Directory:
+        found = [f.path for f in system.get_file_info(fs.FileSelector(path)) if not f.base_name.startswith((".", "_"))]
+        if len(found) != 1:
+            raise ValueError(f"page folder {url} must hold exactly one file")
+        path = found[0]
+    with system.open_input_stream(path) as stream:
+        return stream.read().decode("utf-8")
 
 
 def _page_amount(page: int, total_amount: int, size: int) -> int:
@@ -57,7 +62,9 @@ def _page_amount(page: int, total_amount: int, size: int) -> int:
     return min(size, total_amount - page * size)
 
 
-class _PageReader(DataSourceReader):
+class _Pages:
+    """Options of a read and the fetch of its pages."""
+
     # Only scalars travel with each task; a page's amount is computed on the
     # executor, so a million pages do not ship a million-entry list per task.
     def __init__(self, options: dict[str, str]):
@@ -68,14 +75,13 @@ class _PageReader(DataSourceReader):
         per_task = int(options.get("pages_per_partition", "0"))
         self.per_task = per_task if per_task > 0 else max(1, -(-self.pages // MAX_TASKS))
         self.timeout = float(options.get("timeout", "30"))
+        self.options = options
 
-    def partitions(self):
-        return [InputPartition((first, min(first + self.per_task, self.pages)))
-                for first in range(0, self.pages, self.per_task)]
+    def parts(self, first: int, end: int) -> list[InputPartition]:
+        return [InputPartition((at, min(at + self.per_task, end))) for at in range(first, end, self.per_task)]
 
-    def read(self, partition):
-        first, end = partition.value
-        for page in range(first, end):
+    def rows(self, partition: InputPartition):
+        for page in range(*partition.value):
             amount = _page_amount(page, self.total, self.size)
             body = _fetch(self.template.format(page=page, amount=amount), self.timeout)
             if not body.lstrip().startswith("["):
@@ -83,6 +89,43 @@ class _PageReader(DataSourceReader):
             yield (page, amount, self.size, self.total, body)
 
 
+class _PageReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]):
+        self.of = _Pages(options)
+
+    def partitions(self):
+        return self.of.parts(0, self.of.pages)
+
+    def read(self, partition):
+        return self.of.rows(partition)
+
+
+class _PageStreamReader(DataSourceStreamReader):
+    """Offsets are page numbers; a micro-batch has ``pages_per_batch`` pages at most.
+
+    The reader offers the pages after those it has planned or was told are
+    stored (``start_page``, for a query that goes on from a checkpoint).
+    """
+
+    def __init__(self, options: dict[str, str]):
+        self.of = _Pages(options)
+        self.per_batch = max(1, int(options.get("pages_per_batch", "100")))
+        self.planned = int(options.get("start_page", "0"))
+
+    def initialOffset(self) -> dict:
+        return {"page": 0}
+
+    def latestOffset(self) -> dict:
+        return {"page": max(self.planned, min(self.of.pages, self.planned + self.per_batch))}
+
+    def partitions(self, start: dict, end: dict):
+        self.planned = max(self.planned, end["page"])
+        return self.of.parts(start["page"], end["page"])
+
+    def read(self, partition):
+        return self.of.rows(partition)
+
+
 class VehicleMessagesSource(DataSource):
     """``spark.read.format("vehicle_messages")`` with options ``url_template``
     (``{page}`` and ``{amount}`` are filled in), ``total_amount``,
@@ -90,7 +133,7 @@ class VehicleMessagesSource(DataSource):
     fetched by one task; by default one page, and more only so that there are
     at most ``MAX_TASKS`` tasks) and ``timeout`` seconds.
     One row per page: page, requested, batch_size, total_amount, body (the
-    response text).
+    response text).  As a stream, also ``pages_per_batch`` and ``start_page``.
     """
 
     @classmethod
@@ -103,6 +146,9 @@ class VehicleMessagesSource(DataSource):
     def reader(self, schema):
         return _PageReader(self.options)
 
+    def streamReader(self, schema):
+        return _PageStreamReader(self.options)
+
 
 def register(spark: SparkSession) -> None:
     """Register the source; its code travels with the plan (pickled by value),
@@ -130,12 +176,18 @@ def fetch_pages(
         .option("batch_size", str(batch_size))
         .option("pages_per_partition", str(pages_per_partition))
         .load()
+        .withColumn("page_rows", _page_rows())
         .write.mode("errorifexists")
         .parquet(pages_path)
     )
     return pages_path
 
 
+def _page_rows() -> Column:
+    """Number of messages of a stored body, without reading them; NULL if it can't be told (then parsing refuses it)."""
+    return F.json_array_length("body").cast("long")
+
+
 def write_pages(responses: DataFrame, pages_path: str, total_amount: int, batch_size: int) -> str:
     """Store responses that are already there (page, body) as ``fetch_pages`` would."""
     total, size = F.lit(total_amount).cast("long"), F.lit(max(1, batch_size))
@@ -145,21 +197,23 @@ def write_pages(responses: DataFrame, pages_path: str, total_amount: int, batch_
         size.cast("int").alias("batch_size"),
         total.alias("total_amount"),
         "body",
+        _page_rows().alias("page_rows"),
     ).write.mode("errorifexists").parquet(pages_path)
     return pages_path
 
 
-def _last_page(sizes: DataFrame) -> DataFrame:
+def last_page(sizes: DataFrame, already: int = 0) -> DataFrame:
     """(stop): the page that ends the read; NULL when the stored pages run out first.
 
-    ``sizes``: (page, page_rows, batch_size, total_amount).  The messages
-    before a page are summed in two steps, within runs of ``RUN`` pages and
-    over the totals of the runs, so no task orders all pages.
+    ``sizes``: (page, page_rows, batch_size, total_amount); ``already``: messages
+    of the pages before these.  The messages before a page are summed in two
+    steps, within runs of ``RUN`` pages and over the totals of the runs, so no
+    task orders all pages.
     """
     runs = sizes.withColumn("run", F.floor(F.col("page") / RUN))
     over_runs = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     earlier = runs.groupBy("run").agg(F.sum("page_rows").alias("n")).select(
-        "run", F.coalesce(F.sum("n").over(over_runs), F.lit(0)).alias("earlier")
+        "run", (F.coalesce(F.sum("n").over(over_runs), F.lit(0)) + F.lit(already)).alias("earlier")
     )
     in_run = Window.partitionBy("run").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("earlier") + F.coalesce(F.sum("page_rows").over(in_run), F.lit(0))
@@ -169,17 +223,18 @@ def _last_page(sizes: DataFrame) -> DataFrame:
     return placed.where(ends).agg(F.min("page").alias("stop"))
 
 
+def page_messages(pages: DataFrame) -> DataFrame:
+    """Stored pages -> messages (``RAW`` columns); a body is refused for what a landing record is refused for."""
+    name = F.concat(F.lit("page "), F.col("page").cast("string"))
+    return pages.select(F.inline(checked_messages(F.col("body"), name)))
+
+
 def read_pages(spark: SparkSession, pages_path: str) -> DataFrame:
     """Stored pages -> messages (``RAW`` columns) up to the page that ends the read.
 
-    A body is refused for what a landing record is refused for (see
-    ``parse_landing``).  An empty page counts as short; no pages, no rows.
+    Pages beyond it aren't parsed.  An empty page counts as short; no pages, no
+    rows.  The counts are read from their own column, the bodies once.
     """
-    pages = spark.read.schema(PAGE_SCHEMA).parquet(pages_path)
-    name = F.concat(F.lit("page "), F.col("page").cast("string"))
-    parsed = pages.select(
-        "page", "batch_size", "total_amount", checked_messages(F.col("body"), name).alias("messages")
-    )
-    sizes = parsed.select("page", "batch_size", "total_amount", F.size("messages").cast("long").alias("page_rows"))
-    stop = _last_page(sizes).scalar()
-    return parsed.where(stop.isNull() | (F.col("page") <= stop)).select(F.inline("messages"))
+    pages = spark.read.schema(STORED_SCHEMA).parquet(pages_path)
+    stop = last_page(pages.select("page", "page_rows", "batch_size", "total_amount")).scalar()
+    return page_messages(pages.where(stop.isNull() | (F.col("page") <= stop)))
