@@ -36,7 +36,10 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CRC_BODY = re.compile(r"[A-Za-z0-9]{36}(?![A-Za-z0-9])")
-_JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]{16,})")
+#: A JWT is a header (a run of base64url characters from "eyJ" on), a payload and a signature.
+_URL_RUN = re.compile(r"[A-Za-z0-9_-]+")
+_JWT_REST = re.compile(r"\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]{16,})")
+_STRUCTURE = re.compile(rb'\\*["{}]')
 _BASE62 = string.digits + string.ascii_uppercase + string.ascii_lowercase
 
 
@@ -69,20 +72,77 @@ def crc62(body: str) -> str:
     return digits.rjust(6, "0")
 
 
-def _jwt_valid(head: str, payload: str) -> bool:
-    """Both parts are JSON objects in base64url; the header names an algorithm."""
+def _base64url(part: str) -> bytes:
+    return base64.urlsafe_b64decode(part + "=" * (-len(part) % 4))
+
+
+def _json_object(part: str) -> dict | None:
+    """A JSON object in base64url, or None."""
     try:
-        parts = [json.loads(base64.urlsafe_b64decode(p + "=" * (-len(p) % 4))) for p in (head, payload)]
+        value = json.loads(_base64url(part))
     except (ValueError, binascii.Error, RecursionError):
-        return False
-    return all(isinstance(p, dict) for p in parts) and "alg" in parts[0]
+        return None
+    return value if isinstance(value, dict) else None
+
+
+def _last_object(line: bytes) -> int:
+    """Where a JSON object that ends with ``line`` must begin, or -1; one pass over quotes and braces from the end.
+
+    Outside of strings at the end, quotes pair off backwards, so only one
+    brace can match the last one.
+    """
+    if not line.rstrip(b" \t\n\r").endswith(b"}"):
+        return -1
+    depth, quoted = 0, False
+    for m in reversed(list(_STRUCTURE.finditer(line))):
+        sign, escaped = line[m.end() - 1], (m.end() - m.start()) % 2 == 0
+        if sign == 0x22:
+            quoted ^= not escaped
+        elif not quoted:
+            depth += 1 if sign == 0x7D else -1
+            if not depth:
+                return m.end() - 1
+    return -1
+
+
+class _Headers:
+    """Possible JWT headers in a text, each run of base64url characters decoded once.
+
+    Headers that begin in one run end where it ends, so what follows is looked
+    at once for all of them; and a header four characters later decodes to
+    three bytes less, so all of them are read from four decoded texts.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.end, self.rest = text, -1, None
+        self.begins: dict[int, int] = {}  # by length modulo 4: where a header must begin
+
+    def jwt_end(self, at: int) -> int | None:
+        """End of the JWT that begins at ``at``, or None."""
+        if at >= self.end:  # a new run
+            self.end, self.begins = _URL_RUN.match(self.text, at).end(), {}
+            self.rest = _JWT_REST.match(self.text, self.end)
+            if self.rest and _json_object(self.rest[1]) is None:
+                self.rest = None
+        if self.rest is None or self.end - at < 4:
+            return None
+        turn = (self.end - at) % 4
+        if turn not in self.begins:
+            try:
+                object_at = _last_object(_base64url(self.text[at : self.end]))
+            except (ValueError, binascii.Error):
+                object_at = -1
+            self.begins[turn] = at + object_at // 3 * 4 if object_at >= 0 and object_at % 3 == 0 else -1
+        if self.begins[turn] != at:
+            return None
+        return self.rest.end() if "alg" in (_json_object(self.text[at : self.end]) or ()) else None
 
 
 def scan(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every secret, by start, then kind as listed; NULL is empty."""
     if not text:
         return []
-    spans, reach = [], dict.fromkeys(KINDS, 0)
+    spans, reach, headers = [], dict.fromkeys(KINDS, 0), _Headers(text)
     hits = sorted((end + 1 - size, kind) for end, (kind, size) in _automaton().iter(text))
     for at, kind in hits:
         if kind == "assign":
@@ -97,9 +157,9 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
                 if m.end() - at >= 20:
                     spans.append((at, m.end(), "access"))
         elif kind == "jwt":
-            if at >= reach["jwt"] and (m := _JWT.match(text, at)) and _jwt_valid(m[1], m[2]):
-                reach["jwt"] = m.end()
-                spans.append((at, m.end(), "jwt"))
+            if at >= reach["jwt"] and (end := headers.jwt_end(at)):
+                reach["jwt"] = end
+                spans.append((at, end, "jwt"))
         else:
             name, m = CRC_PREFIXES[kind], _CRC_BODY.match(text, at + len(kind))
             if m and at >= reach[name] and crc62(m[0][:30]) == m[0][30:]:
