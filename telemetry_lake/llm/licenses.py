@@ -75,17 +75,13 @@ def to_postfix(tokens: list[str]) -> list[str]:
     """
     out: list[str] = []
     ops: list[str] = []
-    best: list[str] = []
-    want_id = True
-
-    def closed() -> list[str]:
-        return out + [o for o in reversed(ops) if o != "("]
-
+    depth, want_id = 0, True
     for token in tokens:
         low = token.lower()
         if want_id:
             if token == "(":
                 ops.append(token)
+                depth += 1
             elif token == ")" or low in _RANK:
                 break
             else:
@@ -96,14 +92,18 @@ def to_postfix(tokens: list[str]) -> list[str]:
                 out.append(ops.pop())
             ops.append(low)
             want_id = True
-        elif token == ")" and "(" in ops:
+        elif token == ")" and depth:
             while (o := ops.pop()) != "(":
                 out.append(o)
+            depth -= 1
         else:
             break
-        if not want_id:
-            best = closed()
-    return best
+    if want_id:  # what waits for a licence, an operator and open brackets, is taken back
+        while ops and ops[-1] == "(":
+            ops.pop()
+        if ops and out:
+            ops.pop()
+    return out + [o for o in reversed(ops) if o != "("] if out else []
 
 
 def evaluate(postfix: list[str]) -> tuple[float, set[str]]:
@@ -112,10 +112,10 @@ def evaluate(postfix: list[str]) -> tuple[float, set[str]]:
     for token in postfix:
         if token in _RANK and len(stack) >= 2:
             right, left = stack.pop(), stack.pop()
-            if token == "or":
-                stack.append((min(left[0], right[0]), left[1] | right[1]))
-            elif token == "and":
-                stack.append((max(left[0], right[0]), left[1] | right[1]))
+            if token in ("or", "and"):
+                more, less = sorted((left[1], right[1]), key=len, reverse=True)
+                more |= less  # the smaller set goes into the larger one
+                stack.append(((min if token == "or" else max)(left[0], right[0]), more))
             else:  # the right side is an exception, not a licence
                 stack.append((left[0] * EXCEPTION, left[1]))
         else:
@@ -129,14 +129,17 @@ def scan(text: str | None) -> dict:
     words = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
     line = " " + b" ".join(words).decode("latin-1") + " "
     n_base, first, last, base, labels, score, tagged = 0, None, None, set(), set(), 0.0, False
+    at = word = 0  # words counted so far, and up to where: hits come in order of their ends
     for end, phrase in _automaton().iter(line):
         if phrase == TAG:
             tagged = True
         elif label := BASE_PHRASES.get(phrase):
             n_base += 1
-            start = line.count(" ", 0, end - len(phrase) - 1)
-            first = start if first is None else min(first, start)
-            last = start if last is None else max(last, start)
+            start = end - len(phrase) - 1
+            word += line.count(" ", at, start) if start >= at else -line.count(" ", start, at)
+            at = start
+            first = word if first is None else min(first, word)
+            last = word if last is None else max(last, word)
             base.add(label)
         else:
             labels.add(NOTICE_PHRASES[phrase])

@@ -373,6 +373,90 @@ def test_decontamination_edges(spark, edge):
     assert de.matches(edge, benchmark.where("false")).count() == de.matches(edge.where("false"), benchmark).count() == 0
 
 
+def seconds(fn, *args):
+    import time
+
+    start = time.process_time()
+    fn(*args)
+    return time.process_time() - start
+
+
+def test_secrets_and_licences_take_linear_time():
+    """Texts of a million hits: twice the text takes about twice the time."""
+    header = base64.urlsafe_b64encode(b'{"a":' * 50).decode().rstrip("=")
+    nested = base64.urlsafe_b64encode(b'{"' * 30).decode().rstrip("=")
+    part = base64.urlsafe_b64encode(b'{"b":1}').decode().rstrip("=")
+    hostile = [lambda n: "eyJ" * n, lambda n: nested * (n // 20) + "." + part + "." + "s" * 20,
+               lambda n: header * (n // 80) + "." + part + "." + "s" * 20, lambda n: "eyJ." * n, lambda n: "eyJa." * n,
+               lambda n: "AKIA" * n, lambda n: "secret" * n, lambda n: "secret: " * n]
+    for make in hostile:
+        small = max(seconds(se.scan, make(150_000)), 0.05)
+        assert seconds(se.scan, make(600_000)) < 10 * small
+    hostile = [lambda n: "mit license " * n, lambda n: "SPDX-License-Identifier: " + "MIT OR " * n + "MIT",
+               lambda n: "SPDX-License-Identifier: " + "(" * n + "MIT" + ")" * n,
+               lambda n: "SPDX-License-Identifier: " + " AND ".join(f"x{i}" for i in range(n))]
+    for make in hostile:
+        small = max(seconds(li.scan, make(75_000)), 0.05)
+        assert seconds(li.scan, make(300_000)) < 10 * small
+
+
+def test_jwt_headers_within_a_run():
+    """A run of base64url characters with several headers: the first that is a JSON object with an algorithm counts."""
+    part = lambda d: base64.urlsafe_b64encode(json.dumps(d).encode()).decode().rstrip("=")
+    head, body, sig = part({"alg": "x", "n": "\u00e9"}), part({"sub": 1}), "s" * 20
+    for lead in ("", "a", "eyJ", "eyJeyJ", "eyJhbGci", part({"typ": "y"}), "x" * 7 + "eyJq"):
+        text = f"go {lead}{head}.{body}.{sig} on"
+        assert [s for s in se.scan(text) if s[2] == "jwt"] == [(3 + len(lead), len(text) - 3, "jwt")], lead
+    for text in (f"{head}.{head[:5]}.{sig}", f"{part({'typ': 1})}.{body}.{sig}", f"{head}.{body}.short", "eyJ.eyJ.", "eyJ"):
+        assert not [s for s in se.scan(text) if s[2] == "jwt"]
+
+
+def brute_postfix(tokens):
+    """The longest head that a recursive grammar accepts with its open brackets left out."""
+    best = []
+    for n in range(1, len(tokens) + 1):
+        at, ok = 0, True
+
+        def expr(level, tokens=tokens, n=n):
+            nonlocal at, ok
+            left = term(level)
+            while at < n and tokens[at].lower() in li._RANK and li._RANK[tokens[at].lower()] == level:
+                op = tokens[at].lower()
+                at += 1
+                left = left + term(level) + [op]
+            return left
+
+        def term(level, tokens=tokens, n=n):
+            nonlocal at, ok
+            if level < 3:
+                return expr(level + 1)
+            if at >= n or tokens[at] == ")" or tokens[at].lower() in li._RANK:
+                ok = False
+                return []
+            at += 1
+            if tokens[at - 1] != "(":
+                return [tokens[at - 1]]
+            inner = expr(1)
+            if at < n and tokens[at] == ")":
+                at += 1
+            elif at < n:
+                ok = False
+            return inner
+
+        found = expr(1)
+        if ok and at == n:
+            best = found
+    return best
+
+
+def test_expressions_against_a_grammar():
+    rng = np.random.default_rng(17)
+    words = ["MIT", "Apache-2.0", "or", "AND", "with", "(", ")", "prose"]
+    for _ in range(3000):
+        tokens = [words[i] for i in rng.integers(0, len(words), int(rng.integers(0, 9)))]
+        assert li.to_postfix(tokens) == brute_postfix(tokens), tokens
+
+
 # --- 9 near duplicates --------------------------------------------------------------------------
 
 
