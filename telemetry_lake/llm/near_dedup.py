@@ -41,6 +41,7 @@ DEPTH = 4
 SMALL = 32
 COLUMNS = 4096  # shingles that a block comparison multiplies at a time
 BLOCK = 1024
+FEW_IDS = 1 << 18  # ids (8 bytes each) that are broadcast at most
 MISSED = 1e-6  # chance that the token estimate drops a pair that should be linked
 
 _STEPS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -427,6 +428,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     pa.array(keep, pa.bool_())
                 )
 
+    # only the sets that are compared are shuffled: they are picked first, by a broadcast of bounded size
+    pairs = saved(pairs.select("a", "b"), "pairs")
+    ids = saved(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+    sets = sets.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "id", "left_semi")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(right, "b").join(left, "a").select("a", "sa", "b", "sb")
@@ -456,7 +461,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, size: int = SHINGLE) -> DataF
     together = saved(classes.join(level.select("id").distinct(), "id"), "together")
     wanted = docs.join(together.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = saved(
-        set_rows(wanted, size).join(together, ["fp1", "fp2"]).dropDuplicates(["id"]).select("id", "shingles"), "sets"
+        set_rows(wanted, size).join(together, ["fp1", "fp2"]).dropDuplicates(["fp1", "fp2"]).select("id", "shingles"), "sets"
     )
     linked = join_sets(reps, level, sets, percent)
     repeated = some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
