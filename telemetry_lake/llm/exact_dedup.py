@@ -15,7 +15,7 @@ import string
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm.frames import saved, table
@@ -92,10 +92,15 @@ def _digest_rows(column: pa.Array) -> np.ndarray:
 # --- Spark side -------------------------------------------------------------------
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest): SHA-256 of each text with A-Z lower-cased; NULL counts as empty."""
+def text_sha256() -> Column:
+    """SHA-256 (hex) of column text with A-Z lower-cased; NULL counts as empty."""
     low = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return docs.select("doc_id", F.unhex(F.sha2(low, 256)).alias("digest"))
+    return F.sha2(low, 256)
+
+
+def digests(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest): the bytes of ``text_sha256``."""
+    return docs.select("doc_id", F.unhex(text_sha256()).alias("digest"))
 
 
 def winners(rows: DataFrame) -> DataFrame:
@@ -190,8 +195,8 @@ def exact_dedup(history: DataFrame, arrivals: DataFrame, shard_digests: int = SH
         "digests",
     )
     past = saved(winners(rows.where("old")), "history")
-    shards = max(1, -(-past.count() // shard_digests))
-    new = winners(rows.where("not old"))
+    new = saved(winners(rows.where("not old")), "arrivals")
+    shards = max(1, -(-max(past.count(), new.count()) // shard_digests))  # neither side outgrows a shard
     hits = saved(probe(new, build_index(past, shards), shards), "hits")
     # a repeat joins its historical group; the larger id wins
     groups = hits.select(
@@ -213,10 +218,12 @@ def exact_dedup(history: DataFrame, arrivals: DataFrame, shard_digests: int = SH
 
 
 def split_batches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The older half of the ids as history, the rest (and rows without id) as arrivals."""
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    middle = 0 if low is None else (low + high) // 2
-    old = F.coalesce(F.col("doc_id") <= middle, F.lit(False))
+    """The older half of the rows by id as history, the rest (and rows without id) as arrivals.
+
+    The middle is an approximate median, which ids far off don't move.
+    """
+    middle = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    old = F.coalesce(F.col("doc_id") <= F.lit(middle), F.lit(False))
     return docs.where(old), docs.where(~old)
 
 
