@@ -590,15 +590,100 @@ def test_sql(spark, sf_dir, name):
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
+def plain_words(text):
+    return [w for w in re.split("[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (text or "").translate(LOW)) if w]
+
+
+def leaks_of(text, items):
+    """Items (as words) of which the text holds a copy with the allowed edits."""
+    words = plain_words(text)
+    have = Counter(words)
+    for item in items:
+        allowed = de.edits_allowed(len(item))
+        if item and sum((Counter(item) & have).values()) >= len(item) - allowed and word_edits(item, words) <= allowed:
+            return True
+    return False
+
+
+def brute_exact(rows):
+    """Rows (id, text): of equal texts one row with the largest id, None below all."""
+    best = {}
+    for i, text in rows:
+        low = (text or "").translate(LOW)
+        key = -(1 << 63) if i is None else i
+        if low not in best or key > best[low][0]:
+            best[low] = (key, i)
+    return Counter((i, low) for low, (_, i) in best.items())
+
+
 def test_pipeline(spark, sf_dir, docs):
+    """Every stage against brute force, on what the stage before it kept."""
     import corpus_pipeline as cp
 
-    kept = docs
-    for name, stage in cp.STAGES[:-1]:
-        out = stage(spark, kept, sf_dir)
+    stages, kept = dict(cp.STAGES), docs
+    assert list(stages) == ["quality", "exact_dedup", "near_dedup", "decontamination", "packing"]
+    pairs = lambda df: [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    before = pairs(docs)
+    for name in list(stages)[:-1]:
+        out = stages[name](spark, kept, sf_dir).cache()
         assert out.columns == docs.columns, name
-        ids = {r["doc_id"] for r in out.select("doc_id").collect()}
-        assert ids <= {r["doc_id"] for r in kept.select("doc_id").collect()}
-        kept = docs.where(F.col("doc_id").isin(sorted(ids)))
-    packed = cp.packed(spark, kept, sf_dir)
-    assert {r["doc_id"] for r in packed.collect()} == ids
+        after = pairs(out)
+        if name == "quality":
+            scores = qu.quality(kept, spark.read.parquet(f"{sf_dir}/labels.parquet")).collect()
+            want = {r["doc_id"] for r in scores if r["predicted"]}
+            assert {i for i, _ in after} == want and 0 < len(want) < len(before)
+        elif name == "exact_dedup":
+            assert Counter((i, (t or "").translate(LOW)) for i, t in after) == brute_exact(before)
+        elif name == "near_dedup":
+            want = {i for (i, _, least) in brute_components(before, cp.NEAR_PERCENT) if i == least}
+            assert {i for i, _ in after} == want
+        else:
+            items = [plain_words(r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+            assert {i for i, _ in after} == {i for i, t in before if not leaks_of(t, items)}
+        kept, before = out, after
+    rows = stages["packing"](spark, kept, sf_dir).collect()
+    assert {r["doc_id"] for r in rows} == {i for i, _ in before}
+
+
+def test_pipeline_keeps_texts_whose_id_is_shared(spark, sf_dir):
+    import corpus_pipeline as cp
+
+    rows = [(7, "a"), (9, "A"), (7, "only here"), (9, "a"), (9, "a"), (None, None), (3, ""), (None, "no id"), (None, "No id"),
+            (5, "x"), (5, "X"), (2, "y"), (2, "y")]
+    docs = frame(spark, rows)
+    out = cp.distinct_texts(spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    got = Counter((r["doc_id"], (r["text"] or "").translate(LOW)) for r in out.collect())
+    assert got == brute_exact(rows)
+    assert (9, "a") in got and (7, "only here") in got and sum(got.values()) == 6
+
+
+def test_pipeline_decontaminates_row_by_row(spark, sf_dir):
+    import corpus_pipeline as cp
+
+    item = max((r["text"] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()), key=len)
+    rows = [(1, f"lead {item} end"), (1, "a clean text under the same id"), (None, item), (None, "clean"), (2, None), (2, "")]
+    got = cp.without_benchmark(spark, frame(spark, rows), sf_dir).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(rows[1:2] + rows[3:])
+
+
+def test_pipeline_of_empty_tables(spark, sf_dir, docs):
+    import corpus_pipeline as cp
+
+    none = docs.where("false")
+    for name, stage in cp.STAGES:
+        assert stage(spark, none, sf_dir).count() == 0, name
+
+
+def test_exact_dedup_shards_with_an_id_far_off(spark):
+    """One id far below all others makes the history small; the shards follow the larger side."""
+    rows = [(-(10**15), "far off")] + [(i, f"text {i % 900}") for i in range(2000)]
+    docs = frame(spark, rows)
+    history, arrivals = ex.split_batches(docs)
+    assert 900 < history.count() < 1101
+    for old, new in ((history, arrivals), (docs.where("doc_id < 0"), docs.where("doc_id >= 0")), (docs.where("false"), docs)):
+        got = Counter((r["doc_id"], r["keep_id"], r["group_size"]) for r in ex.exact_dedup(old, new, shard_digests=64).collect())
+        groups = defaultdict(list)
+        for i, t in rows:
+            groups[t].append(i)
+        assert got == Counter((i, max(groups[t]), len(groups[t])) for i, t in rows)
