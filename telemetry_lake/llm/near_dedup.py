@@ -6,9 +6,10 @@ a node chooses a few token positions (by a hash of its own path) and its
 classes branch by their token there.  Two sets of high similarity agree on most
 tokens, so they stay together along many paths; unrelated ones part at once.
 
-At each level every node, whatever its size, is first compared with one random
-member, its pivot: a group of near copies is linked by as many pairs as it has
-members.  Nodes whose members the links connect are done.  Of the others, those
+Every node of the first level and every large one below it, whatever its size,
+is compared with one random member, its pivot: a group of near copies is linked
+by as many pairs as it has members.  Nodes whose members the links connect are
+done.  Of the others, those
 of at most ``SMALL`` classes are compared exhaustively on their tokens, larger
 ones branch again, down to ``DEPTH`` levels.  What is large and apart even
 there is compared in blocks: on tokens first, then the classes that have a
@@ -17,7 +18,7 @@ likely partner on their full sets.  All links are confirmed on the full sets.
 Recall: a pair of similarity 0.85 stays together in one level of a tree with
 probability 1 - 0.15**2, so all three trees lose it in nodes that are small at
 level 1 with about 1e-5, in nodes that stay large and unconnected down to level
-4 with less than 7e-4; the token estimate drops a linked pair with at most 1e-6.
+3 with about 3e-4; the token estimate drops a linked pair with at most 1e-6.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ SHINGLE = 5
 TOKENS = 64
 TREES = 3
 BRANCHES = 2
-DEPTH = 4
+DEPTH = 3
 SMALL = 32
 COLUMNS = 4096  # shingles that a block comparison multiplies at a time
 BLOCK = 1024
@@ -325,10 +326,17 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 class Links:
-    """The components that the confirmed links make so far."""
+    """The confirmed links so far, and a label for each class that has one.
+
+    Classes of one label are connected, so pairs of them need no comparison;
+    connected classes may still have different labels: a label is the least
+    class within two links, the same for all that a pivot has linked.
+    ``components`` settles the rest at the end.
+    """
 
     def __init__(self, tokens: DataFrame, sets: DataFrame, percent: int):
         self.tokens, self.sets, self.percent = tokens, sets, percent
+        self.links = tokens.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
         self.linked = tokens.select("id", F.col("id").alias("component")).where("false")
 
     def components_of(self, rows: DataFrame, name: str, to: str) -> DataFrame:
@@ -341,9 +349,13 @@ class Links:
         both = self.components_of(self.components_of(pairs, "a", "ca"), "b", "cb")
         return both.where("ca <> cb").select("a", "b")
 
+    def with_components(self, level: DataFrame) -> DataFrame:
+        """Members (node, id, size) with their component."""
+        return self.components_of(level.select("node", "id", "size"), "id", "component")
+
     def mixed(self, level: DataFrame) -> DataFrame:
-        """Members (node, id, size), with their component, of the nodes that hold more than one component."""
-        parts = saved(self.components_of(level.select("node", "id", "size"), "id", "component"), "parts")
+        """``with_components`` of the nodes that hold more than one component."""
+        parts = self.with_components(level)
         nodes = parts.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         return saved(parts.join(nodes.where("lo <> hi").select("node"), "node"), "mixed")
 
@@ -353,19 +365,21 @@ class Links:
         return pairs.join(left, "a").join(right, "b")
 
     def add(self, links: DataFrame) -> None:
-        """Extend the components by confirmed links."""
+        """Take in confirmed links and label their classes."""
         new = saved(links, "links")
         if new.limit(1).count():
-            # one edge from each known document to its component stands for the older links
-            known = self.linked.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-            self.linked = saved(components(known.unionByName(new)), "linked")
+            self.links = self.links.unionByName(new)
+            both = self.links.unionByName(self.links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            first = saved(both.groupBy(F.col("a").alias("id")).agg(F.least("a", F.min("b")).alias("least")), "least")
+            second = both.join(first.select(F.col("id").alias("b"), "least"), "b").groupBy(F.col("a").alias("id"))
+            self.linked = saved(second.agg(F.min("least").alias("component")), "linked")
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
         return confirmed(pairs, self.sets, self.percent)
 
 
 def join_sets(reps: DataFrame, level: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Components (id, component) of the classes that have a link.
+    """Links (a, b) that connect the classes of each component, of those that have one.
 
     ``reps``: (id, tokens); ``level``: the members of the first nodes; ``sets``:
     (id, shingles) of these members.
@@ -374,20 +388,25 @@ def join_sets(reps: DataFrame, level: DataFrame, sets: DataFrame, percent: int)
     tokens = saved(reps.join(level.select("id").distinct(), "id"), "tokens")
     found = Links(tokens, sets, percent)
     for depth in range(1, DEPTH + 1):
-        stars = _ordered(level.select(F.col("pivot").alias("a"), F.col("id").alias("b"))).distinct()
-        found.add(found.confirm(agreeing(found.with_tokens(found.apart(stars)), least)))
-        apart = found.mixed(level)
-        small = apart.where(F.col("size") <= SMALL).join(tokens, "id")
-        found.add(found.confirm(small_pairs(small, least)))
-        large = apart.where(F.col("size") > SMALL).select("node", "id", "size")
+        pivots = level if depth == 1 else level.where(F.col("size") > SMALL)  # below, small ones are compared anyway
+        stars = _ordered(pivots.select(F.col("pivot").alias("a"), F.col("id").alias("b"))).distinct()
+        stars = agreeing(found.with_tokens(found.apart(stars)), least)
+        if depth == 1:  # most groups of copies are linked here; what they need no more is left out below
+            found.add(found.confirm(stars))
+            stars = stars.where("false")
+            level = found.mixed(level)
+        else:
+            level = found.with_components(level)
+        small = level.where(F.col("size") <= SMALL).join(tokens, "id")
+        found.add(found.confirm(small_pairs(small, least).unionByName(stars).distinct()))
+        large = found.mixed(level.where(F.col("size") > SMALL))
         if not large.limit(1).count():
             break
-        large = found.mixed(large)
         if depth < DEPTH:
             level = saved(_sized(branch(large.join(tokens, "id"))), f"level{depth + 1}")
         else:
             found.add(block_links(saved(likely(large, tokens, least), "likely"), sets, percent))
-    return found.linked
+    return found.links
 
 
 # --- confirmation on full sets -----------------------------------------------------
@@ -410,6 +429,11 @@ def set_rows(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "fp1 bigint, fp2 bigint, shingles binary")
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """``ids`` (one long), to be broadcast if there are at most ``FEW_IDS``; the join shuffles beyond that."""
+    return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets satisfy 100 * |A n B| >= percent * |A u B|."""
 
@@ -431,7 +455,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # only the sets that are compared are shuffled: they are picked first, by a broadcast of bounded size
     pairs = saved(pairs.select("a", "b"), "pairs")
     ids = saved(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-    sets = sets.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "id", "left_semi")
+    sets = sets.join(_few(ids), "id", "left_semi")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(right, "b").join(left, "a").select("a", "sa", "b", "sb")
@@ -459,19 +483,18 @@ def near_dedup(docs: DataFrame, percent: int = 85, size: int = SHINGLE) -> DataF
     reps = saved(reps.dropDuplicates(["id"]).select("id", "tokens"), "reps")
     level = saved(_sized(roots(reps)), "level1")
     together = saved(classes.join(level.select("id").distinct(), "id"), "together")
-    wanted = docs.join(together.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    wanted = docs.join(_few(together.select(F.col("least").alias("doc_id")).distinct()), "doc_id", "left_semi")
     sets = saved(
         set_rows(wanted, size).join(together, ["fp1", "fp2"]).dropDuplicates(["fp1", "fp2"]).select("id", "shingles"), "sets"
     )
-    linked = join_sets(reps, level, sets, percent)
+    links = join_sets(reps, level, sets, percent)
     repeated = some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     shared = some.join(repeated, "doc_id").select("doc_id", "fp1", "fp2").join(classes, ["fp1", "fp2"])
     shared = saved(shared.select("doc_id", "id").distinct(), "shared")
     if shared.limit(1).count():  # texts that share a doc_id are one document
         first = shared.groupBy("doc_id").agg(F.min("id").alias("a"))
-        edges = shared.join(first, "doc_id").select("a", F.col("id").alias("b")).where("a <> b")
-        known = linked.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-        linked = components(known.unionByName(edges))
+        links = links.unionByName(shared.join(first, "doc_id").select("a", F.col("id").alias("b")).where("a <> b"))
+    linked = components(links)
     of_class = classes.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
     of_class = saved(of_class.select("fp1", "fp2", "least", "component"), "of_class")
     least = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
