@@ -21,7 +21,7 @@ from telemetry_lake.llm.text import LOWER, SPACE, chunks, span_hashes, word_span
 
 PASSAGE = 512  # bytes
 SAMPLE = 6000  # labelled documents that the model is fitted on, at most
-SAMPLE_PASSAGES = 64  # passages of a document that fitting looks at, evenly spread
+SAMPLE_BYTES = 64 << 20  # text of these documents in all, at most; each is read whole
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.7
 
@@ -162,26 +162,48 @@ def sample_of(docs: DataFrame, labels: DataFrame, label: str, folds: int, held:
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS, held: int = HELD) -> Model:
-    """Fit on a bounded sample of labelled, not held-out documents; features are made on the executors."""
+def fitting(sizes: list[tuple], bound: int) -> list[tuple]:
+    """The (id, text hash) of ``sizes`` (id, text hash, size), in order, whose sizes fit into ``bound`` together."""
+    kept, total = [], 0
+    for doc, text, size in sizes:
+        if total + size <= bound:
+            kept.append((doc, text))
+            total += size
+    return kept
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS, held: int = HELD,
+          sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on a bounded sample of labelled, not held-out documents; features are made on the executors.
+
+    The sample is at most ``sample`` documents, in order of a hash, with at
+    most ``sample_bytes`` of text in all; one that no longer fits is left out
+    and the next is tried.  Every passage of a sampled document is learned
+    from.  Equal texts of one id count once.
+    """
 
     def run(batches):
         for batch in batches:
             for row, end, data, off in chunks(batch):
                 x, first = passage_features(data, off)
-                bags = []
-                for k in range(end - row):
-                    part = x[first[k] : first[k + 1]]
-                    if len(part) > SAMPLE_PASSAGES:
-                        part = part[np.linspace(0, len(part) - 1, SAMPLE_PASSAGES).astype(int)]
-                    bags.append(part.astype("<f4").tobytes())
+                bags = [x[first[k] : first[k + 1]].astype("<f4").tobytes() for k in range(end - row)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, end - row), pa.array(bags, pa.binary()), batch.column(2).slice(row, end - row)],
                     names=["doc_id", "bag", "label"],
                 )
 
+    labelled = sample_of(docs, labels, "quality", folds, held, sample).withColumn("own_text", F.xxhash64("text"))
+    sizes = (
+        labelled.groupBy("doc_id", "own_text")
+        .agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size"))
+        .orderBy(F.xxhash64("doc_id", "own_text"), "doc_id", "own_text").limit(sample)
+        .collect()
+    )
+    chosen = docs.sparkSession.createDataFrame(fitting(sizes, sample_bytes), "doc_id bigint, own_text bigint")
     rows = (
-        sample_of(docs, labels, "quality", folds, held, sample)
+        labelled.join(F.broadcast(chosen), ["doc_id", "own_text"])
+        .groupBy("doc_id", "own_text").agg(F.max("text").alias("text"), F.max("label").alias("label"))
+        .select("doc_id", "text", "label")
         .mapInArrow(run, "doc_id bigint, bag binary, label int")
         .collect()
     )

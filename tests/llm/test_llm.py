@@ -160,6 +160,44 @@ def test_plan_uses_every_piece():
     assert (used == histogram).all() and pads < 0.02 * (histogram * np.arange(65)).sum()
 
 
+def test_quality_score_equals_the_model_written_out_per_passage():
+    rng = np.random.default_rng(3)
+    texts = [b"", b"one", b"Some words, and more.\n" * 90, bytes(rng.integers(32, 127, 5000).astype(np.uint8))]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    off = np.append(0, np.cumsum([len(t) for t in texts]))
+    x, first = qu.passage_features(data, off)
+    model = qu.fit(x, first, np.array([0.0, 1.0, 1.0, 0.0]), epochs=3)
+    w = model.weights
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    for k, got in enumerate(model.scores(x, first)):
+        assert first[k + 1] - first[k] == max(1, -(-len(texts[k]) // qu.PASSAGE))
+        h = [np.tanh((p - model.center) / model.scale @ w["We"] + w["be"]) for p in x[first[k] : first[k + 1]]]
+        gates = np.exp([(np.tanh(p @ w["V"]) * sigmoid(p @ w["U"])) @ w["a"] for p in h])
+        z = sum(g * p for g, p in zip(gates / gates.sum(), h))
+        assert abs(sigmoid(z @ w["w"] + w["b"][0]) - got) < 1e-6
+
+
+def test_quality_fits_on_whole_texts_within_a_bound_of_bytes(spark):
+    sizes = [(1, 11, 40), (2, 22, 70), (3, 33, 60), (4, 44, 0)]
+    assert qu.fitting(sizes, 100) == [(1, 11), (3, 33), (4, 44)] and qu.fitting([], 100) == []
+    # one telling passage among 150: an even choice of 64 passages would miss most of them
+    clean = "the quiet river runs past old stone houses and green fields in the morning light. "
+    long = (clean * 1000)[: 150 * qu.PASSAGE]
+    rows = []
+    for i in range(120):
+        at = (i * 37 % 150) * qu.PASSAGE
+        bad = "@#$%&*!" * 74
+        rows.append((i, long if i % 2 else long[:at] + bad[: qu.PASSAGE] + long[at + qu.PASSAGE :]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(120)], "doc_id bigint, quality int, toxic int")
+    hit = [(r.score >= 0.5) == bool(r.doc_id % 2) for r in qu.quality(docs, labels).collect() if r.held_out]
+    assert len(hit) > 10 and np.mean(hit) > 0.95
+    # copies of one labelled row don't grow the sample
+    many = docs.unionByName(docs.where("doc_id = 1").crossJoin(spark.range(30).drop("id")))
+    a, b = qu.train(docs, labels), qu.train(many, labels)
+    assert all(np.allclose(a.weights[k], b.weights[k]) for k in a.weights)
+
+
 # --- 4 quality, 10 toxicity -----------------------------------------------------------
 
 
