@@ -8,6 +8,7 @@ independently.  Run stamps are fixed literals on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -16,11 +17,15 @@ from pyspark.sql import functions as F
 
 from telemetry_lake import operators as op
 from telemetry_lake.operators import stats
+from telemetry_lake.operators.run_stats import STANDARD_ERROR, append_stats, merged_stats
+from telemetry_lake.operators.vehicle_state import read_state, state_report, update_state
 from telemetry_lake.plans.jobs import LakeConfig, run_all, run_bronze, run_gold, run_silver
 from telemetry_lake.schemas import DEFAULT_PATTERNS, GOLD_REPORTS, RAW, STRICT_PATTERNS
 from telemetry_lake.session import pin_utc, scratch_path
 from telemetry_lake.sources.bronze_store import bronze_files, partition_counts, read_bronze, write_bronze
+from telemetry_lake.sources.buckets import read_bucketed_silver, write_bucketed_silver
 from telemetry_lake.sources.fixtures import read_messages
+from telemetry_lake.sources.footers import footer_partitions, footer_stats
 from telemetry_lake.sources.landing import read_landing, write_landing
 from telemetry_lake.sources.layers import (
     gold_stats,
@@ -340,6 +345,84 @@ def q_empty_stage_status(spark, sf_dir):
     return spark.createDataFrame(rows, "messages string, bronze string, silver string, records bigint")
 
 
+BUCKETS = 16  # of the bucketed silver; on a cluster so many that a bucket fits a task
+
+
+def _bucketed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = f"silver_by_vin_{uuid.uuid4().hex}"
+    path = write_bucketed_silver(_silver(spark, sf_dir, sort=False), scratch_path(spark, "by_vin"), SILVER_AT,
+                                 table, BUCKETS)
+    return read_bucketed_silver(spark, path, table)
+
+
+def q_vin_last_state_bucketed(spark, sf_dir):
+    """The report over silver in buckets by vehicle: no shuffle of the messages."""
+    return op.vin_last_state(_bucketed_silver(spark, sf_dir), GOLD_AT)
+
+
+def q_vin_last_state_bucketed_joins(spark, sf_dir):
+    """The report's parts joined over silver in buckets (J1, J2): neither aggregates nor joins shuffle."""
+    silver = _bucketed_silver(spark, sf_dir)
+    report = op.latest_message_per_vin(silver)
+    for column in ("front_left_door_state", "wipers_state"):
+        report = report.join(op.last_component_state(silver, column, f"last_{column}"), "vin", "left")
+    return report.withColumn("report_generated_timestamp", F.lit(GOLD_AT))
+
+
+def q_bronze_footer_stats(spark, sf_dir):
+    """Records and time range of stored bronze from the files' footers."""
+    return footer_stats(spark, write_bronze(_bronze(spark, sf_dir), scratch_path(spark, "bronze")))
+
+
+def q_bronze_footer_partitions(spark, sf_dir):
+    """Rows, first and last time of every hour folder from the files' footers."""
+    return footer_partitions(spark, write_bronze(_bronze(spark, sf_dir), scratch_path(spark, "bronze")))
+
+
+def _thirds(df: DataFrame) -> list[DataFrame]:
+    """All rows in three parts by vehicle and time, for increments; late and tied rows fall in all of them."""
+    part = F.pmod(F.xxhash64("vin", "timestamp", "wipers_state"), F.lit(3))
+    return [df.where(part == k) for k in range(3)]
+
+
+def q_bronze_stats_merged(spark, sf_dir):
+    """Figures of bronze appended in three batches, from one row kept per batch."""
+    bronze, kept = scratch_path(spark, "bronze"), scratch_path(spark, "bronze_stats")
+    for number, batch in enumerate(_thirds(_bronze(spark, sf_dir))):
+        write_bronze(batch, bronze, mode="append")
+        append_stats(batch, kept, f"b{number}")
+    merged = merged_stats(spark.read.parquet(kept))
+    exact = read_bronze(spark, bronze).agg(F.count_distinct("vin").alias("vins"),
+                                           F.count_distinct("manufacturer").alias("makers")).first()
+    near = [F.abs(F.col(c) - n) <= 4 * STANDARD_ERROR * n for c, n in
+            (("unique_vehicles", exact.vins), ("unique_manufacturers", exact.makers))]
+    return merged.select("total_records", "avg_velocity", "earliest_message", "latest_message",
+                         "records_with_valid_coords", "records_with_valid_velocity",
+                         near[0].alias("vehicles_within_error"), near[1].alias("manufacturers_within_error"))
+
+
+def q_vin_last_state_incremental(spark, sf_dir):
+    """The report from a state that three increments, one of them merged twice, brought up to date."""
+    root = scratch_path(spark, "state")
+    parts = _thirds(_silver(spark, sf_dir, sort=False))
+    for increment in [*parts, parts[0]]:
+        update_state(spark, root, increment, GOLD_AT)
+    return state_report(read_state(spark, root), GOLD_AT)
+
+
+def q_fastest_per_hour_many(spark, sf_dir):
+    """The 2,000 highest speeds of every hour."""
+    return op.fastest_per_hour(_silver(spark, sf_dir, sort=False), GOLD_AT, k=2000)
+
+
+RE2_PATTERNS = [r"\bDROP\b", r"[[:digit:]]{3}7$", r"(?i)select\s.", r"A/[^]x]", r"{", r"(?P<m>M)[&&8]\z"]
+
+
+def q_pattern_violations_re2(spark, sf_dir):
+    """Patterns as RE2 reads them, translated for Spark."""
+    return op.pattern_violations(_bronze(spark, sf_dir), patterns=RE2_PATTERNS, dialect="re2")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_standardize": q_bronze_standardize,
     "bronze_round_trip": q_bronze_round_trip,
@@ -378,6 +461,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_of_a_run": q_gold_of_a_run,
     "views_vehicle_messages": q_views_vehicle_messages,
     "empty_stage_status": q_empty_stage_status,
+    "vin_last_state_bucketed": q_vin_last_state_bucketed,
+    "vin_last_state_bucketed_joins": q_vin_last_state_bucketed_joins,
+    "bronze_footer_stats": q_bronze_footer_stats,
+    "bronze_footer_partitions": q_bronze_footer_partitions,
+    "bronze_stats_merged": q_bronze_stats_merged,
+    "vin_last_state_incremental": q_vin_last_state_incremental,
+    "fastest_per_hour_many": q_fastest_per_hour_many,
+    "pattern_violations_re2": q_pattern_violations_re2,
 }
 
 
@@ -483,8 +574,8 @@ last_state AS (
 )"""
 
 
-def _fastest_cte(local_ts: str) -> str:
-    """Per hour, the list of its speeds in falling order, cut to ten and spread again."""
+def _fastest_cte(local_ts: str, k: int = 10) -> str:
+    """Per hour, the list of its speeds in falling order, cut to the first ``k`` and spread again."""
     return f"""
 hours AS (
   SELECT CAST(date_trunc('day', {local_ts}) AS DATE) AS date_part, hour({local_ts}) AS hour_part,
@@ -492,7 +583,7 @@ hours AS (
   FROM silver WHERE velocity IS NOT NULL GROUP BY ALL
 ),
 fastest AS (
-  SELECT date_part, hour_part, unnest(speeds[1:10]) AS velocity, '{GOLD_AT}' AS report_generated_timestamp
+  SELECT date_part, hour_part, unnest(speeds[1:{k}]) AS velocity, '{GOLD_AT}' AS report_generated_timestamp
   FROM hours
 )"""
 
@@ -618,6 +709,24 @@ FROM bronze b WHERE b.vin IS NOT NULL GROUP BY b.vin""",
     "empty_stage_status": _B + """
 SELECT 'none' AS messages, 'failed' AS bronze, 'failed' AS silver, CAST(0 AS BIGINT) AS records
 UNION ALL SELECT 'all', 'success', 'success', COUNT(*) FROM bronze""",
+    "vin_last_state_bucketed": _S + "," + LAST_STATE_SQL + "\nSELECT * FROM last_state",
+    "vin_last_state_bucketed_joins": _S + "," + LAST_STATE_SQL + "\nSELECT * FROM last_state",
+    "bronze_footer_stats": _B + """
+SELECT COUNT(*) AS total_records, MIN(message_datetime) AS earliest_message, MAX(message_datetime) AS latest_message
+FROM bronze""",
+    "bronze_footer_partitions": _B + """
+SELECT partition_date, partition_hour, COUNT(*) AS message_count, MIN(timestamp) AS first_ms, MAX(timestamp) AS last_ms
+FROM bronze GROUP BY ALL""",
+    "bronze_stats_merged": _B + """
+SELECT COUNT(*) AS total_records, ROUND(AVG(velocity), 2) AS avg_velocity,
+       MIN(message_datetime) AS earliest_message, MAX(message_datetime) AS latest_message,
+       COUNT(*) FILTER (WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180) AS records_with_valid_coords,
+       COUNT(*) FILTER (WHERE velocity >= 0) AS records_with_valid_velocity,
+       TRUE AS vehicles_within_error, TRUE AS manufacturers_within_error
+FROM bronze""",
+    "vin_last_state_incremental": _S + "," + LAST_STATE_SQL + "\nSELECT * FROM last_state",
+    "fastest_per_hour_many": _S + "," + _fastest_cte("message_datetime", 2000) + "\nSELECT * FROM fastest",
+    "pattern_violations_re2": _violations_sql(RE2_PATTERNS),
 }
 
 

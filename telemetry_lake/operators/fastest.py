@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from telemetry_lake.functions.time import report_date, report_hour
 from telemetry_lake.stamps import compact_stamp
 
-GROUP_LIMIT = 1000  # Spark's default windowGroupLimitThreshold
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def fastest_per_hour(
@@ -25,7 +25,10 @@ def fastest_per_hour(
     zone; here it is explicit).  Rows with a NULL time form one (NULL, NULL)
     hour.  Only velocities are emitted, so ties at rank ``k`` do not change the
     output.  ``row_number <= k`` becomes a WindowGroupLimit on both sides of
-    the exchange: a busy hour sends at most ``k`` rows per map task.
+    the exchange: a busy hour sends at most ``k`` rows per map task.  The
+    optimizer keeps these limits up to a threshold, which is raised in the
+    session for a larger ``k``; a limit streams over sorted rows, so its memory
+    doesn't grow with ``k``.
     Columns: date_part DATE, hour_part BIGINT, velocity, report_generated_timestamp.
     """
     if k < 1:
@@ -35,16 +38,9 @@ def fastest_per_hour(
         report_hour("message_datetime", report_tz).alias("hour_part"),
         "velocity",
     )
-    if k > GROUP_LIMIT:
-        # Beyond its threshold the optimizer keeps no map-side limit: cut the
-        # rows of each input task first, so no task holds a whole busy hour.
-        part = Window.partitionBy("date_part", "hour_part", "part").orderBy(F.desc_nulls_last("velocity"))
-        ranked = (
-            ranked.withColumn("part", F.spark_partition_id())
-            .withColumn("rn", F.row_number().over(part))
-            .where(F.col("rn") <= k)
-            .drop("part", "rn")
-        )
+    conf = silver.sparkSession.conf
+    if k > int(conf.get(GROUP_LIMIT, "1000")):
+        conf.set(GROUP_LIMIT, str(k))
     w = Window.partitionBy("date_part", "hour_part").orderBy(F.desc_nulls_last("velocity"))
     return (
         ranked.withColumn("rn", F.row_number().over(w))

@@ -67,16 +67,20 @@ def parse_landing(
 
 
 def _refuse_empty_files(spark: SparkSession, path: str) -> None:
-    """Spark's readers pass over files of no bytes; as responses they are faults."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
+    """Spark's readers pass over files of no bytes; as responses they are faults.
+
+    Spark's own listing knows the empty files, its scans leave them out: the
+    two numbers differ if there is one.  Names are looked at only then.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(path).select("path", "length")
+    listed = files._jdf.inputFiles()
+    if len(listed) == files.count():
         return
-    files = fs.listFiles(p, True)
-    while files.hasNext():
-        status = files.next()
-        if status.getLen() == 0 and not status.getPath().getName().startswith(("_", ".")):
-            raise ValueError(f"empty landing response: {status.getPath().toString()}")
+    read = {row.path for row in files.select("path").toLocalIterator()}
+    for name in listed:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(name))
+        if p.toString() not in read:
+            raise ValueError(f"empty landing response: {p.toString()}")
 
 
 def read_landing(
@@ -88,8 +92,7 @@ def read_landing(
     """Read landing files below ``path``.
 
     ``multi_line=True``: each file is one API response (may be pretty
-    printed; a file is one task), and a blank or empty one fails.  The driver
-    lists the files for that; use lines where there are very many.
+    printed; a file is one task), and a blank or empty one fails.
     ``multi_line=False``: each line is one response (files split across
     tasks), blank lines are skipped.
     """
