@@ -1,204 +1,222 @@
 """Language-model scoring: prediction by partial matching over bytes, and a unigram base.
 
-The byte model is a trie of all contexts of up to two bytes that occur in the
-training texts, with counts of the bytes that follow.  A byte is coded in the
-longest known context; if it has not followed there, an escape is coded
-(method C: as many escape counts as different bytes seen) and the search goes
-on in the shorter context without the symbols that the longer one has ruled
-out; below the shortest, all bytes are alike.  The trie's depth bounds it: at
-most 2**24 counts, whatever the corpus.  Training counts are pre-aggregated in
-the tasks, so code lengths of all texts are sums over a table.
-
-The unigram counts do grow with the corpus.  Tasks emit the distinct words of a
-block of texts (64-bit hashes), cut into ranges of the hash; each range is
-summed in one group, and the sums go back to the blocks that asked for them.
+The byte model is a trie of all contexts of up to ``CONTEXT`` bytes that occur in
+the training texts, with counts of what follows: a byte or, as symbol 256, the
+end of the text.  A symbol is coded in the longest known context; if it has not
+followed there, an escape is coded (method C: as many escape counts as different
+symbols seen) and the search goes on in the shorter context without the symbols
+that the longer one has ruled out; below the shortest, all symbols are alike.
+Whatever followed a context also followed its shorter ones, so the symbols ruled
+out in a context are those seen in the one before it, and their counts there are
+one sum per longer context.
+
+The trie grows with the corpus and is nowhere whole.  Tasks emit the distinct
+grams (context and symbol, one 64-bit number) of a block of texts, dealt by a
+hash of the context; each share is summed in one group, the sums of what longer
+contexts rule out come from a join of the grams with those a byte shorter, and
+the counts go back to the blocks that asked for them.  The unigram counts take
+the same way, by ranges of the words' 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm.frames import saved, table
-from telemetry_lake.llm.text import chunks, crc_remainder, word_hashes
+from telemetry_lake.llm.text import chunks, crc_remainder, mix, word_hashes
 
 FOLDS, HELD = 7, 2
-BLOCK_BYTES = 16 << 20  # text whose words are looked up together
-CONTEXT = 2  # bytes
-_GRAMS = 1 << 24
+BLOCK_BYTES = 16 << 20  # text whose words and grams are looked up together
+CONTEXT = 5  # bytes; at most 6 fit into a gram's number
+END = 256  # the symbol after the last byte
+SYMBOLS = 257
+_ORDER, _SYMBOL = 57, 9  # a gram: order, up to 48 bits of context (last byte lowest), 9 bits of symbol
+_CONTEXT_BITS = (1 << 48) - 1
+_SLICE = 1 << 20  # positions worked on at a time
+_ROW_BYTES = 32  # what a row without text counts towards a block
 
 
 # --- the byte model -------------------------------------------------------------------
 
 
-def gram_codes(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """(byte before last, byte before, byte) of every position as one number; a text begins after two line ends."""
-    n = len(data)
-    wide = data.astype(np.int64)
-    one, two = np.full(n, 10), np.full(n, 10)
-    one[1:], two[2:] = wide[:-1], wide[:-2]
-    starts = off[:-1][off[:-1] < n]
-    one[starts] = 10
-    two[starts] = 10
-    second = starts + 1
-    second = second[second < n]
-    two[second] = 10
-    return two << 16 | one << 8 | wide
-
-
-class ByteModel:
-    """Code lengths (log10 probabilities) of every byte in every known context, symbols excluded."""
-
-    def __init__(self, codes: np.ndarray, counts: np.ndarray):
-        """``codes`` are distinct grams, ``counts`` how often they occur in training."""
-        two = np.zeros((256, 256), dtype=np.float64)  # counts after one byte
-        np.add.at(two, ((codes >> 8) & 255, codes & 255), counts)
-        zero = two.sum(axis=0)  # counts without context
-        self.flat = np.log10(self._row(zero[None], None, np.full((1, 256), 1 / 256))[0])
-        seen1 = two.sum(axis=1) > 0
-        lowest = np.tile(self._row(zero[None], None, np.full((1, 256), 1 / 256)), (256, 1))
-        order1 = np.where(seen1[:, None], self._blend(two, zero, lowest), lowest)
-        self.order1 = np.log10(order1)
-        contexts = np.unique(codes >> 8)
-        self.row = np.full(1 << 16, -1, dtype=np.int32)
-        self.row[contexts] = np.arange(len(contexts))
-        self.order2 = np.empty((len(contexts), 256), dtype=np.float32)
-        place = np.searchsorted(contexts, codes >> 8)
-        for k in range(0, len(contexts), 4096):
-            part = contexts[k : k + 4096]
-            three = np.zeros((len(part), 256))
-            here = (place >= k) & (place < k + 4096)
-            three[place[here] - k, codes[here] & 255] = counts[here]
-            below = part & 255
-            self.order2[k : k + len(part)] = np.log10(self._deep(three, two[below], zero))
-
-    @staticmethod
-    def _row(counts: np.ndarray, excluded: np.ndarray | None, below: np.ndarray) -> np.ndarray:
-        """Probabilities in one context: seen symbols by count, an escape shared out as ``below``.
-
-        Method C; ``excluded`` symbols get nothing here and are no part of the
-        totals; ``below`` must be free of them and of this context's symbols.
-        """
-        live = counts if excluded is None else np.where(excluded, 0.0, counts)
-        kinds = (live > 0).sum(axis=1, keepdims=True)
-        total = live.sum(axis=1, keepdims=True) + kinds
-        open_ = below if excluded is None else np.where(excluded, 0.0, below)
-        rest = np.where(live > 0, 0.0, open_)
-        mass = rest.sum(axis=1, keepdims=True)
-        escape = np.where(total > 0, kinds / np.maximum(total, 1e-300), 1.0)
-        # nothing left to escape to: no escape is coded; nothing seen: only the escape
-        escape = np.where(mass > 0, escape, 0.0)
-        seen = np.where(kinds > 0, live / np.maximum(np.where(mass > 0, total, total - kinds), 1e-300), 0.0)
-        return seen + escape * rest / np.maximum(mass, 1e-300)
-
-    def _blend(self, counts: np.ndarray, zero: np.ndarray, lowest: np.ndarray) -> np.ndarray:
-        """Order 1 over order 0 over equal bytes; what order 1 has seen is excluded below."""
-        excluded = counts > 0
-        low = self._row(np.broadcast_to(zero, counts.shape), excluded, np.full(counts.shape, 1 / 256))
-        return self._row(counts, None, low)
-
-    def _deep(self, three: np.ndarray, two: np.ndarray, zero: np.ndarray) -> np.ndarray:
-        """Order 2 over order 1 over order 0, each without what the longer contexts have seen."""
-        first = three > 0
-        second = first | (two > 0)
-        low = self._row(np.broadcast_to(zero, three.shape), second, np.full(three.shape, 1 / 256))
-        middle = self._row(two, first, low)
-        return self._row(three, None, middle)
-
-    def lengths(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of each gram's last byte."""
-        row = self.row[codes >> 8]
-        known = row >= 0
-        out = self.order1[(codes >> 8) & 255, codes & 255]
-        out[known] = self.order2[row[known], codes[known] & 255]
-        return out
+def symbols(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts with an END after each, and where each text starts."""
+    rows = np.arange(len(off) - 1)
+    out = np.full(len(data) + len(rows), END, dtype=np.int16)
+    byte = np.ones(len(out), dtype=bool)
+    byte[off[1:] + rows] = False
+    out[byte] = data
+    return out, off[:-1] + rows
+
+
+def gram_slices(stream: np.ndarray, starts: np.ndarray, context: int):
+    """(first position, grams) of slices of ``stream``: each symbol after its longest context within its text."""
+    for a in range(0, len(stream), _SLICE):
+        b = min(a + _SLICE, len(stream))
+        begin = np.zeros(b - a, dtype=np.int64)
+        begin[0] = starts[np.searchsorted(starts, a, "right") - 1]
+        inside = starts[np.searchsorted(starts, a, "right") : np.searchsorted(starts, b)]
+        begin[inside - a] = inside
+        within = np.arange(a, b) - np.maximum.accumulate(begin)
+        codes = stream[a:b].astype(np.int64) | np.minimum(within, context) << _ORDER
+        for j in range(1, context + 1):
+            back = np.zeros(b - a, dtype=np.int64)
+            first = max(a, j)
+            if first < b:
+                back[first - a :] = stream[first - j : b - j]
+            codes |= np.where(within >= j, back, 0) << (_SYMBOL + 8 * (j - 1))
+        yield a, codes
+
+
+def shorter(codes: np.ndarray) -> np.ndarray:
+    """The same symbols after contexts without their oldest byte (no gram of order 0 among them)."""
+    order = (codes >> _ORDER) - 1
+    kept = (codes >> _SYMBOL) & ((np.int64(1) << 8 * order) - 1)
+    return order << _ORDER | kept << _SYMBOL | codes & 511
+
+
+def add_up(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``codes``, sorted, with the sums of their ``counts``."""
+    if not len(codes):
+        return codes, counts
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+    return codes[first], np.add.reduceat(counts[order], first)
+
+
+def all_orders(codes: np.ndarray, counts: np.ndarray, context: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of grams of every order, sorted, from those after the longest contexts."""
+    levels, longer = [], (codes[:0], counts[:0])
+    for k in range(context, -1, -1):
+        own = codes >> _ORDER == k
+        longer = add_up(np.append(codes[own], shorter(longer[0])), np.append(counts[own], longer[1]))
+        levels.append(longer)
+    return tuple(np.concatenate(x) for x in zip(*levels[::-1], strict=True))
+
+
+def context_sums(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts of sorted, distinct grams, with the sum of counts and the number of symbols seen."""
+    contexts = codes >> _SYMBOL
+    if not len(contexts):
+        return contexts, counts, counts
+    first = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1]))
+    return contexts[first], np.add.reduceat(counts, first), np.diff(np.append(first, len(codes)))
+
+
+def log_probabilities(codes, counts, contexts, total, kinds, ruled_out) -> np.ndarray:
+    """log10 probability of each gram's symbol after its context.
+
+    ``codes`` are sorted and hold the shorter grams of each too; ``contexts``
+    (sorted) are theirs, with the sum of counts, the symbols seen and the sum of
+    what these symbols count in the context a byte shorter; all 0 if unknown.
+    """
+    out = np.zeros(len(codes))
+    todo, at = np.arange(len(codes)), codes
+    seen, gone = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)  # ruled out: symbols, their counts
+    while len(todo):
+        place = np.searchsorted(contexts, at >> _SYMBOL)
+        count = counts[np.searchsorted(codes, at)]
+        known = total[place] > 0
+        left = total[place] - gone
+        escape = np.where(kinds[place] == SYMBOLS, 0, kinds[place] - seen)
+        hit = count > 0
+        out[todo[hit]] += np.log10(count[hit]) - np.log10((left + escape)[hit])
+        missed = ~hit & known & (escape > 0)  # nothing new was seen here: the escape is certain
+        out[todo[missed]] += np.log10(escape[missed]) - np.log10((left + escape)[missed])
+        lowest = ~hit & (at >> _ORDER == 0)
+        out[todo[lowest]] -= np.log10(SYMBOLS - kinds[place[lowest]])
+        on = ~hit & ~lowest
+        seen, gone = np.where(known, kinds[place], 0)[on], np.where(known, ruled_out[place], 0)[on]
+        todo, at = todo[on], shorter(at[on])
+    return out
 
 
 # --- counting -------------------------------------------------------------------------
 
-_PASS = (
-    "kind int, block bigint, part int, doc_id bigint, text_key bigint, n_tokens bigint, keys binary, counts binary"
-)
+_PASS = "kind int, block bigint, part int, doc_id bigint, text string, keys binary, counts binary"
 WORDS, DOCS, GRAMS = 0, 1, 2
 
 
-def count_blocks(docs: DataFrame, parts: int, folds: int, held: int) -> DataFrame:
+def share_of(numbers: np.ndarray, parts: int) -> np.ndarray:
+    """The highest bits of 64-bit numbers: one of ``parts`` (a power of two)."""
+    if parts == 1:
+        return np.zeros(len(numbers), np.int64)
+    return (numbers >> np.uint64(64 - (parts.bit_length() - 1))).astype(np.int64)
+
+
+def _shares(place: np.ndarray):
+    """(part, slice) of each part in sorted ``place``."""
+    found, first = np.unique(place, return_index=True)
+    last = np.append(first, len(place))[1:]
+    for part, a, b in zip(found.tolist(), first, last, strict=True):
+        yield part, slice(a, b)
+
+
+def count_blocks(docs: DataFrame, parts: int, folds: int, held: int, context: int = CONTEXT) -> DataFrame:
     """One pass over the texts; rows of three kinds.
 
     WORDS: the distinct words of a block whose hash lies in range ``part``
-    (sorted) with their training counts.  DOCS: a text as positions among its
-    block's sorted distinct words with their frequencies.  GRAMS: byte grams of
-    the block's training texts whose code lies in range ``part``.
+    (sorted) with their training counts.  GRAMS: its distinct grams of all
+    orders whose context's hash lies in ``part`` (sorted), likewise.  DOCS: the
+    block's texts.
     """
-    shift = np.uint64(64 - (parts.bit_length() - 1)) if parts > 1 else None
 
     def emit(block, state):
         hashes = np.concatenate(state["hashes"])
-        sizes = np.concatenate(state["sizes"])
-        train = np.concatenate(state["train"])
         words, inverse = np.unique(hashes, return_inverse=True)
-        learn = np.bincount(inverse[np.repeat(train, sizes)], minlength=len(words)).astype("<i8")
-        of_part = (words >> shift).astype(np.int64) if parts > 1 else np.zeros(len(words), np.int64)
-        cut = np.searchsorted(of_part, np.arange(parts + 1))
-        rows = []
-        for p in range(parts):
-            if cut[p] < cut[p + 1]:
-                span = slice(cut[p], cut[p + 1])
-                rows.append((WORDS, block, p, None, None, None, words[span].astype("<u8").tobytes(), learn[span].tobytes()))
-        first = np.append(0, np.cumsum(sizes))
-        ids = [i for chunk in state["ids"] for i in chunk]
-        text_keys = [i for chunk in state["text_keys"] for i in chunk]
-        for k, (doc_id, text_key) in enumerate(zip(ids, text_keys, strict=True)):
-            own, often = np.unique(inverse[first[k] : first[k + 1]], return_counts=True)
-            rows.append((DOCS, block, None, doc_id, text_key, int(sizes[k]) + 1, own.astype("<i4").tobytes(), often.astype("<i4").tobytes()))
-        if state["grams"]:
-            grams = np.concatenate(state["grams"])
-            codes, place = np.unique(grams[:, 0], return_inverse=True)
-            often = np.bincount(place, weights=grams[:, 1]).astype("<i8")
-            of_part = codes * parts // _GRAMS
-            cut = np.searchsorted(of_part, np.arange(parts + 1))
-            for p in range(parts):
-                if cut[p] < cut[p + 1]:
-                    span = slice(cut[p], cut[p + 1])
-                    rows.append((GRAMS, block, p, None, None, None, codes[span].astype("<i8").tobytes(), often[span].tobytes()))
-        types = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        names = ["kind", "block", "part", "doc_id", "text_key", "n_tokens", "keys", "counts"]
-        for k in range(0, len(rows), 4096):
-            columns = zip(*rows[k : k + 4096], strict=True)
+        learn = np.bincount(inverse[np.concatenate(state["train"])], minlength=len(words)).astype("<i8")
+        rows = [(WORDS, block, p, None, None, words[s].astype("<u8").tobytes(), learn[s].tobytes())
+                for p, s in _shares(share_of(words, parts))]
+        grams, often = all_orders(*(np.concatenate(x) for x in zip(*state["grams"], strict=True)), context)
+        place = share_of(mix((grams >> _SYMBOL).astype(np.uint64)), parts)
+        order = np.argsort(place, kind="stable")
+        grams, often = grams[order], often[order]
+        rows += [(GRAMS, block, p, None, None, grams[s].astype("<i8").tobytes(), often[s].astype("<i8").tobytes())
+                 for p, s in _shares(place[order])]
+        types = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
+        names = ["kind", "block", "part", "doc_id", "text", "keys", "counts"]
+        for k in range(0, len(rows), 1024):
+            columns = zip(*rows[k : k + 1024], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+        for ids, texts in state["rows"]:
+            n = len(ids)
+            none = [pa.nulls(n, t) for t in (pa.int32(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
+                [pa.array(np.full(n, DOCS, np.int32)), pa.array(np.full(n, block)), none[0], ids, texts, *none[1:]], names=names
             )
 
     def run(batches):
         from pyspark import TaskContext
 
-        fresh = lambda: {"hashes": [], "sizes": [], "train": [], "ids": [], "text_keys": [], "grams": [], "bytes": 0}
+        fresh = lambda: {"hashes": [], "train": [], "rows": [], "grams": [], "bytes": 0}
         task, number, state = TaskContext.get().partitionId(), 0, fresh()
         for batch in batches:
             for row, end, data, off in chunks(batch):
-                ids = batch.column(0).slice(row, end - row).to_pylist()
-                train = crc_remainder(ids, folds) != held
+                ids, texts = (batch.column(k).slice(row, end - row) for k in (0, 1))
+                train = crc_remainder(ids.to_pylist(), folds) != held
                 hashes, first = word_hashes(data, off)
                 state["hashes"].append(hashes)
-                state["sizes"].append(np.diff(first))
-                state["train"].append(train)
-                state["ids"].append(ids)
-                state["text_keys"].append(batch.column(2).slice(row, end - row).to_pylist())
-                codes = gram_codes(data, off)[np.repeat(train, np.diff(off))]
-                if len(codes):
-                    kinds, often = np.unique(codes, return_counts=True)
-                    state["grams"].append(np.stack([kinds, often], axis=1))
-                state["bytes"] += len(data)
+                state["train"].append(np.repeat(train, np.diff(first)))
+                state["rows"].append((ids, texts))
+                stream, starts = symbols(data, off)
+                learn = np.repeat(train, np.diff(off) + 1)
+                for a, codes in gram_slices(stream, starts, context):
+                    learned = learn[a : a + len(codes)]
+                    state["grams"].append(np.unique(codes[learned], return_counts=True))
+                    other = np.unique(codes[~learned])
+                    state["grams"].append((other, np.zeros(len(other), np.int64)))
+                state["bytes"] += len(data) + _ROW_BYTES * (end - row)
                 if state["bytes"] >= BLOCK_BYTES:
                     yield from emit(task << 32 | number, state)
                     number, state = number + 1, fresh()
-        if state["ids"]:
+        if state["rows"]:
             yield from emit(task << 32 | number, state)
 
-    return docs.select("doc_id", "text", "text_key").mapInArrow(run, _PASS)
+    return docs.select("doc_id", "text").mapInArrow(run, _PASS)
 
 
 def _numbers(column: pa.Array, kind: str) -> list[np.ndarray]:
@@ -234,113 +252,167 @@ def sum_words(words: DataFrame) -> DataFrame:
     )
 
 
-def sum_grams(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """All byte grams of the training texts with their counts: at most 2**24 rows of 16 bytes."""
+def sum_grams(grams: DataFrame) -> DataFrame:
+    """(part, code, n) of the grams that occur in training texts."""
 
     def total(t: pa.Table) -> pa.Table:
-        codes, place = np.unique(np.concatenate(_numbers(t.column("keys"), "<i8")), return_inverse=True)
-        sums = np.bincount(place, weights=np.concatenate(_numbers(t.column("counts"), "<i8"))).astype("<i8")
-        return pa.table({"keys": pa.array([codes.astype("<i8").tobytes()]), "counts": pa.array([sums.tobytes()])})
+        codes, sums = add_up(*(np.concatenate(_numbers(t.column(c), "<i8")) for c in ("keys", "counts")))
+        codes, sums = codes[sums > 0], sums[sums > 0]
+        part = np.full(len(codes), t.column("part")[0].as_py(), np.int32)
+        return pa.table({"part": part, "code": codes, "n": sums})
+
+    return grams.groupBy("part").applyInArrow(total, "part int, code bigint, n bigint")
+
+
+def ruled_out(model: DataFrame) -> DataFrame:
+    """(part, context, n): what the symbols seen in a context count in the context a byte shorter.
 
-    rows = grams.groupBy("part").applyInArrow(total, "keys binary, counts binary").collect()
-    none = np.zeros(0, np.int64)
-    codes = np.concatenate([none, *(np.frombuffer(r["keys"], "<i8") for r in rows)])
-    counts = np.concatenate([none, *(np.frombuffer(r["counts"], "<i8") for r in rows)])
-    order = np.argsort(codes)
-    return codes[order], counts[order]
+    A gram has at most 256 grams that are a byte longer, so no key of the join is hot.
+    """
+    order = F.expr(f"cast(shiftright(code, {_ORDER}) - 1 as int)")
+    kept = F.expr(f"shiftright(code, {_SYMBOL}) & (shiftleft(1L, 8 * up) - 1L)")
+    longer = model.where(F.col("code") >= F.lit(1 << _ORDER)).select("part", "code", order.alias("up"))
+    longer = longer.withColumn("kept", kept).selectExpr(
+        "part", f"shiftright(code, {_SYMBOL}) as context",
+        f"shiftleft(cast(up as bigint), {_ORDER}) | shiftleft(kept, {_SYMBOL}) | (code & 511L) as short",
+    )
+    return longer.join(model.select(F.col("code").alias("short"), "n"), "short").groupBy("part", "context").agg(
+        F.sum("n").alias("n")
+    )
+
+
+def look_up(requests: DataFrame, model: DataFrame, gone: DataFrame) -> DataFrame:
+    """(block, keys, counts, sums) for each request: counts of its grams; three sums for each of its contexts."""
+    known = model.selectExpr("part", "true as gram", "code as key", "n").unionByName(
+        gone.selectExpr("part", "false as gram", "context as key", "n")
+    )
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        gram = right.column("gram").to_numpy(zero_copy_only=False).astype(bool)
+        key, n = right.column("key").to_numpy().astype(np.int64), right.column("n").to_numpy().astype(np.int64)
+        codes, counts = add_up(key[gram], n[gram])
+        contexts, total, kinds = context_sums(codes, counts)
+        longer, gone = add_up(key[~gram], n[~gram])
+        out_counts, out_sums = [], []
+        for asked in _numbers(left.column("keys"), "<i8"):
+            out_counts.append(_at(codes, asked, counts).tobytes())
+            own = np.unique(asked >> _SYMBOL)
+            out_sums.append(np.concatenate([_at(contexts, own, total), _at(contexts, own, kinds), _at(longer, own, gone)]).tobytes())
+        return pa.table({"block": left.column("block"), "keys": left.column("keys"),
+                         "counts": pa.array(out_counts, pa.binary()), "sums": pa.array(out_sums, pa.binary())})
+
+    return requests.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(
+        answer, "block bigint, keys binary, counts binary, sums binary"
+    )
 
 
-def score_blocks(doc_rows: DataFrame, sums: DataFrame) -> DataFrame:
-    """(doc_id, text_key, n_tokens, known, logs) of the words of each text: known occurrences and sum of log10(c + 1)."""
+def _at(keys: np.ndarray, asked: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Values of ``asked`` among sorted ``keys``, 0 where missing."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64)
+    place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[place] == asked, values[place], 0).astype(np.int64)
+
+
+def score_blocks(docs: DataFrame, words: DataFrame, grams: DataFrame, context: int = CONTEXT) -> DataFrame:
+    """(doc_id, n_tokens, n_known, logs, score) of each text of each block.
+
+    ``n_known`` and ``logs`` are the known occurrences and the sum of log10(c + 1) of its words.
+    """
+    answers = words.selectExpr("block", "part", "cast(null as binary) as keys", "counts", "cast(null as binary) as sums")
+    answers = answers.unionByName(grams.selectExpr("block", "cast(null as int) as part", "keys", "counts", "sums"))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("part")
-        counts = np.concatenate([np.zeros(0, np.int64), *_numbers(right.column("counts"), "<i8")])
+        none = np.zeros(0, np.int64)
+        of_words = right.filter(right.column("part").is_valid()).sort_by("part")
+        counts = np.concatenate([none, *_numbers(of_words.column("counts"), "<i8")])
         logs, known = np.log10(counts + 1.0), counts > 0
-        n_known, total = [], []
-        for own, often in zip(_numbers(left.column("keys"), "<i4"), _numbers(left.column("counts"), "<i4"), strict=True):
-            n_known.append(int(often[known[own]].sum()))
-            total.append(float(logs[own] @ often))
+        codes, logp = _block_model(right.filter(right.column("part").is_null()))
+        batch = left.select(["doc_id", "text"]).combine_chunks().to_batches(max_chunksize=left.num_rows)[0]
+        found = [(row, *word_hashes(data, off)) for row, _, data, off in chunks(batch)]
+        words = np.unique(np.concatenate([h for _, h, _ in found]))
+        n_tokens, n_known, sums, score = [], [], [], []
+        for (_, hashes, first), (_, _, data, off) in zip(found, chunks(batch), strict=True):
+            place = np.searchsorted(words, hashes)
+            n_tokens.append(np.diff(first) + 1)
+            n_known.append(np.diff(np.append(0, np.cumsum(known[place]))[first]))
+            sums.append([float(logs[place[a:b]].sum()) for a, b in zip(first, first[1:])])
+            stream, starts = symbols(data, off)
+            each = np.empty(len(stream))
+            for a, here in gram_slices(stream, starts, context):
+                kinds, inverse = np.unique(here, return_inverse=True)
+                each[a : a + len(here)] = logp[np.searchsorted(codes, kinds)][inverse]
+            score.append(np.add.reduceat(each, starts))
         return pa.table({
-            "doc_id": left.column("doc_id"), "text_key": left.column("text_key"), "n_tokens": left.column("n_tokens"),
-            "n_known": pa.array(n_known, pa.int64()), "logs": pa.array(total, pa.float64()),
+            "doc_id": left.column("doc_id"), "n_tokens": np.concatenate(n_tokens).astype(np.int64),
+            "n_known": np.concatenate(n_known).astype(np.int64), "logs": np.concatenate(sums).astype(np.float64),
+            "score": np.concatenate(score),
         })
 
-    return doc_rows.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(
-        run, "doc_id bigint, text_key bigint, n_tokens bigint, n_known bigint, logs double"
+    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        run, "doc_id bigint, n_tokens bigint, n_known bigint, logs double, score double"
     )
 
 
-def byte_scores(docs: DataFrame, model: ByteModel, folds: int, held: int) -> DataFrame:
-    """(doc_id, text_key, score) of every text, and of the end that follows it.
-
-    The end is coded as a line end, which is also what a text starts after.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        for batch in batches:
-            for row, end, data, off in chunks(batch):
-                codes = gram_codes(data, off)
-                total = np.append(0.0, np.cumsum(shared.value.lengths(codes)))
-                # the end: the last byte before it as context
-                last = np.full(end - row, 10, dtype=np.int64)
-                some = np.diff(off) > 0
-                last[some] = data[off[1:][some] - 1]
-                closing = shared.value.order1[last, 10]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, end - row), batch.column(2).slice(row, end - row),
-                     pa.array(total[off[1:]] - total[off[:-1]] + closing)],
-                    names=["doc_id", "text_key", "score"],
-                )
-
-    return docs.select("doc_id", "text", "text_key").mapInArrow(run, "doc_id bigint, text_key bigint, score double")
+def _block_model(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of a block, sorted, and the log10 probabilities of their symbols."""
+    keys, counts, sums = (_numbers(answers.column(c), "<i8") for c in ("keys", "counts", "sums"))
+    own = np.concatenate([np.unique(k >> _SYMBOL) for k in keys])
+    sums = np.concatenate([s.reshape(3, -1) for s in sums], axis=1)
+    by, order = np.argsort(own), np.argsort(np.concatenate(keys))
+    codes, counts = np.concatenate(keys)[order], np.concatenate(counts)[order]
+    return codes, log_probabilities(codes, counts, own[by], *sums[:, by])
 
 
 def ranges(size: int, shuffles: int) -> int:
-    """Ranges of the word hashes, a power of two: no fewer than the blocks of ``size`` bytes or the shuffle partitions.
+    """Shares of the words and grams, a power of two: no fewer than the blocks of ``size`` bytes or the shuffle partitions.
 
-    A range so holds about as many words as one block, however large the corpus.
+    A share so holds about as many words and grams as one block, however large the corpus.
     """
     return 1 << (max(1, shuffles, -(-size // BLOCK_BYTES)) - 1).bit_length()
 
 
-def lm_scores(docs: DataFrame, folds: int = FOLDS, held: int = HELD) -> DataFrame:
+def lm_scores(docs: DataFrame, folds: int = FOLDS, held: int = HELD, context: int = CONTEXT) -> DataFrame:
     """Score every text: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Rows whose crc32 remainder is ``held`` are scored but never learned from; a
     row without doc_id is scored and learned from like any other.  NULL and
     empty texts have the end as their only token; texts are read whole; of rows
-    repeated with the same doc_id each is learned from and scored, ``score``
-    being matched by doc_id and the text's 64-bit hash; without training texts all counts are 0.
+    repeated with the same doc_id each is learned from and scored by itself;
+    without training texts all counts are 0 and all symbols alike.
     An empty table gives no rows; other columns are ignored.
 
-    Words are told apart by 64-bit hashes.
+    ``score`` adds up the symbols of a text as it stands (letters in their own
+    case) and its end, so the probabilities of all byte strings add up to 1.
+    ``context`` (0 to 6) is the longest context in bytes.  Words are told apart
+    by 64-bit hashes, grams by their bytes.
     """
+    if not 0 <= context <= 6:
+        raise ValueError("context must be 0 to 6 bytes")
     spark: SparkSession = docs.sparkSession
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = ranges(int(size), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counted = saved(count_blocks(keyed, parts, folds, held), "lm_counts")
+    size, rows = docs.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    size = int(size or 0) + _ROW_BYTES * rows
+    parts = ranges(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    counted = saved(count_blocks(docs, parts, folds, held, context), "lm_counts")
     sums = saved(sum_words(counted.where(F.col("kind") == WORDS).select("block", "part", "keys", "counts")), "lm_sums")
     v, n = sums.where("block is null").agg(F.sum("n_distinct"), F.sum("n_total")).first()
-    texts = keyed.select("doc_id", _held(folds, held).alias("held"))
-    ends = texts.where("not held").count()  # the end is a token of every training text
+    ends = docs.select(_held(folds, held).alias("held")).where("not held").count()  # a token of every training text
     n, v = (n or 0) + ends, (v or 0) + (1 if ends else 0)
-    words = score_blocks(
-        counted.where(F.col("kind") == DOCS).select("block", "doc_id", "text_key", "n_tokens", "keys", "counts"),
+    grams = counted.where(F.col("kind") == GRAMS)
+    model = saved(sum_grams(grams.select("part", "keys", "counts")), "lm_model")
+    scored = score_blocks(
+        counted.where(F.col("kind") == DOCS).select("block", "doc_id", "text"),
         sums.where("block is not null").select("block", "part", "counts"),
+        look_up(grams.select("block", "part", "keys"), model, ruled_out(model)),
+        context,
     )
-    base = words.select(
-        "doc_id", "text_key", "n_tokens",
+    return scored.select(
+        "doc_id", _held(folds, held).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.lit(1 if ends else 0)).alias("n_known"),
+        F.lit(n).cast("bigint").alias("train_tokens"),
         (F.col("logs") + F.lit(float(np.log10(ends + 1.0))) - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1.0))))
         .alias("base_score"),
-    )
-    model = ByteModel(*sum_grams(counted.where(F.col("kind") == GRAMS).select("part", "keys", "counts")))
-    return _side_by_side(base, byte_scores(keyed, model, folds, held)).select(
-        "doc_id", _held(folds, held).alias("held_out"), "n_tokens", "n_known",
-        F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score",
+        "score",
     )
 
 
@@ -348,20 +420,6 @@ def _held(folds: int, held: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False))
 
 
-def _side_by_side(base: DataFrame, scored: DataFrame) -> DataFrame:
-    """Join on doc_id and text; rows that repeat both have the same scores and are numbered, so each meets one."""
-    from pyspark.sql import Window
-
-    left = base.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy("n_tokens")))
-    right = scored.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy("score")))
-    both = (left.alias("l")).join(
-        right.alias("r"),
-        F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.text_key") == F.col("r.text_key"))
-        & (F.col("l.nth") == F.col("r.nth")),
-    )
-    return both.select("l.doc_id", "l.n_tokens", "l.n_known", "l.base_score", "r.score")
-
-
 def op5_lm_scoring(spark, sf_dir):
     """Every whole text of ``documents``."""
     return lm_scores(table(spark, sf_dir, "documents"))

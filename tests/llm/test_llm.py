@@ -283,19 +283,80 @@ def test_lm_word_ranges_grow_with_the_corpus():
         assert blocks <= lm.ranges(blocks * lm.BLOCK_BYTES, 8) < 2 * blocks
 
 
-def test_byte_model_is_a_distribution(texts):
-    data = "\n".join(list(texts.values())[:40]).encode()
-    arr = np.frombuffer(data, np.uint8)
-    codes, counts = np.unique(lm.gram_codes(arr, np.array([0, len(arr)])), return_counts=True)
-    model = lm.ByteModel(codes, counts)
-    assert np.allclose((10.0 ** model.order2).sum(axis=1), 1, atol=1e-4)
-    assert np.allclose((10.0 ** model.order1).sum(axis=1), 1)
-    assert np.allclose((10.0 ** model.flat).sum(), 1)
-    # method C by hand: in the first context, a byte seen n times of t with k kinds has n / (t + k)
-    context = int(codes[0] >> 8)
-    here = codes >> 8 == context
-    expected = counts[0] / (counts[here].sum() + here.sum())
-    assert np.isclose(10.0 ** model.lengths(codes[:1])[0], expected, rtol=1e-5)
+def brute_ppm(rows, context, folds=7, held=2):
+    """log10 probability of each text and its end: every context a dictionary, symbols excluded one by one."""
+    seen = defaultdict(Counter)
+    streams = [(i, [*(t or "").encode(), "end"]) for i, t in rows]
+    for i, s in streams:
+        if i is None or zlib.crc32(str(i).encode()) % folds != held:
+            for at, symbol in enumerate(s):
+                for k in range(min(at, context) + 1):
+                    seen[tuple(s[at - k : at])][symbol] += 1
+    out = []
+    for i, s in streams:
+        total = 0.0
+        for at, symbol in enumerate(s):
+            excluded = set()
+            for k in range(min(at, context), -1, -1):
+                here = seen.get(tuple(s[at - k : at]), {})
+                live = {x: n for x, n in here.items() if x not in excluded}
+                if not live:
+                    continue
+                escape = 0 if len(here) == 257 else len(live)
+                if symbol in live:
+                    total += np.log10(live[symbol] / (sum(live.values()) + escape))
+                    break
+                total += np.log10(escape / (sum(live.values()) + escape))
+                excluded |= set(live)
+            else:
+                total -= np.log10(257 - len(excluded))
+        out.append((i, round(float(total), 6)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("context", [0, 2, 5, 6])
+def test_lm_scores_equal_brute_force_ppm(spark, texts, context):
+    short = [(i, t[:300]) for i, t in sorted(texts.items()) if t][:40]
+    rows = [*short, (900, None), (901, ""), (901, "twice"), (901, "twice"), (None, "no id é"), (902, "aaaaaaaaaaaaab"), (903, "\x00\x7f\n")]
+    got = [(r["doc_id"], round(r["score"], 6)) for r in lm.lm_scores(frame(spark, rows), context=context).collect()]
+    want = brute_ppm(rows, context)
+    assert [i for i, _ in sorted(got, key=str)] == [i for i, _ in want]
+    by = lambda pairs: sorted(((str(i), s) for i, s in pairs))
+    assert np.allclose([s for _, s in by(got)], [s for _, s in by(want)], atol=2e-6)
+
+
+def test_lm_scores_without_rows_or_training_texts(spark):
+    assert lm.lm_scores(frame(spark, [])).count() == 0
+    held = [i for i in range(50) if zlib.crc32(str(i).encode()) % lm.FOLDS == lm.HELD][:2]
+    got = {r["doc_id"]: r for r in lm.lm_scores(frame(spark, [(held[0], "ab c"), (held[1], None)])).collect()}
+    assert [round(got[i]["score"] / np.log10(257), 9) for i in held] == [-5, -1]
+    assert {(r["train_tokens"], r["n_known"]) for r in got.values()} == {(0, 0)}
+
+
+def test_lm_slices_do_not_change_grams(monkeypatch):
+    rng = np.random.default_rng(5)
+    data = rng.integers(0, 3, 500, dtype=np.uint8)
+    off = np.sort(np.append(rng.integers(0, 500, 60), [0, 0, 500, 500]))
+    stream, starts = lm.symbols(data, off)
+    whole = np.concatenate([c for _, c in lm.gram_slices(stream, starts, 5)])
+    for size in (1, 3, 7, 64):
+        monkeypatch.setattr(lm, "_SLICE", size)
+        assert (np.concatenate([c for _, c in lm.gram_slices(stream, starts, 5)]) == whole).all()
+
+
+def test_lm_model_is_a_distribution(texts):
+    """Every context's 257 symbols, asked for one by one, share a probability of 1."""
+    data = "".join(list(texts.values())[:40]).encode()
+    stream, starts = lm.symbols(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    codes = np.concatenate([c for _, c in lm.gram_slices(stream, starts, 3)])
+    codes, counts = lm.all_orders(*np.unique(codes, return_counts=True), 3)
+    asked = (np.unique(codes >> 9)[:, None] << 9 | np.arange(257)).ravel()
+    contexts, total, kinds = lm.context_sums(codes, counts)
+    long = codes >> 57 > 0
+    gone = np.zeros(len(contexts), np.int64)
+    np.add.at(gone, np.searchsorted(contexts, codes[long] >> 9), lm._at(codes, lm.shorter(codes[long]), counts))
+    logs = lm.log_probabilities(asked, lm._at(codes, asked, counts), contexts, total, kinds, gone)
+    assert np.allclose((10.0 ** logs).reshape(-1, 257).sum(axis=1), 1)
 
 
 # --- 6 exact dedup ------------------------------------------------------------------------
