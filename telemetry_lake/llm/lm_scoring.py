@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,6 +149,21 @@ def share_of(numbers: np.ndarray, parts: int) -> np.ndarray:
     return (numbers >> np.uint64(64 - (parts.bit_length() - 1))).astype(np.int64)
 
 
+def pack(numbers: np.ndarray) -> bytes:
+    """64-bit numbers by byte planes, compressed: grams are sorted and counts small, so most planes are nearly constant."""
+    planes = numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
+def _unpacked(column: pa.Array) -> list[np.ndarray]:
+    return [unpack(x.as_buffer()) for x in column]
+
+
 def _shares(place: np.ndarray):
     """(part, slice) of each part in sorted ``place``."""
     found, first = np.unique(place, return_index=True)
@@ -161,8 +177,8 @@ def count_blocks(docs: DataFrame, parts: int, folds: int, held: int, context: in
 
     WORDS: the distinct words of a block whose hash lies in range ``part``
     (sorted) with their training counts.  GRAMS: its distinct grams of all
-    orders whose context's hash lies in ``part`` (sorted), likewise.  DOCS: the
-    block's texts.
+    orders whose context's hash lies in ``part`` (sorted), likewise, packed.
+    DOCS: the block's texts.
     """
 
     def emit(block, state):
@@ -175,7 +191,7 @@ def count_blocks(docs: DataFrame, parts: int, folds: int, held: int, context: in
         place = share_of(mix((grams >> _SYMBOL).astype(np.uint64)), parts)
         order = np.argsort(place, kind="stable")
         grams, often = grams[order], often[order]
-        rows += [(GRAMS, block, p, None, None, grams[s].astype("<i8").tobytes(), often[s].astype("<i8").tobytes())
+        rows += [(GRAMS, block, p, None, None, pack(grams[s]), pack(often[s]))
                  for p, s in _shares(place[order])]
         types = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.binary()]
         names = ["kind", "block", "part", "doc_id", "text", "keys", "counts"]
@@ -256,7 +272,7 @@ def sum_grams(grams: DataFrame) -> DataFrame:
     """(part, code, n) of the grams that occur in training texts."""
 
     def total(t: pa.Table) -> pa.Table:
-        codes, sums = add_up(*(np.concatenate(_numbers(t.column(c), "<i8")) for c in ("keys", "counts")))
+        codes, sums = add_up(*(np.concatenate(_unpacked(t.column(c))) for c in ("keys", "counts")))
         codes, sums = codes[sums > 0], sums[sums > 0]
         part = np.full(len(codes), t.column("part")[0].as_py(), np.int32)
         return pa.table({"part": part, "code": codes, "n": sums})
@@ -294,10 +310,10 @@ def look_up(requests: DataFrame, model: DataFrame, gone: DataFrame) -> DataFrame
         contexts, total, kinds = context_sums(codes, counts)
         longer, gone = add_up(key[~gram], n[~gram])
         out_counts, out_sums = [], []
-        for asked in _numbers(left.column("keys"), "<i8"):
-            out_counts.append(_at(codes, asked, counts).tobytes())
+        for asked in _unpacked(left.column("keys")):
+            out_counts.append(pack(_at(codes, asked, counts)))
             own = np.unique(asked >> _SYMBOL)
-            out_sums.append(np.concatenate([_at(contexts, own, total), _at(contexts, own, kinds), _at(longer, own, gone)]).tobytes())
+            out_sums.append(pack(np.concatenate([_at(contexts, own, total), _at(contexts, own, kinds), _at(longer, own, gone)])))
         return pa.table({"block": left.column("block"), "keys": left.column("keys"),
                          "counts": pa.array(out_counts, pa.binary()), "sums": pa.array(out_sums, pa.binary())})
 
@@ -356,7 +372,7 @@ def score_blocks(docs: DataFrame, words: DataFrame, grams: DataFrame, context: i
 
 def _block_model(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Grams of a block, sorted, and the log10 probabilities of their symbols."""
-    keys, counts, sums = (_numbers(answers.column(c), "<i8") for c in ("keys", "counts", "sums"))
+    keys, counts, sums = (_unpacked(answers.column(c)) for c in ("keys", "counts", "sums"))
     own = np.concatenate([np.unique(k >> _SYMBOL) for k in keys])
     sums = np.concatenate([s.reshape(3, -1) for s in sums], axis=1)
     by, order = np.argsort(own), np.argsort(np.concatenate(keys))

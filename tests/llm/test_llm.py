@@ -344,6 +344,13 @@ def test_lm_slices_do_not_change_grams(monkeypatch):
         assert (np.concatenate([c for _, c in lm.gram_slices(stream, starts, 5)]) == whole).all()
 
 
+def test_lm_packed_numbers():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 7, 1000):
+        numbers = rng.integers(0, 1 << 60, n)
+        assert (lm.unpack(lm.pack(numbers)) == numbers).all()
+
+
 def test_lm_model_is_a_distribution(texts):
     """Every context's 257 symbols, asked for one by one, share a probability of 1."""
     data = "".join(list(texts.values())[:40]).encode()
