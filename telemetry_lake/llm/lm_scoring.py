@@ -36,7 +36,8 @@ END = 256  # the symbol after the last byte
 SYMBOLS = 257
 _ORDER, _SYMBOL = 57, 9  # a gram: order, up to 48 bits of context (last byte lowest), 9 bits of symbol
 _CONTEXT_BITS = (1 << 48) - 1
-_SLICE = 1 << 20  # positions worked on at a time
+_SLICE = 1 << 18  # positions, grams and words worked on at a time
+_LOOSE = 1 << 20  # counts of slices that are held before they are added up
 _ROW_BYTES = 32  # what a row without text counts towards a block
 
 
@@ -89,6 +90,26 @@ def add_up(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return codes[first], np.add.reduceat(counts[order], first)
 
 
+class Tally:
+    """Counts by number, collected slice by slice; holds the distinct numbers and at most ``_LOOSE`` more."""
+
+    def __init__(self, kind):
+        self.sums, self.loose, self.n = (np.zeros(0, kind), np.zeros(0, np.int64)), [], 0
+
+    def add(self, numbers: np.ndarray, counts: np.ndarray) -> None:
+        self.loose.append((numbers, counts))
+        self.n += len(numbers)
+        if self.n >= _LOOSE:
+            self.total()
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct numbers, sorted, and their counts."""
+        if self.loose:
+            self.sums = add_up(*(np.concatenate(x) for x in zip(self.sums, *self.loose, strict=True)))
+            self.loose, self.n = [], 0
+        return self.sums
+
+
 def all_orders(codes: np.ndarray, counts: np.ndarray, context: int) -> tuple[np.ndarray, np.ndarray]:
     """Counts of grams of every order, sorted, from those after the longest contexts."""
     levels, longer = [], (codes[:0], counts[:0])
@@ -116,23 +137,25 @@ def log_probabilities(codes, counts, contexts, total, kinds, ruled_out) -> np.nd
     what these symbols count in the context a byte shorter; all 0 if unknown.
     """
     out = np.zeros(len(codes))
-    todo, at = np.arange(len(codes)), codes
-    seen, gone = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)  # ruled out: symbols, their counts
-    while len(todo):
-        place = np.searchsorted(contexts, at >> _SYMBOL)
-        count = counts[np.searchsorted(codes, at)]
-        known = total[place] > 0
-        left = total[place] - gone
-        escape = np.where(kinds[place] == SYMBOLS, 0, kinds[place] - seen)
-        hit = count > 0
-        out[todo[hit]] += np.log10(count[hit]) - np.log10((left + escape)[hit])
-        missed = ~hit & known & (escape > 0)  # nothing new was seen here: the escape is certain
-        out[todo[missed]] += np.log10(escape[missed]) - np.log10((left + escape)[missed])
-        lowest = ~hit & (at >> _ORDER == 0)
-        out[todo[lowest]] -= np.log10(SYMBOLS - kinds[place[lowest]])
-        on = ~hit & ~lowest
-        seen, gone = np.where(known, kinds[place], 0)[on], np.where(known, ruled_out[place], 0)[on]
-        todo, at = todo[on], shorter(at[on])
+    for a in range(0, len(codes), _SLICE):
+        at = codes[a : a + _SLICE]
+        todo = np.arange(a, a + len(at))
+        seen, gone = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)  # ruled out: symbols, their counts
+        while len(todo):
+            place = np.searchsorted(contexts, at >> _SYMBOL)
+            count = counts[np.searchsorted(codes, at)]
+            known = total[place] > 0
+            left = total[place] - gone
+            escape = np.where(kinds[place] == SYMBOLS, 0, kinds[place] - seen)
+            hit = count > 0
+            out[todo[hit]] += np.log10(count[hit]) - np.log10((left + escape)[hit])
+            missed = ~hit & known & (escape > 0)  # nothing new was seen here: the escape is certain
+            out[todo[missed]] += np.log10(escape[missed]) - np.log10((left + escape)[missed])
+            lowest = ~hit & (at >> _ORDER == 0)
+            out[todo[lowest]] -= np.log10(SYMBOLS - kinds[place[lowest]])
+            on = ~hit & ~lowest
+            seen, gone = np.where(known, kinds[place], 0)[on], np.where(known, ruled_out[place], 0)[on]
+            todo, at = todo[on], shorter(at[on])
     return out
 
 
@@ -182,12 +205,10 @@ def count_blocks(docs: DataFrame, parts: int, folds: int, held: int, context: in
     """
 
     def emit(block, state):
-        hashes = np.concatenate(state["hashes"])
-        words, inverse = np.unique(hashes, return_inverse=True)
-        learn = np.bincount(inverse[np.concatenate(state["train"])], minlength=len(words)).astype("<i8")
-        rows = [(WORDS, block, p, None, None, words[s].astype("<u8").tobytes(), learn[s].tobytes())
+        words, learn = state["words"].total()
+        rows = [(WORDS, block, p, None, None, words[s].astype("<u8").tobytes(), learn[s].astype("<i8").tobytes())
                 for p, s in _shares(share_of(words, parts))]
-        grams, often = all_orders(*(np.concatenate(x) for x in zip(*state["grams"], strict=True)), context)
+        grams, often = all_orders(*state["grams"].total(), context)
         place = share_of(mix((grams >> _SYMBOL).astype(np.uint64)), parts)
         order = np.argsort(place, kind="stable")
         grams, often = grams[order], often[order]
@@ -208,23 +229,25 @@ def count_blocks(docs: DataFrame, parts: int, folds: int, held: int, context: in
     def run(batches):
         from pyspark import TaskContext
 
-        fresh = lambda: {"hashes": [], "train": [], "rows": [], "grams": [], "bytes": 0}
+        fresh = lambda: {"words": Tally(np.uint64), "rows": [], "grams": Tally(np.int64), "bytes": 0}
         task, number, state = TaskContext.get().partitionId(), 0, fresh()
         for batch in batches:
             for row, end, data, off in chunks(batch):
                 ids, texts = (batch.column(k).slice(row, end - row) for k in (0, 1))
                 train = crc_remainder(ids.to_pylist(), folds) != held
                 hashes, first = word_hashes(data, off)
-                state["hashes"].append(hashes)
-                state["train"].append(np.repeat(train, np.diff(first)))
+                learn = np.repeat(train, np.diff(first))
+                state["words"].add(*np.unique(hashes[learn], return_counts=True))
+                other = np.unique(hashes[~learn])
+                state["words"].add(other, np.zeros(len(other), np.int64))
                 state["rows"].append((ids, texts))
                 stream, starts = symbols(data, off)
                 learn = np.repeat(train, np.diff(off) + 1)
                 for a, codes in gram_slices(stream, starts, context):
                     learned = learn[a : a + len(codes)]
-                    state["grams"].append(np.unique(codes[learned], return_counts=True))
+                    state["grams"].add(*np.unique(codes[learned], return_counts=True))
                     other = np.unique(codes[~learned])
-                    state["grams"].append((other, np.zeros(len(other), np.int64)))
+                    state["grams"].add(other, np.zeros(len(other), np.int64))
                 state["bytes"] += len(data) + _ROW_BYTES * (end - row)
                 if state["bytes"] >= BLOCK_BYTES:
                     yield from emit(task << 32 | number, state)
@@ -346,7 +369,7 @@ def score_blocks(docs: DataFrame, words: DataFrame, grams: DataFrame, context: i
         codes, logp = _block_model(right.filter(right.column("part").is_null()))
         batch = left.select(["doc_id", "text"]).combine_chunks().to_batches(max_chunksize=left.num_rows)[0]
         found = [(row, *word_hashes(data, off)) for row, _, data, off in chunks(batch)]
-        words = np.unique(np.concatenate([h for _, h, _ in found]))
+        words = np.unique(np.concatenate([np.unique(h) for _, h, _ in found]))
         n_tokens, n_known, sums, score = [], [], [], []
         for (_, hashes, first), (_, _, data, off) in zip(found, chunks(batch), strict=True):
             place = np.searchsorted(words, hashes)

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20  # text bytes worked on at a time (at least one document)
+CHUNK_BYTES = 1 << 20  # text bytes worked on at a time (at least one document); a worker holds some 100 bytes for each
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

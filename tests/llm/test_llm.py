@@ -4,11 +4,13 @@ import base64
 import hashlib
 import json
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from telemetry_lake.llm import near_dedup as nd
 from telemetry_lake.llm import packing as pk
 from telemetry_lake.llm import quality as qu
 from telemetry_lake.llm import secrets as se
+from telemetry_lake.llm import text as tx
 from telemetry_lake.llm import toxicity as to
 from telemetry_lake.llm import url_filter as uf
 from telemetry_lake.llm.frames import components
@@ -344,6 +347,59 @@ def test_lm_slices_do_not_change_grams(monkeypatch):
         assert (np.concatenate([c for _, c in lm.gram_slices(stream, starts, 5)]) == whole).all()
 
 
+def test_lm_tally_adds_up_slice_by_slice(monkeypatch):
+    rng = np.random.default_rng(8)
+    for loose in (1, 50, 1 << 20):
+        monkeypatch.setattr(lm, "_LOOSE", loose)
+        tally, all_of, weights = lm.Tally(np.uint64), [], []
+        for n in (0, 7, 100, 1, 400):
+            numbers, counts = np.unique(rng.integers(0, 60, n, dtype=np.uint64), return_counts=True)
+            tally.add(numbers, counts)
+            all_of, weights = [*all_of, *numbers], [*weights, *counts]
+            assert sum(len(x) for x, _ in tally.loose) < loose  # no more is held than that
+        want, place = np.unique(np.array(all_of, np.uint64), return_inverse=True)
+        got, sums = tally.total()
+        assert got.dtype == np.uint64 and (got == want).all() and (sums == np.bincount(place, weights)).all()
+
+
+class Task:
+    """Stands for a DataFrame and catches the function that its tasks run."""
+
+    run = None
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        self.run = run
+        return self
+
+    select = lambda self, *a: self
+
+
+def traced(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] >> 20
+    finally:
+        tracemalloc.stop()
+
+
+def long_batch(size):
+    """Words of a vocabulary of 20,000 in texts of about 3 KB."""
+    rng = np.random.default_rng(9)
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(2, 10, 20_000)]
+    texts = [" ".join(words[k] for k in rng.zipf(1.3, 500) % len(words)) for _ in range(200)]
+    n = -(-size // sum(map(len, texts)))
+    return pa.record_batch({"doc_id": pa.array(range(n * len(texts)), pa.int64()), "text": pa.array(texts * n)})
+
+
+def test_lm_counting_of_a_block_needs_little_memory(monkeypatch):
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: type("T", (), {"partitionId": lambda self: 0})())
+    task, batch = Task(), long_batch(12 << 20)
+    monkeypatch.setattr(tx, "_powers", [])
+    lm.count_blocks(task, 64, lm.FOLDS, lm.HELD)
+    assert traced(lambda: [None for _ in task.run(iter([batch]))]) < 150  # MB; 218 before, with larger slices
+
+
 def test_lm_packed_numbers():
     rng = np.random.default_rng(6)
     for n in (0, 1, 7, 1000):
