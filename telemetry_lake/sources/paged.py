@@ -223,10 +223,13 @@ def last_page(sizes: DataFrame, already: int = 0) -> DataFrame:
     return placed.where(ends).agg(F.min("page").alias("stop"))
 
 
-def page_messages(pages: DataFrame) -> DataFrame:
-    """Stored pages -> messages (``RAW`` columns); a body is refused for what a landing record is refused for."""
+def page_messages(pages: DataFrame, *keep: str) -> DataFrame:
+    """Stored pages -> messages (``RAW`` columns); a body is refused for what a landing record is refused for.
+
+    ``keep``: columns of the page that its messages get too.
+    """
     name = F.concat(F.lit("page "), F.col("page").cast("string"))
-    return pages.select(F.inline(checked_messages(F.col("body"), name)))
+    return pages.select(*keep, F.inline(checked_messages(F.col("body"), name)))
 
 
 def read_pages(spark: SparkSession, pages_path: str) -> DataFrame:
