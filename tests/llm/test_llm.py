@@ -400,6 +400,17 @@ def test_lm_counting_of_a_block_needs_little_memory(monkeypatch):
     assert traced(lambda: [None for _ in task.run(iter([batch]))]) < 150  # MB; 218 before, with larger slices
 
 
+def test_features_of_a_batch_need_little_memory(monkeypatch):
+    batch = long_batch(12 << 20)
+    monkeypatch.setattr(tx, "_powers", [])
+
+    def work():
+        for _, _, data, off in tx.chunks(batch):
+            qu.passage_features(data, off)
+
+    assert traced(work) < 150  # MB; 289 before, with larger pieces
+
+
 def test_lm_packed_numbers():
     rng = np.random.default_rng(6)
     for n in (0, 1, 7, 1000):
